@@ -83,7 +83,7 @@ def orphan_report(sources: dict[str, DataFrame], base: DataFrame, key: str) -> D
     for name, df in sources.items():
         per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
         missing = per_key.join(keys, key, "left_anti")
-        total = F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_count")
+        total = F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("orphan_count")
         counts.append(missing.agg(total).select(F.lit(name).alias("source"), "orphan_count"))
     return reduce(lambda a, b: a.unionByName(b), counts)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.functions.exprs import numeric
+from harborline.functions.exprs import numeric, period_start
 from harborline.sinks.merge import merge_insert_only
 from harborline.sinks.tables import add_row_id
 from harborline.sources.files import read_csv
@@ -76,39 +76,40 @@ def month_table(rows: DataFrame, kind: str, filename: str | Column) -> DataFrame
     return hashed.select(*[typed(name, dtype) for name, dtype in hashed.dtypes])
 
 
-def load_month(spark: SparkSession, kind: str, ym: str, source: str, target: str, staging: str) -> dict:
+def load_month(
+    spark: SparkSession, kind: str, ym: str, source: str, target: str, staging: str, grain: str = "D"
+) -> dict:
     """Load one month file into the target: stage it anew, then merge. Loading it again adds nothing.
 
-    The target is laid out by pickup day. The row hash covers the pickup time, so a staged row can only
-    meet target rows of its own day: the merge reads the days the file spans, unless some pickup is
-    missing, when it reads everything.
+    The target is laid out by pickup day, or by a coarser ``grain``. The row hash covers the pickup time,
+    so a staged row can only meet target rows of its own period: the merge reads the periods the file
+    spans, unless some pickup is missing, when it reads everything.
     """
     spec = KINDS[kind]
     name = month_file(kind, ym)
+    period = F.col("pickup_period")
     rows = read_csv(spark, f"{source.rstrip('/')}/{name}", schema=spec.schema)
-    staged = enrich(rows, kind, name).withColumn("pickup_day", F.to_date(spec.pickup))
+    staged = enrich(rows, kind, name).withColumn("pickup_period", period_start(spec.pickup, grain))
     seen = Observation()
     staged.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.min("pickup_day").alias("first"),
-        F.max("pickup_day").alias("last"),
-        F.count_if(F.col("pickup_day").isNull()).alias("undated"),
+        F.min(period).alias("first"),
+        F.max(period).alias("last"),
+        F.count_if(period.isNull()).alias("undated"),
     ).write.mode("overwrite").parquet(staging)
     scope = None
     if seen.get["rows"] and not seen.get["undated"]:
-        day = F.col("pickup_day")
-        scope = day.between(F.lit(seen.get["first"]), F.lit(seen.get["last"])) | day.isNull()
+        scope = period.between(F.lit(seen.get["first"]), F.lit(seen.get["last"])) | period.isNull()
     inserted = merge_insert_only(
-        spark.read.parquet(staging).hint("rebalance", F.col("pickup_day")),
-        target, "unique_row_id", partition="pickup_day", scope=scope,
+        spark.read.parquet(staging), target, "unique_row_id", partition="pickup_period", scope=scope
     )
     return {"file": name, "rows_in": seen.get["rows"], "rows_inserted": inserted}
 
 
 def backfill(
-    spark: SparkSession, kind: str, months: Sequence[str], source: str, target: str, staging: str
+    spark: SparkSession, kind: str, months: Sequence[str], source: str, target: str, staging: str, grain: str = "D"
 ) -> DataFrame:
     """Load months one after another; one audit row per month."""
-    audit = [load_month(spark, kind, ym, source, target, f"{staging}/{kind}-{ym}") for ym in months]
+    audit = [load_month(spark, kind, ym, source, target, f"{staging}/{kind}-{ym}", grain) for ym in months]
     return spark.createDataFrame(audit, "file string, rows_in long, rows_inserted long")

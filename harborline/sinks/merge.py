@@ -6,22 +6,12 @@ batch again inserts nothing. One writer per target at a time.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from harborline.operators.joins import HOT_ROWS, orphans
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def merge_insert_only(
     staged: DataFrame, target: str, key: str, partition: str | None = None, scope: Column | None = None,
     hot_rows: int = HOT_ROWS,
@@ -31,13 +21,16 @@ def merge_insert_only(
     ``scope`` limits which target rows can hold a staged key, e.g. to the day partitions of the batch,
     so that the merge reads those instead of the whole table.
     """
-    current = _existing(staged.sparkSession, target)
-    fresh = staged
-    if current is not None:
-        keys = current if scope is None else current.where(scope)
-        fresh = orphans(staged, keys.select(key), key, hot_rows=hot_rows)
+    shell = staged.limit(0).write.mode("ignore")  # the table, if it is missing
+    (shell.partitionBy(partition) if partition else shell).parquet(target)
+    current = staged.sparkSession.read.schema(staged.schema).parquet(target)
+    keys = current if scope is None else current.where(scope)
+    fresh = orphans(staged, keys.select(key), key, hot_rows=hot_rows)
     counted = Observation()
     fresh = fresh.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if partition is not None:
+        # few files per partition, and a partition too big for one task is split
+        fresh = fresh.hint("rebalance", F.col(partition))
     writer = fresh.write.mode("append")
     if partition is not None:
         writer = writer.partitionBy(partition)

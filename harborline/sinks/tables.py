@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import row_hash
@@ -134,10 +134,15 @@ def file_profile(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_audit(before: DataFrame, incoming: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows in the table before a load, rows that came in, rows after it."""
+def audited_append(df: DataFrame, path: str) -> DataFrame:
+    """Append to the Parquet table at ``path``; one row: its rows before, the rows added, its rows after.
 
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), F.col("n").alias("row_count"))
-
-    return rows(before, "before").unionByName(rows(incoming, "incoming")).unionByName(rows(after, "after"))
+    Each count is taken when it is due. Frames opened before and after the append would not do: Spark
+    treats two scans of one path as the same scan.
+    """
+    spark = df.sparkSession
+    before = spark.read.parquet(path).count()
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    after = spark.read.parquet(path).count()
+    return spark.createDataFrame([(before, seen.get["rows"], after)], "before long, incoming long, after long")

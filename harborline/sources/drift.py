@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from harborline.sources.files import month_files, months_between
 
 _WHOLE = (IntegerType, LongType)
 _REAL = (FloatType, DoubleType)
+FOOTER_READERS = 16
 
 
 class SchemaConflict(Exception):
@@ -62,8 +64,9 @@ def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     groups: dict[str, list[str]] = defaultdict(list)
     schemas: dict[str, StructType] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        found = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    for path, schema in zip(paths, found):
         groups[schema.json()].append(path)
         schemas[schema.json()] = schema
     target = widened(schemas.values())
@@ -73,9 +76,9 @@ def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def read_months(
     spark: SparkSession, base: str, kind: str, start_year: int | None = None, end_year: int | None = None,
-    months: Sequence[str] | None = None,
+    months: Sequence[str] | None = None, pattern: str = "{kind}_tripdata_{ym}.parquet",
 ) -> DataFrame:
     """All months of a year range, or the listed ones, as one frame."""
     if months is None:
         months = months_between(start_year, end_year)
-    return read_drifting(spark, month_files(base, kind, months))
+    return read_drifting(spark, month_files(base, kind, months, pattern))

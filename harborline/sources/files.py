@@ -55,9 +55,12 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_json_rows(spark: SparkSession, path: str) -> DataFrame:
-    """JSON files of one record per line, or an array of records, with an inferred schema."""
-    return spark.read.option("multiLine", True).json(path)
+def read_json_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """JSON files holding an array of records, or one record per line, with an inferred schema.
+
+    Only files of one record per line (``multi_line=False``) can be split between tasks.
+    """
+    return spark.read.option("multiLine", multi_line).json(path)
 
 
 def read_json_records(
@@ -99,8 +102,10 @@ def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return read_csv(spark, path, schema=schema)
 
 
-def month_files(base: str, kind: str, months: Iterable[str]) -> list[str]:
-    return [f"{base.rstrip('/')}/{kind}_tripdata_{ym}.parquet" for ym in months]
+def month_files(
+    base: str, kind: str, months: Iterable[str], pattern: str = "{kind}_tripdata_{ym}.parquet"
+) -> list[str]:
+    return [f"{base.rstrip('/')}/{pattern.format(kind=kind, ym=ym)}" for ym in months]
 
 
 def months_between(start_year: int, end_year: int) -> list[str]:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
 from harborline.functions.exprs import clip, from_millis
 
@@ -24,7 +25,7 @@ def event_stream(spark: SparkSession, source: str, fmt: str = "kafka", **options
     return spark.readStream.format(fmt).schema("value string").options(**options).load(source)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _spaced(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: json.dumps(json.loads(t)), na_action="ignore")
 
