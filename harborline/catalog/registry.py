@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, DateType, DecimalType, TimestampNTZType, TimestampType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,16 +30,15 @@ def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
 def plain(df: DataFrame) -> DataFrame:
     """Render types that engines hand out differently: decimals as double, dates, times and bytes as text."""
 
-    def one(name: str, kind) -> Column:
-        c = F.col(f"`{name}`")
+    def one(name: str, kind) -> str:
         if isinstance(kind, DecimalType):
-            return c.cast("double").alias(name)
+            return f"cast(`{name}` AS double) AS `{name}`"
         if isinstance(kind, DateType):
-            return F.date_format(c, "yyyy-MM-dd").alias(name)
+            return f"date_format(`{name}`, 'yyyy-MM-dd') AS `{name}`"
         if isinstance(kind, (TimestampType, TimestampNTZType)):
-            return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
+            return f"date_format(`{name}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS `{name}`"
         if isinstance(kind, BinaryType):
-            return F.lower(F.hex(c)).alias(name)
-        return c
+            return f"lower(hex(`{name}`)) AS `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[one(f.name, f.dataType) for f in df.schema.fields])
+    return df.selectExpr(*[one(f.name, f.dataType) for f in df.schema.fields])

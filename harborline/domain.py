@@ -2,81 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import MONEY
 
-OUTLIER_THRESHOLD = 15
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def raw_policy(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderkey").alias("policy_number"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderkey").alias("application_id"),
-        F.col("o_orderpriority").alias("product"),
-        F.col("o_orderdate").alias("issue_date"),
-        F.col("o_orderdate").alias("effective_date"),
-        F.when(F.col("o_orderstatus") == "F", "F").when(F.col("o_orderstatus") == "O", "M").alias("insured_gender"),
-        F.add_months(F.to_date("o_orderdate"), -12 * 20 - F.pmod("o_custkey", F.lit(600)).cast("int"))
-        .alias("insured_date_of_birth"),
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id",
+        "o_orderkey AS policy_number",
+        "o_custkey AS user_id",
+        "o_orderkey AS application_id",
+        "o_orderpriority AS product",
+        "o_orderdate AS issue_date",
+        "o_orderdate AS effective_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' END AS insured_gender",
+        "add_months(to_date(o_orderdate), -240 - cast(o_custkey % 600 AS int)) AS insured_date_of_birth",
     )
 
 
 def confirmed_policy(spark: SparkSession, sf: str) -> DataFrame:
     """The policies whose order is not pending: a key list that leaves real orphans behind."""
-    return (
-        table(spark, sf, "orders")
-        .where(F.col("o_orderstatus") != "P")
-        .select(F.col("o_orderkey").alias("policy_number"))
-    )
-
-
-def _price() -> Column:
-    return F.col("l_extendedprice").cast(MONEY)
+    return table(spark, sf, "orders").where("o_orderstatus <> 'P'").selectExpr("o_orderkey AS policy_number")
 
 
 def raw_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    unpaid_date = (F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "O")
-    return table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("l_linestatus").alias("invoice_type"),
-        F.col("l_orderkey").alias("policy_number"),
-        F.col("l_shipdate").alias("coverage_start_date"),
-        (F.col("l_shipdate") + F.expr("interval 30 days")).alias("coverage_end_date"),
-        F.col("l_shipdate").alias("due_date"),
-        F.when(F.col("l_returnflag") == "A", "paid").when(F.col("l_returnflag") == "N", "open")
-        .otherwise("refunded").alias("status"),
-        _price().alias("pre_levy_amount"),
-        F.round(_price() * (F.lit(1) + F.col("l_tax").cast("decimal(4,2)")), 2).cast(MONEY).alias("total_amount"),
-        F.when(F.col("l_returnflag") == "R", F.to_date("l_shipdate")).alias("refund_date"),
-        F.when(~unpaid_date, F.col("l_shipdate")).alias("charge_date"),
+    price = f"cast(l_extendedprice AS {MONEY})"
+    return table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "l_linestatus AS invoice_type",
+        "l_orderkey AS policy_number",
+        "l_shipdate AS coverage_start_date",
+        "l_shipdate + interval 30 days AS coverage_end_date",
+        "l_shipdate AS due_date",
+        "CASE l_returnflag WHEN 'A' THEN 'paid' WHEN 'N' THEN 'open' ELSE 'refunded' END AS status",
+        f"{price} AS pre_levy_amount",
+        f"cast(round({price} * (1 + cast(l_tax AS decimal(4,2))), 2) AS {MONEY}) AS total_amount",
+        "CASE WHEN l_returnflag = 'R' THEN to_date(l_shipdate) END AS refund_date",
+        "CASE WHEN l_linenumber = 7 AND l_linestatus = 'O' THEN NULL ELSE l_shipdate END AS charge_date",
     )
 
 
 def raw_claim(spark: SparkSession, sf: str) -> DataFrame:
-    paid = F.col("l_linestatus") == "F"
-    return (
-        table(spark, sf, "lineitem")
-        .where(F.col("l_returnflag") == "R")
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("type"),
-            F.when(paid, "paid").otherwise("open").alias("status"),
-            F.col("l_orderkey").alias("policy_number"),
-            F.col("l_shipdate").alias("submit_date"),
-            F.when(paid, F.col("l_shipdate")).alias("payment_date"),
-            F.when(F.col("l_linenumber") != 7, F.to_date("l_shipdate")).alias("admission_date"),
-            _price().alias("total_billed_amount"),
-            F.round(_price() * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2).cast(MONEY)
-            .alias("total_base_payable_amount"),
-        )
+    price = f"cast(l_extendedprice AS {MONEY})"
+    return table(spark, sf, "lineitem").where("l_returnflag = 'R'").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "concat('T', l_linenumber) AS type",
+        "CASE l_linestatus WHEN 'F' THEN 'paid' ELSE 'open' END AS status",
+        "l_orderkey AS policy_number",
+        "l_shipdate AS submit_date",
+        "CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS payment_date",
+        "CASE WHEN l_linenumber <> 7 THEN to_date(l_shipdate) END AS admission_date",
+        f"{price} AS total_billed_amount",
+        f"cast(round({price} * (1 - cast(l_discount AS decimal(4,2))), 2) AS {MONEY}) AS total_base_payable_amount",
     )
 
 
@@ -91,55 +73,51 @@ def _trips(spark: SparkSession, sf: str, linestatus: str) -> DataFrame:
     )
 
 
-def _trip_columns(prefix: str) -> dict[str, Column]:
-    return {
-        "VendorID": F.col("l_linenumber"),
-        f"{prefix}_pickup_datetime": F.col("o_orderdate"),
-        f"{prefix}_dropoff_datetime": F.col("l_shipdate"),
-        "passenger_count": F.pmod("l_partkey", F.lit(6)),
-        "trip_distance": F.col("l_quantity"),
-        "RatecodeID": F.pmod("l_partkey", F.lit(5)) + 1,
-        "store_and_fwd_flag": F.lit("N"),
-        "PULocationID": F.col("s_nationkey"),
-        "DOLocationID": F.col("c_nationkey"),
-        "payment_type": F.pmod("l_suppkey", F.lit(4)) + 1,
-        "fare_amount": F.col("l_extendedprice"),
-        "extra": F.lit(0.5),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": F.col("l_extendedprice") * F.col("l_discount"),
-        "tolls_amount": F.lit(0.0),
-        "improvement_surcharge": F.lit(0.3),
-        "total_amount": F.col("l_extendedprice") * (F.lit(1.0) + F.col("l_tax")),
-        "congestion_surcharge": F.lit(2.5),
-    }
+def _trip_columns(prefix: str) -> list[str]:
+    return [
+        "l_linenumber AS VendorID",
+        f"o_orderdate AS {prefix}_pickup_datetime",
+        f"l_shipdate AS {prefix}_dropoff_datetime",
+        "l_partkey % 6 AS passenger_count",
+        "l_quantity AS trip_distance",
+        "l_partkey % 5 + 1 AS RatecodeID",
+        "'N' AS store_and_fwd_flag",
+        "s_nationkey AS PULocationID",
+        "c_nationkey AS DOLocationID",
+        "l_suppkey % 4 + 1 AS payment_type",
+        "l_extendedprice AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        "l_extendedprice * l_discount AS tip_amount",
+        "0.0D AS tolls_amount",
+        "0.3D AS improvement_surcharge",
+        "l_extendedprice * (1.0D + l_tax) AS total_amount",
+        "2.5D AS congestion_surcharge",
+    ]
 
 
 def yellow_trips(spark: SparkSession, sf: str) -> DataFrame:
-    columns = _trip_columns("tpep")
-    return _trips(spark, sf, "F").select(*[c.alias(n) for n, c in columns.items()])
+    return _trips(spark, sf, "F").selectExpr(*_trip_columns("tpep"))
 
 
 def green_trips(spark: SparkSession, sf: str) -> DataFrame:
-    columns = _trip_columns("lpep")
-    columns["ehail_fee"] = F.lit(None).cast("double")
-    columns["trip_type"] = F.pmod("l_partkey", F.lit(2)) + 1
-    return _trips(spark, sf, "O").select(*[c.alias(n) for n, c in columns.items()])
+    return _trips(spark, sf, "O").selectExpr(
+        *_trip_columns("lpep"), "cast(NULL AS double) AS ehail_fee", "l_partkey % 2 + 1 AS trip_type"
+    )
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        F.when(F.col("r_regionkey") < 2, "Yellow Zone").otherwise("Boro Zone").alias("service_zone"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey AS LocationID",
+        "r_name AS Borough",
+        "n_name AS Zone",
+        "CASE WHEN r_regionkey < 2 THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone",
     )
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select(
-        F.col("p_brand").alias("brand"), F.col("p_retailprice").cast(MONEY).alias("price")
-    )
+    return table(spark, sf, "part").selectExpr("p_brand AS brand", f"cast(p_retailprice AS {MONEY}) AS price")
 
 
 def event_messages(events: DataFrame) -> DataFrame:
