@@ -6,7 +6,7 @@ batch again inserts nothing. One writer per target at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.operators.joins import HOT_ROWS, orphans
@@ -19,20 +19,22 @@ def merge_insert_only(
     """Append new rows to the Parquet table at ``target`` and return their number.
 
     ``scope`` limits which target rows can hold a staged key, e.g. to the day partitions of the batch,
-    so that the merge reads those instead of the whole table.
+    so that the merge reads those instead of the whole table. It has to hold for the staged rows too.
+    The number of rows is the difference of two counts, which read file footers only.
     """
+    spark = staged.sparkSession
     shell = staged.limit(0).write.mode("ignore")  # the table, if it is missing
     (shell.partitionBy(partition) if partition else shell).parquet(target)
-    current = staged.sparkSession.read.schema(staged.schema).parquet(target)
-    keys = current if scope is None else current.where(scope)
-    fresh = orphans(staged, keys.select(key), key, hot_rows=hot_rows)
-    counted = Observation()
-    fresh = fresh.observe(counted, F.count(F.lit(1)).alias("rows"))
+
+    def rows_in_scope() -> DataFrame:
+        table = spark.read.schema(staged.schema).parquet(target)
+        return table if scope is None else table.where(scope)
+
+    before = rows_in_scope().count()
+    fresh = orphans(staged, rows_in_scope().select(key), key, hot_rows=hot_rows)
     if partition is not None:
         # few files per partition, and a partition too big for one task is split
         fresh = fresh.hint("rebalance", F.col(partition))
     writer = fresh.write.mode("append")
-    if partition is not None:
-        writer = writer.partitionBy(partition)
-    writer.parquet(target)
-    return counted.get["rows"]
+    (writer.partitionBy(partition) if partition else writer).parquet(target)
+    return rows_in_scope().count() - before

@@ -16,6 +16,10 @@ NULL_TOKENS = [
 ]
 
 
+# Zone-free times with a blank or a T between day and time, with or without fractions.
+TIME_FORMAT = "yyyy-MM-dd[' ']['T']HH:mm:ss[.SSSSSS][.SSS]"
+
+
 def read_raw_csv(
     spark: SparkSession, base: str, file: str, null_tokens: Sequence[str] = NULL_TOKENS, multi_line: bool = False
 ) -> DataFrame | None:
@@ -42,7 +46,7 @@ def read_csv(
     Strict reading stops at a row that does not fit the schema. Lenient reading pads short rows with
     NULL and allows line breaks inside quotes.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("timestampNTZFormat", TIME_FORMAT)
     reader = reader.option("mode", "PERMISSIVE" if lenient or schema is None else "FAILFAST")
     if lenient:
         reader = reader.option("multiLine", True).option("enforceSchema", True)
