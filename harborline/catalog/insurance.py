@@ -38,6 +38,10 @@ def claims(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_claim(domain.raw_claim(spark, sf))
 
 
+def ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_policies(policies(spark, sf), keys_from=domain.raw_policy(spark, sf))
+
+
 def inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return policies(spark, sf), invoices(spark, sf), claims(spark, sf)
 
@@ -77,20 +81,19 @@ def p15(spark, sf):
 @query("p17_flag_label", sql("""
 SELECT policy_number, CASE policy_rank WHEN 1 THEN 'new' ELSE 'returning' END AS policy_type FROM ranked"""))
 def p17(spark, sf):
-    ranked = rank_policies(policies(spark, sf))
-    return ranked.select("policy_number", label("is_new_policy", "new", "returning").alias("policy_type"))
+    return ranked(spark, sf).select("policy_number", label("is_new_policy", "new", "returning").alias("policy_type"))
 
 
 @query("p18_comparison_column", sql("SELECT policy_number, policy_rank = 1 AS is_new_policy FROM ranked"))
 def p18(spark, sf):
-    return rank_policies(policies(spark, sf)).select("policy_number", "is_new_policy")
+    return ranked(spark, sf).select("policy_number", "is_new_policy")
 
 
 @query("w1_policy_rank", sql("""
 SELECT policy_number, user_id, CAST(policy_rank AS INTEGER) AS policy_rank, policy_rank = 1 AS is_new_policy
 FROM ranked"""))
 def w1(spark, sf):
-    return rank_policies(policies(spark, sf)).select("policy_number", "user_id", "policy_rank", "is_new_policy")
+    return ranked(spark, sf).select("policy_number", "user_id", "policy_rank", "is_new_policy")
 
 
 # Joins
@@ -114,9 +117,9 @@ SELECT i.id, i.policy_number, {dbl('i.pre_levy_amount')} AS pre_levy_amount, CAS
 FROM paid_invoice i JOIN ranked r ON i.policy_number = r.policy_number WHERE NOT is_outlier_user"""))
 def j5(spark, sf):
     regular = marts.regular_policies(policies(spark, sf))
-    ranked = rank_policies(regular).select("policy_number", "policy_rank")
+    ranks = rank_policies(regular, keys_from=domain.raw_policy(spark, sf)).select("policy_number", "policy_rank")
     paid = staging.paid(invoices(spark, sf)).select("id", "policy_number", "pre_levy_amount")
-    return skew_join(paid, ranked, "policy_number", "inner")
+    return skew_join(paid, ranks, "policy_number", "inner", keys_from=domain.raw_invoice(spark, sf))
 
 
 @query("j6_key_selfjoin", sql(f"""

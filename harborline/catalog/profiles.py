@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline import domain
-from harborline.catalog.insurance import claims, invoices, policies
+from harborline.catalog.insurance import claims, invoices, policies, ranked
 from harborline.catalog.registry import query
 from harborline.catalog.sqltext import dbl, div, dt, sql
 from harborline.operators import profile, quality
-from harborline.operators.ranking import rank_policies
 from harborline.plans import marts
 
 
@@ -186,7 +185,7 @@ _TABLE_OF = {
 def q5(spark, sf):
     p, i, c = policies(spark, sf), invoices(spark, sf), claims(spark, sf)
     models = {
-        "stg_policy": p, "stg_invoice": i, "stg_claim": c, "int_policy_ranked": rank_policies(p),
+        "stg_policy": p, "stg_invoice": i, "stg_claim": c, "int_policy_ranked": ranked(spark, sf),
         "int_invoice_paid": i.where("status = 'paid'"), "mart_policy_denormalized": marts.policy_wide(p, i, c),
     }
-    return quality.run_checks(quality.warehouse_suite(models))
+    return quality.run_declared(models)

@@ -8,6 +8,7 @@ from harborline import domain
 from harborline.catalog.registry import query
 from harborline.catalog.sqltext import dbl, div, dt, ts
 from harborline.functions import exprs
+from harborline.operators.joins import skew_join
 from harborline.sinks.tables import with_load_time
 from harborline.streaming.events import parse_events
 
@@ -83,7 +84,7 @@ SELECT l_orderkey, (epoch(l_shipdate) - epoch(o_orderdate)) / 3600.0 AS hours
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def f6(spark, sf):
     dated = orders(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return lines(spark, sf).join(dated, "l_orderkey").select(
+    return skew_join(lines(spark, sf), dated, "l_orderkey", "inner").select(
         "l_orderkey", exprs.hours_between("o_orderdate", "l_shipdate").alias("hours")
     )
 

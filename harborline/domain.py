@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import MONEY
+from harborline.operators.joins import skew_join
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -63,14 +64,16 @@ def raw_claim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trips(spark: SparkSession, sf: str, linestatus: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").where(F.col("l_linestatus") == linestatus)
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    riders = orders.join(customers, orders.o_custkey == customers.c_custkey)
-    return lines.join(riders, lines.l_orderkey == riders.o_orderkey).join(
-        suppliers, lines.l_suppkey == suppliers.s_suppkey
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    customers = table(spark, sf, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
+    suppliers = table(spark, sf, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
+    riders = skew_join(orders, customers, "o_custkey", "inner").selectExpr(
+        "o_orderkey AS l_orderkey", "o_orderdate", "c_nationkey"
     )
+    placed = skew_join(
+        lines.where(F.col("l_linestatus") == linestatus), suppliers, "l_suppkey", "inner", keys_from=lines
+    )
+    return skew_join(placed, riders, "l_orderkey", "inner", keys_from=lines)
 
 
 def _trip_columns(prefix: str) -> list[str]:

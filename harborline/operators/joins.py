@@ -56,8 +56,13 @@ def skew_join(
     how: str = "left",
     nulls_match: bool = False,
     hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``left`` to a ``right`` that is unique on the key (any right for semi and anti joins)."""
+    """Join ``left`` to a ``right`` that is unique on the key (any right for semi and anti joins).
+
+    ``keys_from`` is where hot keys are looked for, if that is cheaper than in ``left``, such as the table
+    behind it. Which keys count as hot changes how the rows travel, never the result.
+    """
     on = [on] if isinstance(on, str) else list(on)
     if how in ("left_semi", "left_anti"):
         right = right.select(*on)
@@ -69,7 +74,7 @@ def skew_join(
         extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
         return joined.select(*[F.col(f"l.{c}") for c in left.columns], *extra)
 
-    hot = hot_keys(left, on, hot_rows)
+    hot = hot_keys(left if keys_from is None else keys_from, on, hot_rows)
     if hot is None:
         return join(left, right)
     hot_right = pick_keys(right, hot, on, "left_semi")
@@ -80,14 +85,18 @@ def skew_join(
     return hot_part.unionByName(join(pick_keys(left, hot, on, "left_anti"), right))
 
 
-def known(df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def known(
+    df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
+) -> DataFrame:
     """The rows whose key exists in ``keys``; repeated keys there do not repeat rows."""
-    return skew_join(df, keys, on, "left_semi", hot_rows=hot_rows)
+    return skew_join(df, keys, on, "left_semi", hot_rows=hot_rows, keys_from=keys_from)
 
 
-def orphans(df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def orphans(
+    df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
+) -> DataFrame:
     """The rows whose key is missing from ``keys``; a NULL key is an orphan."""
-    return skew_join(df, keys, on, "left_anti", hot_rows=hot_rows)
+    return skew_join(df, keys, on, "left_anti", hot_rows=hot_rows, keys_from=keys_from)
 
 
 def on_spine(keys: Sequence[str], *frames: DataFrame) -> DataFrame:

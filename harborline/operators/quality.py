@@ -56,19 +56,27 @@ def require(results: DataFrame) -> None:
         raise ChecksFailed(", ".join(f"{r['check']}: {r['failures']}" for r in failed))
 
 
-def warehouse_suite(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The declared column checks of the insurance models, for those models that are present."""
-    suite: dict[str, DataFrame] = {}
+def run_declared(models: dict[str, DataFrame]) -> DataFrame:
+    """The declared column checks of the insurance models that are present, as run_checks gives them.
+
+    All columns of a model that must not be NULL are counted in one pass over it.
+    """
+    parts = []
     for model, columns in DECLARED.items():
         if model not in models:
             continue
-        for column, kinds in columns.items():
-            for kind in kinds:
-                suite[f"{kind}_{model}_{column}"] = CHECKS[kind](models[model], column)
-    return suite
-
+        df = models[model]
+        filled = [c for c, kinds in columns.items() if "not_null" in kinds]
+        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in filled])
+        pairs = [
+            F.struct(F.lit(f"not_null_{model}_{c}").alias("check"), F.col(c).alias("failures")) for c in filled
+        ]
+        parts.append(counted.select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
+        parts.append(
+            run_checks({f"unique_{model}_{c}": unique(df, c) for c, kinds in columns.items() if "unique" in kinds})
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
-CHECKS = {"unique": unique, "not_null": not_null}
 
 # Which columns of which models are declared unique or not null.
 DECLARED = {

@@ -20,13 +20,16 @@ def _flag(df: DataFrame) -> DataFrame:
     return df.withColumn("is_new_policy", F.col("policy_rank") == 1)
 
 
-def rank_policies(policies: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rank_policies(
+    policies: DataFrame, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Add policy_rank (1 = the user's first policy by effective date) and is_new_policy.
 
     A plain window puts all policies of one user into one task. That is right for ordinary users; a
-    user with ``hot_rows`` policies or more is ranked from a distributed sort instead.
+    user with ``hot_rows`` policies or more is ranked from a distributed sort instead. ``keys_from`` is
+    where such users are looked for, if that is cheaper than in ``policies``.
     """
-    hot = hot_keys(policies.select("user_id"), ["user_id"], hot_rows)
+    hot = hot_keys(policies if keys_from is None else keys_from, ["user_id"], hot_rows)
     by_user = Window.partitionBy("user_id").orderBy(*_order())
     if hot is None:
         return _flag(policies.withColumn("policy_rank", F.row_number().over(by_user)))

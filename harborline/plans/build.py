@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.operators.quality import require, run_checks, warehouse_suite
+from harborline.operators.quality import require, run_declared
 from harborline.operators.ranking import rank_policies
 from harborline.plans import marts, staging
 
@@ -41,7 +41,7 @@ def _models(raw, policies, invoices, claims, threshold) -> dict[str, DataFrame]:
         "stg_invoice": known_invoices,
         "stg_claim": claims,
         "int_invoice_paid": staging.paid(known_invoices),
-        "int_policy_ranked": rank_policies(policies),
+        "int_policy_ranked": rank_policies(policies, keys_from=raw["raw_policy"]),
         "mart_new_vs_returning_premium": marts.new_vs_returning(invoices, first),
         "mart_policy_denormalized": marts.policy_wide(policies, invoices, claims),
         "mart_dashboard_daily": days,
@@ -76,7 +76,7 @@ def publish(
         if layer == "marts" and name != "mart_dashboard_daily":
             models[name] = stored(name, models[name])
     if check:
-        require(run_checks(warehouse_suite(models)))
+        require(run_declared(models))
     return models
 
 

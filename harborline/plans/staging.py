@@ -37,7 +37,7 @@ def stg_policy(raw: DataFrame, threshold: int = OUTLIER_THRESHOLD, hot_rows: int
     """
     counts = policies_per_user(raw)
     outliers = counts.where(F.col("policy_count") > threshold).select("user_id", F.lit(True).alias("_outlier"))
-    joined = skew_join(typed_policy(raw), outliers, "user_id", "left", hot_rows=hot_rows)
+    joined = skew_join(typed_policy(raw), outliers, "user_id", "left", hot_rows=hot_rows, keys_from=raw)
     return joined.select(
         *[c for c in joined.columns if c != "_outlier"],
         F.coalesce(F.col("_outlier"), F.lit(False)).alias("is_outlier_user"),
@@ -60,7 +60,9 @@ def typed_invoice(raw: DataFrame) -> DataFrame:
 
 def stg_invoice(raw: DataFrame, raw_policies: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Typed invoices of known policies only."""
-    return known(typed_invoice(raw), raw_policies.select("policy_number"), "policy_number", hot_rows=hot_rows)
+    return known(
+        typed_invoice(raw), raw_policies.select("policy_number"), "policy_number", hot_rows=hot_rows, keys_from=raw
+    )
 
 
 def stg_claim(raw: DataFrame) -> DataFrame:
