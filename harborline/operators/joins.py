@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 1024
 HOT_ROWS = 1_000_000
+SAMPLED_ROWS = 100
 
 
 def _same(on: Sequence[str], nulls_match: bool) -> Column:
@@ -26,16 +27,21 @@ def _same(on: Sequence[str], nulls_match: bool) -> Column:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys holding at least ``hot_rows`` rows each, at most ``HOT_KEYS`` of them; None if there are none.
+    """The keys holding about ``hot_rows`` rows or more, at most ``HOT_KEYS`` of them; None if there are none.
 
     Runs at once, since the answer decides the shape of the plan. A frame with fewer rows in total, which
-    a count of file footers tells, needs no look at its keys.
+    a count of file footers tells, needs no look at its keys. Otherwise the keys are counted in a sample
+    in which a hot key still has about ``SAMPLED_ROWS`` rows, so that not every key has to be shuffled:
+    the answer guides how rows travel and never changes a result.
     """
     if df.count() < hot_rows:
         return None
+    share = min(1.0, SAMPLED_ROWS / hot_rows)
+    least = hot_rows if share == 1.0 else SAMPLED_ROWS // 2
     rows = (
-        df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= hot_rows)
+        df.select(*on).sample(fraction=share, seed=7)
+        .groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= least)
         .orderBy(F.desc("n"))
         .limit(HOT_KEYS)
         .select(*on)
