@@ -28,17 +28,17 @@ def chunk(documents: DataFrame, size: int, overlap: int, id_col: str = "doc_id",
     )
 
 
-def _best_of(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    keep = ~np.isnan(sims)
-    ids, sims = ids[keep], sims[keep]
-    order = np.lexsort((ids, -sims))[:k]
-    return ids[order], sims[order]
-
-
 def _nearest(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) -> DataFrame:
     """The k best vectors per query in each task: few rows leave a task, however many it reads."""
     norms = np.linalg.norm(queries, axis=1)
 
+    # both functions are nested so that they travel to the executors by value
+    def best_of(vec_ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = ~np.isnan(sims)
+        vec_ids, sims = vec_ids[keep], sims[keep]
+        order = np.lexsort((vec_ids, -sims))[:k]
+        return vec_ids[order], sims[order]
+
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [(np.empty(0, dtype="int64"), np.empty(0)) for _ in ids]
         for batch in batches:
@@ -49,7 +49,7 @@ def _nearest(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) ->
             with np.errstate(divide="ignore", invalid="ignore"):
                 sims = (matrix @ queries.T) / (np.linalg.norm(matrix, axis=1)[:, None] * norms[None, :])
             held = [
-                _best_of(np.concatenate([old_ids, vec_ids]), np.concatenate([old_sims, sims[:, j]]), k)
+                best_of(np.concatenate([old_ids, vec_ids]), np.concatenate([old_sims, sims[:, j]]))
                 for j, (old_ids, old_sims) in enumerate(held)
             ]
         for query_id, (found, sims) in zip(ids, held):

@@ -129,3 +129,18 @@ def test_promote_needs_a_new_path(spark, tmp_path):
 
 def test_layers():
     assert tables.layer_name(" staging ") == "staging" and tables.layer_name(None) == "marts"
+
+
+def test_count_can_come_from_file_footers(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    settings = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "csv"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        counted = spark.read.parquet(str(tmp_path / "t")).groupBy().count()
+        assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().executedPlan().toString()
+        assert counted.first()[0] == 100
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
