@@ -125,7 +125,7 @@ def u3(spark, sf):
     for i, (c, t) in enumerate([
         ("id", "bigint"), ("type", "string"), ("status", "string"), ("policy_number", "bigint"),
         ("submit_date", "timestamp"), ("payment_date", "timestamp"), ("admission_date", "date"),
-        ("total_billed_amount", "decimal(18,2)"), ("total_base_payable_amount", "decimal(18,2)"),
+        ("total_billed_amount", "decimal(18,4)"), ("total_base_payable_amount", "decimal(18,4)"),
     ])
 )))
 def p19(spark, sf):

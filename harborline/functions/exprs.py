@@ -8,9 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# Staged amounts keep four decimals, so that sums are rounded to cents once, at the end. Eighteen digits
+# are the most that Spark adds up without big-number arithmetic.
+STAGED = "decimal(18,4)"
 NUMERIC = "decimal(38,9)"
 # Sums enter a division as AMOUNT: wider types would leave the quotient fewer than ten decimals.
 AMOUNT = "decimal(28,2)"
+EXACT = "decimal(28,4)"
 QUOTIENT = "decimal(38,10)"
 
 # Taxi vendor codes and their names. A code outside the table has no name.
@@ -37,6 +41,11 @@ def money(c: Column | str, strict: bool = True) -> Column:
     return _col(c).cast(MONEY) if strict else _col(c).try_cast(MONEY)
 
 
+def amount(c: Column | str, strict: bool = True) -> Column:
+    """Text or number to a staged amount. Lenient mode turns unreadable text into NULL."""
+    return _col(c).cast(STAGED) if strict else _col(c).try_cast(STAGED)
+
+
 def numeric(c: Column | str) -> Column:
     return _col(c).cast(NUMERIC)
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.functions.exprs import EXACT, QUOTIENT
+
 
 def profile_counts(df: DataFrame, **distinct: str) -> DataFrame:
     """total_rows and an exact distinct count per ``alias=column``."""
@@ -21,7 +23,7 @@ def amount_stats(df: DataFrame, columns: dict[str, str], places: int = 2) -> Dat
     """Minimum, average and maximum of decimal columns, given as ``column -> short name``."""
     parts: list[Column] = []
     for c, name in columns.items():
-        average = (F.sum(c).cast("decimal(28,2)") / F.count(c)).cast("decimal(38,10)")
+        average = (F.sum(c).cast(EXACT) / F.count(c)).cast(QUOTIENT)
         parts += [
             F.round(F.min(c), places).alias(f"min_{name}"),
             F.round(average, places).alias(f"avg_{name}"),

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.functions.exprs import AMOUNT, QUOTIENT, label, or_zero, period_start, ratio
+from harborline.functions.exprs import EXACT, QUOTIENT, label, or_zero, period_start, ratio
 from harborline.operators.joins import HOT_ROWS, skew_join, with_last_year
 from harborline.plans.staging import OUTLIER_THRESHOLD, paid, typed_policy
 
@@ -106,13 +106,13 @@ def combine(keys: Sequence[str], *pieces: DataFrame) -> DataFrame:
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
 
     def total(c: str) -> Column:
-        return or_zero(F.sum(F.when(complete, F.col(c)))).alias(c)
+        return or_zero(F.sum(F.when(complete, F.col(c))))
 
     sums = stacked.groupBy(*keys).agg(
-        total("premium_received"),
+        F.round(total("premium_received"), 2).alias("premium_received"),
         total("policies_with_payment").cast("int").alias("policies_with_payment"),
         total("policies_issued").cast("int").alias("policies_issued"),
-        total("claims_paid"),
+        F.round(total("claims_paid"), 2).alias("claims_paid"),
         total("claim_count").cast("int").alias("claim_count"),
     )
     return sums.select(
@@ -230,7 +230,7 @@ def new_vs_returning(invoices: DataFrame, marked: DataFrame) -> DataFrame:
     """
     per_policy = paid(invoices).groupBy("policy_number").agg(F.sum("pre_levy_amount").alias("premium"))
     flags = regular_policies(marked).select("policy_number", "is_new_policy")
-    average = (F.sum("premium").cast(AMOUNT) / F.count("premium")).cast(QUOTIENT)
+    average = (F.sum("premium").cast(EXACT) / F.count("premium")).cast(QUOTIENT)
     return (
         per_policy.join(flags, "policy_number")
         .groupBy("is_new_policy")

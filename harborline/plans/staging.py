@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.functions.exprs import money
+from harborline.functions.exprs import amount
 from harborline.operators.joins import HOT_ROWS, known, skew_join
 
 OUTLIER_THRESHOLD = 200
@@ -51,8 +51,8 @@ def typed_invoice(raw: DataFrame) -> DataFrame:
         "policy_number",
         *[F.col(c).cast("timestamp").alias(c) for c in ("coverage_start_date", "coverage_end_date", "due_date")],
         "status",
-        money("pre_levy_amount").alias("pre_levy_amount"),
-        money("total_amount").alias("total_amount"),
+        amount("pre_levy_amount").alias("pre_levy_amount"),
+        amount("total_amount").alias("total_amount"),
         F.col("refund_date").cast("date").alias("refund_date"),
         F.col("charge_date").cast("timestamp").alias("charge_date"),
     )
@@ -74,8 +74,8 @@ def stg_claim(raw: DataFrame) -> DataFrame:
         F.col("submit_date").cast("timestamp").alias("submit_date"),
         F.col("payment_date").cast("timestamp").alias("payment_date"),
         F.col("admission_date").cast("date").alias("admission_date"),
-        money("total_billed_amount").alias("total_billed_amount"),
-        money("total_base_payable_amount").alias("total_base_payable_amount"),
+        amount("total_billed_amount").alias("total_billed_amount"),
+        amount("total_base_payable_amount").alias("total_base_payable_amount"),
     )
 
 
