@@ -7,6 +7,7 @@ a declarative mapping.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -151,14 +152,13 @@ def canonical_json(df: DataFrame, record: str = "record", key: str = "conv_id")
 
     Each record's fingerprint selects its mapping; a record of no known layout, or that is no JSON, has NULL for both.
     """
-    by_name, spark = {m.name: m for m in MAPPINGS}, df.sparkSession
+    by_name = {m.name: m for m in MAPPINGS}
     shapes = []
     for schema, name in JSON_LAYOUTS.items():
         kind = StructType.fromDDL(schema)
         parts = sorted((f.name, f.dataType) for f in kind.fields)
         said = "OBJECT<" + ", ".join(f"{n}: {_variant_name(t)}" for n, t in parts) + ">"
         shapes.append((hashlib.sha256(said.encode()).hexdigest()[:16], schema, by_name[name]))
-    assert spark is not None
     marked = df.select(F.col(f"`{key}`").alias("conv_id"), F.col(f"`{record}`").alias("__r")).withColumn(
         "__f", json_fingerprint(F.col("__r")))
     turns, layout = F.lit(None).cast(TURNS), F.lit(None).cast("string")
@@ -185,8 +185,6 @@ def _variant_name(kind: DataType) -> str:
 
 
 def _qualified(expr: str, name: str, path: str) -> str:
-    import re
-
     return re.sub(rf"(?<![\w'.`]){name}(?![\w'`])", path, expr)
 
 

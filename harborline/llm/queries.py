@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, lines, packing, rules, simhash
+from harborline.llm import chat, licenses, lines, packing, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -153,3 +153,67 @@ def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
     cut = packing.pieces(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def document_path(doc_id: str = "doc_id") -> str:
+    """SQL, for both engines: documents as files of their source and language, in folders by the digits of the id."""
+    return (
+        f"concat(source, '/', lang, '/', regexp_replace(substr(CAST({doc_id} AS STRING), 1, "
+        f"length(CAST({doc_id} AS STRING)) - 1), '([0-9])', '\\1/'@G), {doc_id})"
+    )
+
+
+_SPARK_PATH = document_path().replace("'\\1/'@G", "'$1/'")
+_TEMPLATE_ROWS = ", ".join(
+    f"('{name}', '{w}', {n})" for name, text in licenses.TEMPLATES for w, n in licenses.terms(text).items())
+_PARTS = "list_filter(string_split({0}, '/'), lambda p: p <> '')"
+
+OP1 = f"""
+WITH files AS MATERIALIZED (
+  SELECT doc_id, {document_path().replace("'@G", "', 'g'")} AS path, coalesce(text, '') AS body FROM documents),
+units AS MATERIALIZED (
+  SELECT path, -1 AS unit, regexp_extract_all(lower(body), '[a-z0-9]+') AS w FROM files
+  UNION ALL
+  SELECT path, unit, regexp_extract_all(lower(line), '[a-z0-9]+')
+  FROM (SELECT path, unnest(string_split(body, chr(10))) AS line,
+               generate_subscripts(string_split(body, chr(10)), 1) AS unit FROM files)),
+tf AS MATERIALIZED (SELECT path, unit, w, count(*) AS tf FROM (SELECT path, unit, unnest(w) AS w FROM units) GROUP BY ALL),
+template(license, w, n) AS (VALUES {_TEMPLATE_ROWS}),
+idf AS MATERIALIZED (
+  SELECT t.w, round(ln((1 + (SELECT count(*) FROM files)) / (1 + count(tf.path))) + 1, 9) AS idf
+  FROM (SELECT DISTINCT w FROM template) t LEFT JOIN tf ON tf.w = t.w AND tf.unit = -1 GROUP BY t.w),
+raw AS (SELECT license, template.w, n * idf AS v FROM template JOIN idf ON idf.w = template.w),
+vector AS MATERIALIZED (SELECT license, w, v / sqrt(sum(v * v) OVER (PARTITION BY license)) AS weight FROM raw),
+weighed AS MATERIALIZED (SELECT path, unit, tf.w, tf * coalesce(idf, 1.0) AS x FROM tf LEFT JOIN idf ON idf.w = tf.w),
+norm AS (SELECT path, unit, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
+dots AS (SELECT path, unit, license, sum(x * weight) AS dot FROM weighed JOIN vector ON vector.w = weighed.w GROUP BY ALL),
+hits AS MATERIALIZED (
+  SELECT dots.path, CASE WHEN dots.unit = -1 THEN 'file' ELSE 'line' END AS kind, license, round(dot / norm, 6) AS cosine
+  FROM dots JOIN norm ON norm.path = dots.path AND norm.unit = dots.unit WHERE round(dot / norm, 6) >= 0.6),
+direct AS MATERIALIZED (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY kind, cosine DESC, license) AS r FROM hits) WHERE r = 1),
+granted AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT array_to_string({_PARTS.format("regexp_extract(path, '^(.*)/[^/]*$', 1)")}, '/') AS folder, license, cosine,
+           row_number() OVER (PARTITION BY folder ORDER BY cosine DESC, path) AS r
+    FROM direct WHERE kind = 'file') WHERE r = 1),
+folders AS MATERIALIZED (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS own FROM files),
+above AS (
+  SELECT own, up, array_to_string(list_slice(parts, 1, len(parts) - up), '/') AS folder
+  FROM (SELECT own, parts, unnest(range(0, len(parts) + 1)) AS up FROM (SELECT own, {_PARTS.format('own')} AS parts FROM folders))),
+nearest AS MATERIALIZED (
+  SELECT * FROM (SELECT own, up, license, cosine, row_number() OVER (PARTITION BY own ORDER BY up) AS r
+                 FROM above JOIN granted ON granted.folder = above.folder) WHERE r = 1)
+SELECT doc_id, files.path AS path, coalesce(direct.license, nearest.license) AS license,
+       coalesce(direct.cosine, nearest.cosine) AS license_cosine,
+       coalesce(direct.kind, CASE WHEN nearest.license IS NOT NULL THEN 'directory' END) AS license_from,
+       CASE WHEN direct.license IS NULL THEN nearest.up END AS license_depth
+FROM files LEFT JOIN direct ON direct.path = files.path
+LEFT JOIN nearest ON nearest.own = regexp_extract(files.path, '^(.*)/[^/]*$', 1)
+"""
+
+
+@query("op1_license_scan", OP1)
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    files = table(spark, sf, "documents").select("doc_id", F.expr(_SPARK_PATH).alias("path"), "text")
+    return licenses.scan(files).select("doc_id", "path", *licenses.FOUND)
