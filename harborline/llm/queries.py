@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, licenses, lines, packing, rules, simhash
+from harborline.llm import chat, decontaminate, html, licenses, lines, packing, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -217,3 +217,13 @@ LEFT JOIN nearest ON nearest.own = regexp_extract(files.path, '^(.*)/[^/]*$', 1)
 def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     files = table(spark, sf, "documents").select("doc_id", F.expr(_SPARK_PATH).alias("path"), "text")
     return licenses.scan(files).select("doc_id", "path", *licenses.FOUND)
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
