@@ -187,6 +187,9 @@ def labelled_pages(n: int = 300, seed: int = 7) -> list[str]:
             out.append(f"<p>{mark}{words(low, 4) if short else words(12, high)}{link}</p>")
         return "".join(out)
 
+    def title(level: int) -> str:
+        return f"<h{level}>{words(1, 5)}</h{level}>" if rng.random() < 0.5 else ""
+
     def links(k: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/{i}">{words(1, 4)}</a></li>' for i in range(k)) + "</ul>"
 
@@ -201,21 +204,21 @@ def labelled_pages(n: int = 300, seed: int = 7) -> list[str]:
         ]) if named else (lambda x: f"<div>{x}</div>")
         body = paragraphs(MARK)
         if named and rng.random() < 0.4:
-            body += part("aside", "related", links(3) + f"<p>{words(5, 40)}</p>")
+            body += part("aside", "related", title(3) + links(3) + f"<p>{words(5, 40)}</p>")
         if named and rng.random() < 0.2:
             body += '<div class="comments">' + "".join(f"<p>{words(3, 60)}</p>" for _ in range(3)) + "</div>"
         pieces = [
-            part("header", "site-header", f"<p>{words(1, 8)}</p>"), part("nav", "menu", links(rng.randint(3, 9))),
+            part("header", "site-header", title(1) + f"<p>{words(1, 8)}</p>"), part("nav", "menu", links(rng.randint(3, 9))),
             f'<div class="ad">{words(4, 30)}</div>' if named else f"<div><a href='/ad'>{words(4, 20)}</a></div>", article(body),
         ]
         if named and rng.random() < 0.6:
-            pieces.append('<section class="comments">' + "".join(
+            pieces.append('<section class="comments">' + title(2) + "".join(
                 f"<p>{words(3, 60)}</p>" for _ in range(rng.randint(1, 5))) + "</section>")
         if named and rng.random() < 0.4:
-            pieces.append(f'<form><p>{words(2, 12)}</p></form><div class="cookie-notice"><p>{words(8, 40)}</p></div>')
+            pieces.append(f'<form>{title(3)}<p>{words(2, 12)}</p></form><div class="cookie-notice"><p>{words(8, 40)}</p></div>')
         if rng.random() < 0.5:
-            pieces.append(part("aside", "sidebar", links(4) + (f"<p>{words(2, 25)}</p>" if named else "")))
-        pieces.append(part("footer", "footer", links(3) + f"<p>{words(2, 10)}</p>"))
+            pieces.append(part("aside", "sidebar", title(3) + links(4) + (f"<p>{words(2, 25)}</p>" if named else "")))
+        pieces.append(part("footer", "footer", title(4) + links(3) + f"<p>{words(2, 10)}</p>"))
         pages.append("<html><body>" + "".join(pieces) + "</body></html>")
     return pages
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, html, licenses, lines, packing, rules, simhash
+from harborline.llm import chat, decontaminate, html, licenses, lines, lm, packing, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -227,3 +227,8 @@ def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_html_extraction")
 def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op6_lm_scoring")
+def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
