@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, html, licenses, lines, lm, packing, rules, simhash
+from harborline.llm import chat, decontaminate, html, licenses, lines, lm, packing, rules, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -232,3 +232,9 @@ def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_lm_scoring")
 def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(table(spark, sf, "documents"))
+
+
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix.drop_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
