@@ -238,21 +238,24 @@ def leaks(
     out = None
     for block in blocks(benchmark.where(F.col(f"`{passage}`").isNotNull()), item, passage):
         items = sorted((int(r[0]), r[1]) for r in block.select(F.col(f"`{item}`"), F.col(f"`{passage}`")).dropna().collect())
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        @F.arrow_udf(f"array<struct<{FOUND}>>")
-        def find(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
-            index = Index(shared.value, q, share)
-            kind = pa.struct([
-                ("item_id", pa.int64()), ("edits", pa.int32()), ("at", pa.int64()), ("until", pa.int64())])
-            for texts in batches:
-                yield pa.array(search(texts.to_pylist(), index), pa.list_(kind))
-
+        find = _finder(docs.sparkSession.sparkContext.broadcast(items), q, share)
         found = docs.select(F.col(f"`{doc}`").alias(doc), F.inline(find(text_of(docs, text))))
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _finder(items, q: int, share: float):
+    @F.arrow_udf(f"array<struct<{FOUND}>>")
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = Index(items.value, q, share)
+        kind = pa.struct([
+            ("item_id", pa.int64()), ("edits", pa.int32()), ("at", pa.int64()), ("until", pa.int64())])
+        for texts in batches:
+            yield pa.array(search(texts.to_pylist(), index), pa.list_(kind))
+
+    return find
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; rows are told apart by ``doc`` (NULL is one value)."""
     bad = leaks(docs, benchmark, text, doc, **options).select(F.col(doc).alias("__bad")).distinct()

@@ -157,14 +157,16 @@ def scan(
     folders = files.select(directory(own).alias("own")).distinct()
     above = folders.select("own", F.posexplode(F.reverse(ancestors(F.col("own")))).alias("up", "folder"))
     nearest = above.join(granted, "folder").groupBy("own").agg(F.min(F.struct("up", "g")).alias("n")).select(
-        "own", F.col("n.g.license").alias("of_folder"), (-F.col("n.g.less")).alias("folder_cosine"), F.col("n.up").alias("up"))
-    direct = direct.select(F.col("path").alias("__p"), F.col("license").alias("__l"), "cosine", "kind")
+        F.col("own").alias("__own"), F.col("n.g.license").alias("__of_folder"), (-F.col("n.g.less")).alias("__folder_cosine"),
+        F.col("n.up").alias("__up"))
+    direct = direct.select(
+        F.col("path").alias("__p"), F.col("license").alias("__l"), F.col("cosine").alias("__cosine"), F.col("kind").alias("__kind"))
     told = files.withColumns({"__path": own, "__dir": directory(own)})
-    told = told.join(direct, told["__path"] == direct["__p"], "left").join(nearest, told["__dir"] == nearest["own"], "left")
+    told = told.join(direct, told["__path"] == direct["__p"], "left").join(nearest, told["__dir"] == nearest["__own"], "left")
     return told.select(
         *[F.col(f"`{c}`") for c in files.columns],
-        F.coalesce("__l", "of_folder").alias("license"),
-        F.coalesce("cosine", "folder_cosine").alias("license_cosine"),
-        F.coalesce("kind", F.when(F.col("of_folder").isNotNull(), F.lit("directory"))).alias("license_from"),
-        F.when(F.col("__l").isNull(), F.col("up")).cast("bigint").alias("license_depth"),
+        F.coalesce("__l", "__of_folder").alias("license"),
+        F.coalesce("__cosine", "__folder_cosine").alias("license_cosine"),
+        F.coalesce("__kind", F.when(F.col("__of_folder").isNotNull(), F.lit("directory"))).alias("license_from"),
+        F.when(F.col("__l").isNull(), F.col("__up")).cast("bigint").alias("license_depth"),
     )

@@ -328,10 +328,12 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     first, end = (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("least") + length).alias("end")
     whole = needs.where(F.col("kind") == MARK).select("doc", "uid", first, end)
     asked = needs.where(F.col("kind") != MARK).groupBy("doc", "uid").agg(
-        F.collect_list(F.struct("kind", "core", first, end)).alias("wanted"))
-    met = raw.join(asked.hint("shuffle_hash"), raw[f"`{doc}`"].eqNullSafe(asked["doc"]) & (raw["__uid"] == asked["uid"]))
+        F.collect_set(F.struct("kind", "core", first, end)).alias("__wanted")).select(
+        F.col("doc").alias("__d"), F.col("uid").alias("__u"), "__wanted")
+    met = raw.join(asked.hint("shuffle_hash"), raw[f"`{doc}`"].eqNullSafe(asked["__d"]) & (raw["__uid"] == asked["__u"]))
     pieces = met.select(
-        "doc", "uid", F.col("__text").cast("binary").alias("__raw"), F.explode(F.array_distinct("wanted")).alias("w"),
+        F.col("__d").alias("doc"), F.col("__u").alias("uid"), F.col("__text").cast("binary").alias("__raw"),
+        F.explode("__wanted").alias("w"),
     ).select(
         F.col("w.core").alias("core"), F.col("w.kind").alias("kind"), "doc", "uid", F.col("w.start").alias("first"),
         F.substring("__raw", F.col("w.start").cast("int") + 1, (F.col("w.end") - F.col("w.start")).cast("int")).alias("bytes"),
@@ -339,9 +341,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     partly = pieces.repartition("core").mapInArrow(
         _strings(arrow, length), f"doc {ddl}, uid bigint, start bigint, end bigint")
     spans = whole.unionByName(partly).groupBy("doc", "uid").agg(
-        F.collect_set(F.struct("start", "end")).alias("spans")).select(
-        F.col("doc").alias("__d"), F.col("uid").alias("__u"), "spans")
+        F.collect_set(F.struct("start", "end")).alias("__spans")).select(
+        F.col("doc").alias("__d"), F.col("uid").alias("__u"), "__spans")
     cut = raw.join(
         spans.hint("shuffle_hash"), raw[f"`{doc}`"].eqNullSafe(spans["__d"]) & (raw["__uid"] == spans["__u"]), "left"
-    ).withColumn("__cut", _without_spans()(F.col("__text"), F.col("spans")))
+    ).withColumn("__cut", _without_spans()(F.col("__text"), F.col("__spans")))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__cut.{c}").alias(c) for c in RESULT])
