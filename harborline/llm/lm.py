@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import stored, text_of
 
-SHARD_CHARS = 1 << 24
+SHARD_CHARS = 1 << 22
 STEPS = 512
 UNIT = np.uint64(1)
 
