@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +25,35 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most rows that go to a Python worker at once: rows with texts are long.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def text_of(df: DataFrame, column: str) -> Column:
-    """The text column as string, NULL as the empty text."""
+    """The text column as string, NULL as the empty text.
+
+    Limits the session's Arrow batches to ``BATCH_ROWS``, or fewer where it has a lower limit: the default of ten
+    thousand rows of text is held several times over, in the JVM and in the Python worker.
+    """
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(BATCH_SETTING, "0")) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+def lists(offsets: list[int], columns: dict[str, pa.Array]) -> pa.ListArray:
+    """A list of structs for each row, from flat columns and the place where each row's list begins (and the last ends)."""
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
+
+
+def halves(digests: list[bytes]) -> dict[str, pa.Array]:
+    """128-bit hashes as two columns."""
+    both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    return {"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])}
+
+
 def fingerprint(text: Column) -> Column:
     """Two independent 64-bit hashes: tells texts apart at any size of the corpus."""
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))

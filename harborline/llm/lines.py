@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import BLANK, fingerprint, stored, text_of, without
+from harborline.llm.common import BLANK, fingerprint, halves, lists, stored, text_of, without
 
 KEYS = "array<struct<a:bigint,b:bigint,at:array<int>>>"
 KEPT = "struct<text:string,n_lines:bigint,n_dropped:bigint>"
@@ -23,19 +23,20 @@ def line_keys(min_chars: int):
 
     @F.arrow_udf(KEYS)
     def keys(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts.to_pylist():
-            at: dict[bytes, list[int]] = {}
-            for i, line in enumerate(text.encode().split(b"\n")):
+        offsets, digests, at_offsets, at = [0], [], [0], []
+        for text in texts:
+            found: dict[bytes, list[int]] = {}
+            for i, line in enumerate(text.as_py().encode().split(b"\n")):
                 key = line_key(line)
                 if len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars):
-                    at.setdefault(xxhash.xxh3_128_digest(key), []).append(i)
-            out.append([
-                {"a": int.from_bytes(h[:8], "big", signed=True), "b": int.from_bytes(h[8:], "big", signed=True), "at": p}
-                for h, p in at.items()
-            ])
-        kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("at", pa.list_(pa.int32()))])
-        return pa.array(out, pa.list_(kind))
+                    found.setdefault(xxhash.xxh3_128_digest(key), []).append(i)
+            digests += found
+            for places in found.values():
+                at += places
+                at_offsets.append(len(at))
+            offsets.append(len(digests))
+        places = pa.ListArray.from_arrays(pa.array(at_offsets, pa.int32()), pa.array(at, pa.int32()))
+        return lists(offsets, halves(digests) | {"at": places})
 
     return keys
 
@@ -44,7 +45,8 @@ def _rebuilt():
     @F.arrow_udf(KEPT)
     def rebuilt(texts: pa.Array, dropped: pa.Array) -> pa.Array:
         kept, n_lines, n_dropped = [], [], []
-        for text, groups in zip(texts.to_pylist(), dropped.to_pylist(), strict=True):
+        for text, groups in zip(texts, dropped.to_pylist(), strict=True):
+            text = text.as_py()
             lines = text.split("\n")
             gone = {i for group in groups or () for i in group}
             kept.append("\n".join([x for i, x in enumerate(lines) if i not in gone]) if gone else text)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import BLANK, fingerprint, stored, text_of, without
+from harborline.llm.common import BLANK, fingerprint, halves, lists, stored, text_of, without
 from harborline.llm.lines import line_key
 
 WINDOW = 8
@@ -44,7 +44,8 @@ def base_stats():
     @F.arrow_udf("struct<" + ",".join(f"{c}:bigint" for c in STATS) + ">")
     def stats(texts: pa.Array) -> pa.Array:
         rows = []
-        for text in texts.to_pylist():
+        for text in texts:
+            text = text.as_py()
             raw = text.encode()
             words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip(BLANK)]
             rows.append((
@@ -63,20 +64,18 @@ def line_words():
 
     @F.arrow_udf("array<struct<a:bigint,b:bigint,words:bigint>>")
     def lines(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts.to_pylist():
+        offsets, digests, words = [0], [], []
+        for text in texts:
             found: dict[bytes, int] = {}
-            for line in text.encode().split(b"\n"):
+            for line in text.as_py().encode().split(b"\n"):
                 key = line_key(line)
                 if key:
                     h = xxhash.xxh3_128_digest(key)
                     found[h] = found.get(h, 0) + len(key.split())
-            out.append([
-                {"a": int.from_bytes(h[:8], "big", signed=True), "b": int.from_bytes(h[8:], "big", signed=True), "words": n}
-                for h, n in found.items()
-            ])
-        kind = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("words", pa.int64())])
-        return pa.array(out, pa.list_(kind))
+            digests += found
+            words += found.values()
+            offsets.append(len(digests))
+        return lists(offsets, halves(digests) | {"words": pa.array(words, pa.int64())})
 
     return lines
 

@@ -39,7 +39,7 @@ def simhash(text: str, shingle: int = 4) -> int:
 def fingerprints(shingle: int):
     @F.arrow_udf("bigint")
     def fingerprint(texts: pa.Array) -> pa.Array:
-        found = [simhash(t, shingle) for t in texts.to_pylist()]
+        found = [simhash(t.as_py(), shingle) for t in texts]
         return pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())
 
     return fingerprint
