@@ -10,7 +10,7 @@ from harborline.catalog.registry import query
 from harborline.catalog.sqltext import THRESHOLD, VALUES, dbl, div, dt, sql, ts
 from harborline.functions.exprs import label
 from harborline.operators import profile
-from harborline.operators.joins import known, on_spine, orphans, skew_join, with_last_year
+from harborline.operators.joins import known, lookup, on_spine, orphans, with_last_year
 from harborline.operators.ranking import rank_policies
 from harborline.plans import marts, staging
 
@@ -34,12 +34,17 @@ def invoices(spark: SparkSession, sf: str) -> DataFrame:
     return staging.typed_invoice(domain.raw_invoice(spark, sf))
 
 
+def confirmed_invoices(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged invoices of the confirmed policies: a third of all lines are orphans here."""
+    return staging.stg_invoice(domain.raw_invoice(spark, sf), domain.confirmed_policy(spark, sf))
+
+
 def claims(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_claim(domain.raw_claim(spark, sf))
 
 
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return rank_policies(policies(spark, sf), keys_from=domain.raw_policy(spark, sf))
+    return rank_policies(policies(spark, sf))
 
 
 def inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -56,7 +61,7 @@ def p3(spark, sf):
 
 @query("p4_stg_invoice", sql(f"SELECT {INVOICE_SQL} FROM raw_invoice JOIN confirmed_policy USING (policy_number)"))
 def p4(spark, sf):
-    return staging.stg_invoice(domain.raw_invoice(spark, sf), domain.confirmed_policy(spark, sf))
+    return confirmed_invoices(spark, sf)
 
 
 @query("p5_stg_claim", sql(f"SELECT {CLAIM_SQL} FROM raw_claim"))
@@ -64,9 +69,11 @@ def p5(spark, sf):
     return claims(spark, sf)
 
 
-@query("p6_paid_invoices", sql(f"SELECT {INVOICE_SQL} FROM raw_invoice WHERE status = 'paid'"))
+@query("p6_paid_invoices", sql(
+    f"SELECT {INVOICE_SQL} FROM raw_invoice JOIN confirmed_policy USING (policy_number) WHERE status = 'paid'"
+))
 def p6(spark, sf):
-    return staging.paid(invoices(spark, sf))
+    return staging.paid(confirmed_invoices(spark, sf))
 
 
 @query("p15_boolean_and_null", sql(
@@ -109,7 +116,7 @@ def j3(spark, sf):
 SELECT policy_number, user_id, count(*) OVER (PARTITION BY user_id) AS policy_count FROM raw_policy"""))
 def j4(spark, sf):
     raw = domain.raw_policy(spark, sf).select("policy_number", "user_id")
-    return skew_join(raw, staging.policies_per_user(raw), "user_id", "left")
+    return lookup(raw, staging.policies_per_user(raw), "user_id", "left")
 
 
 @query("j5_invoice_to_ranked_policy", sql(f"""
@@ -117,9 +124,9 @@ SELECT i.id, i.policy_number, {dbl('i.pre_levy_amount')} AS pre_levy_amount, CAS
 FROM paid_invoice i JOIN ranked r ON i.policy_number = r.policy_number WHERE NOT is_outlier_user"""))
 def j5(spark, sf):
     regular = marts.regular_policies(policies(spark, sf))
-    ranks = rank_policies(regular, keys_from=domain.raw_policy(spark, sf)).select("policy_number", "policy_rank")
+    ranks = rank_policies(regular).select("policy_number", "policy_rank")
     paid = staging.paid(invoices(spark, sf)).select("id", "policy_number", "pre_levy_amount")
-    return skew_join(paid, ranks, "policy_number", "inner", keys_from=domain.raw_invoice(spark, sf))
+    return lookup(paid, ranks, "policy_number", "inner")
 
 
 @query("j6_key_selfjoin", sql(f"""
@@ -200,13 +207,12 @@ def j11(spark, sf):
 
 
 @query("j12_year_ago_per_grain", sql(f"""
-SELECT time_grain, {dt('period_start')} AS period_start, premium_received, {dt('period_start_ly')} AS period_start_ly,
-  premium_received_ly
+SELECT * REPLACE ({dt('period_start')} AS period_start, {dt('period_start_ly')} AS period_start_ly)
 FROM rollups WHERE time_grain <> 'D'"""))
 def j12(spark, sf):
     grains = marts.regrain(marts.daily(*inputs(spark, sf)), ["W", "M", "Q", "Y"])
     only = F.col("time_grain").isin(marts.YEAR_AGO_GRAINS)
-    return with_last_year(grains, "period_start", ["time_grain"], ["premium_received"], only=only)
+    return with_last_year(grains, "period_start", ["time_grain"], marts.MEASURES, only=only)
 
 
 @query("u2_distinct_key_union", sql(f"""
@@ -279,8 +285,7 @@ JOIN (SELECT policy_number, least(policy_rank, 2) AS policy_rank FROM ranked WHE
   USING (policy_number)
 GROUP BY policy_rank"""))
 def a22(spark, sf):
-    marked = marts.new_policies(domain.raw_policy(spark, sf), THRESHOLD)
-    return marts.new_vs_returning(invoices(spark, sf), marked)
+    return marts.new_vs_returning(invoices(spark, sf), marts.new_policies(policies(spark, sf)))
 
 
 @query("a23_mart_policy_wide", sql(f"""
@@ -324,9 +329,11 @@ def a30(spark, sf):
 @query("a31_invoice_totals", sql(f"""
 SELECT policy_number, CAST(invoice_count AS INTEGER) AS invoice_count,
   {dbl('total_pre_levy_amount')} AS total_pre_levy_amount, {dbl('total_amount_paid')} AS total_amount_paid
-FROM invoice_totals"""))
+FROM (SELECT policy_number, count(*) AS invoice_count, sum(pre_levy_amount) AS total_pre_levy_amount,
+    sum(total_amount) AS total_amount_paid
+  FROM paid_invoice JOIN confirmed_policy USING (policy_number) GROUP BY 1)"""))
 def a31(spark, sf):
-    return marts.invoice_totals(invoices(spark, sf))
+    return marts.invoice_totals(confirmed_invoices(spark, sf))
 
 
 @query("a32_claim_totals", sql(f"""

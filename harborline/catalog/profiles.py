@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline import domain
-from harborline.catalog.insurance import claims, invoices, policies, ranked
+from harborline.catalog.insurance import claims, confirmed_invoices, invoices, policies, ranked
 from harborline.catalog.registry import query
 from harborline.catalog.sqltext import dbl, div, dt, sql
 from harborline.operators import profile, quality
@@ -172,8 +172,8 @@ def _nulls(table: str, column: str) -> str:
 
 
 _TABLE_OF = {
-    "stg_policy": "stg_policy", "stg_invoice": "raw_invoice", "stg_claim": "raw_claim", "int_policy_ranked": "ranked",
-    "int_invoice_paid": "paid_invoice", "mart_policy_denormalized": "wide",
+    "stg_policy": "stg_policy", "stg_invoice": "confirmed_invoice", "stg_claim": "raw_claim", "int_policy_ranked": "ranked",
+    "int_invoice_paid": "(SELECT * FROM confirmed_invoice WHERE status = 'paid')", "mart_policy_denormalized": "wide",
 }
 
 
@@ -181,9 +181,9 @@ _TABLE_OF = {
     f"SELECT '{kind}_{model}_{column}' AS \"check\", "
     f"{(_duplicates if kind == 'unique' else _nulls)(_TABLE_OF[model], column)} AS failures"
     for model, columns in quality.DECLARED.items() for column, kinds in columns.items() for kind in kinds
-)))
+), confirmed_invoice="SELECT raw_invoice.* FROM raw_invoice JOIN confirmed_policy USING (policy_number)"))
 def q5(spark, sf):
-    p, i, c = policies(spark, sf), invoices(spark, sf), claims(spark, sf)
+    p, i, c = policies(spark, sf), confirmed_invoices(spark, sf), claims(spark, sf)
     models = {
         "stg_policy": p, "stg_invoice": i, "stg_claim": c, "int_policy_ranked": ranked(spark, sf),
         "int_invoice_paid": i.where("status = 'paid'"), "mart_policy_denormalized": marts.policy_wide(p, i, c),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from harborline import domain
 from harborline.catalog.registry import query
 from harborline.catalog.sqltext import dbl, div, dt, ts
 from harborline.functions import exprs
-from harborline.operators.joins import skew_join
+from harborline.operators.joins import lookup
 from harborline.sinks.tables import with_load_time
 from harborline.streaming.events import parse_events
 
@@ -84,7 +86,7 @@ SELECT l_orderkey, (epoch(l_shipdate) - epoch(o_orderdate)) / 3600.0 AS hours
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def f6(spark, sf):
     dated = orders(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return skew_join(lines(spark, sf), dated, "l_orderkey", "inner").select(
+    return lookup(lines(spark, sf), dated, "l_orderkey", "inner").select(
         "l_orderkey", exprs.hours_between("o_orderdate", "l_shipdate").alias("hours")
     )
 
@@ -142,13 +144,22 @@ def f10(spark, sf):
     )
 
 
-PARSED_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS policy_number, event_type, substring(props, 1, 8000) AS payload,
+# A nested payload is a JSON object, a missing one an empty object, a NULL one the word null.
+PARSED_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS policy_number, event_type,
+  CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '{{"id":' || event_id || ',"tags":["' || event_type || '"]}}'
+    WHEN 2 THEN '{{}}' ELSE 'null' END AS payload,
   {ts("date_trunc('millisecond', ts)")} AS event_time FROM events"""
 
 
 @query("f11_json_parse", PARSED_SQL)
 def f11(spark, sf):
-    return parse_events(domain.event_messages(events(spark, sf)))
+    fields = "user_id AS policy_number, event_type, unix_millis(CAST(ts AS timestamp)) AS event_time_ms"
+    nested = "named_struct('id', event_id, 'tags', array(event_type))"
+    messages = events(spark, sf).selectExpr(f"""CASE event_id % 4
+      WHEN 0 THEN to_json(struct({fields}, props AS payload)) WHEN 1 THEN to_json(struct({fields}, {nested} AS payload))
+      WHEN 2 THEN to_json(struct({fields}))
+      ELSE concat('{{"payload":null,', substring(to_json(struct({fields})), 2)) END AS value""")
+    return parse_events(messages)
 
 
 @query("f12_clip_text", "SELECT doc_id, substring(text, 1, 8000) AS clipped FROM documents")
@@ -164,7 +175,9 @@ def f13(spark, sf):
 
 @query("f14_load_time", "SELECT count(*) AS stamped FROM region")
 def f14(spark, sf):
-    return with_load_time(domain.table(spark, sf, "region")).agg(F.count("_loaded_at").alias("stamped"))
+    began = F.lit(datetime.now(UTC) - timedelta(minutes=1))
+    stamped = with_load_time(domain.table(spark, sf, "region"))
+    return stamped.agg(F.count_if(F.col("_loaded_at").between(began, F.now())).alias("stamped"))
 
 
 @query("f15_month_label", """

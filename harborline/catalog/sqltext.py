@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from harborline.domain import LINE_ID
+
 THRESHOLD = 15
 
 
@@ -67,8 +69,8 @@ SELECT o_orderkey AS id, o_orderkey AS policy_number, o_custkey AS user_id, o_or
   CAST(CAST(o_orderdate AS DATE) - to_months(CAST(240 + o_custkey % 600 AS INTEGER)) AS DATE) AS insured_date_of_birth
 FROM orders""",
     "confirmed_policy": "SELECT o_orderkey AS policy_number FROM orders WHERE o_orderstatus <> 'P'",
-    "raw_invoice": """
-SELECT l_orderkey * 10 + l_linenumber AS id, l_linestatus AS invoice_type, l_orderkey AS policy_number,
+    "raw_invoice": f"""
+SELECT {LINE_ID} AS id, l_linestatus AS invoice_type, l_orderkey AS policy_number,
   l_shipdate AS coverage_start_date, l_shipdate + INTERVAL 30 DAY AS coverage_end_date, l_shipdate AS due_date,
   CASE l_returnflag WHEN 'A' THEN 'paid' WHEN 'N' THEN 'open' ELSE 'refunded' END AS status,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS pre_levy_amount,
@@ -77,8 +79,8 @@ SELECT l_orderkey * 10 + l_linenumber AS id, l_linestatus AS invoice_type, l_ord
   CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS DATE) END AS refund_date,
   CASE WHEN NOT (l_linenumber = 7 AND l_linestatus = 'O') THEN l_shipdate END AS charge_date
 FROM lineitem""",
-    "raw_claim": """
-SELECT l_orderkey * 10 + l_linenumber AS id, 'T' || l_linenumber AS type,
+    "raw_claim": f"""
+SELECT {LINE_ID} AS id, 'T' || l_linenumber AS type,
   CASE l_linestatus WHEN 'F' THEN 'paid' ELSE 'open' END AS status, l_orderkey AS policy_number,
   l_shipdate AS submit_date, CASE l_linestatus WHEN 'F' THEN l_shipdate END AS payment_date,
   CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS admission_date,
@@ -218,4 +220,11 @@ def sql(body: str, **extra: str) -> str:
     need(body)
     if not ordered:
         return body.strip()
-    return "WITH " + ", ".join(f"{n} AS ({known[n]})" for n in ordered) + "\n" + body.strip()
+    texts = [known[n] for n in ordered] + [body]
+
+    def clause(name: str) -> str:
+        # a subquery used more than once is kept, or the other engine computes it anew for each use
+        uses = sum(len(re.findall(rf"\b{name}\b", re.sub(r"'[^']*'", "", t))) for t in texts)
+        return f"{name} AS {'MATERIALIZED ' if uses > 1 else ''}({known[name]})"
+
+    return "WITH " + ", ".join(map(clause, ordered)) + "\n" + body.strip()

@@ -12,7 +12,7 @@ from harborline.streaming import events as stream
 
 NOW = {"availableNow": True}
 MILLIS = "date_trunc('millisecond', ts)"
-EVENT_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS policy_number, event_type, substring(props, 1, 8000) AS payload,
+EVENT_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS policy_number, event_type, props AS payload,
   {ts(MILLIS)} AS event_time FROM events"""
 
 
@@ -23,13 +23,17 @@ def _topic(spark, sf, label):
     return path
 
 
-def _land(spark, sf, label):
+def _landed(spark, sf, label):
     target, checkpoint = scratch(spark, f"{label}-landing"), scratch(spark, f"{label}-offsets")
     topic = _topic(spark, sf, label)
     for _ in range(2):  # the second start finds nothing new
         messages = stream.event_stream(spark, topic, "text")
         stream.land_stream(stream.parse_events(messages), target, checkpoint, NOW).awaitTermination()
-    return spark.read.parquet(target)
+    return target
+
+
+def _land(spark, sf, label):
+    return spark.read.parquet(_landed(spark, sf, label))
 
 
 @query("s13_event_source", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -84,8 +88,8 @@ def r4(spark, sf):
 SELECT CAST(user_id AS VARCHAR) AS policy_number, {ts(MILLIS)} AS event_time FROM events
 ORDER BY {MILLIS} DESC, 1 LIMIT 20""")
 def r5(spark, sf):
-    landed = _land(spark, sf, "r5").select("policy_number", "event_time")
-    return landed.orderBy(F.desc("event_time"), "policy_number").limit(20)
+    target = _landed(spark, sf, "r5")
+    return stream.latest_events(spark, target, 20, "policy_number").select("policy_number", "event_time")
 
 
 @query("r6_staged_events", f"""

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import MONEY
-from harborline.operators.joins import skew_join
+from harborline.operators.joins import lookup
+
+
+# Order and line number repeat in the test tables; with part and supplier a line has a key of its own.
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -34,7 +39,7 @@ def confirmed_policy(spark: SparkSession, sf: str) -> DataFrame:
 def raw_invoice(spark: SparkSession, sf: str) -> DataFrame:
     price = f"cast(l_extendedprice AS {MONEY})"
     return table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey * 10 + l_linenumber AS id",
+        LINE_ID + " AS id",
         "l_linestatus AS invoice_type",
         "l_orderkey AS policy_number",
         "l_shipdate AS coverage_start_date",
@@ -51,7 +56,7 @@ def raw_invoice(spark: SparkSession, sf: str) -> DataFrame:
 def raw_claim(spark: SparkSession, sf: str) -> DataFrame:
     price = f"cast(l_extendedprice AS {MONEY})"
     return table(spark, sf, "lineitem").where("l_returnflag = 'R'").selectExpr(
-        "l_orderkey * 10 + l_linenumber AS id",
+        LINE_ID + " AS id",
         "concat('T', l_linenumber) AS type",
         "CASE l_linestatus WHEN 'F' THEN 'paid' ELSE 'open' END AS status",
         "l_orderkey AS policy_number",
@@ -67,13 +72,11 @@ def _trips(spark: SparkSession, sf: str, linestatus: str) -> DataFrame:
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     customers = table(spark, sf, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
     suppliers = table(spark, sf, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
-    riders = skew_join(orders, customers, "o_custkey", "inner").selectExpr(
+    riders = lookup(orders, customers, "o_custkey", "inner").selectExpr(
         "o_orderkey AS l_orderkey", "o_orderdate", "c_nationkey"
     )
-    placed = skew_join(
-        lines.where(F.col("l_linestatus") == linestatus), suppliers, "l_suppkey", "inner", keys_from=lines
-    )
-    return skew_join(placed, riders, "l_orderkey", "inner", keys_from=lines)
+    placed = lookup(lines.where(F.col("l_linestatus") == linestatus), suppliers, "l_suppkey", "inner")
+    return lookup(placed, riders, "l_orderkey", "inner")
 
 
 def _trip_columns(prefix: str) -> list[str]:

@@ -8,13 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-# Staged amounts keep four decimals, so that sums are rounded to cents once, at the end. Eighteen digits
-# are the most that Spark adds up without big-number arithmetic.
-STAGED = "decimal(18,4)"
 NUMERIC = "decimal(38,9)"
+# Staged amounts are exact to nine decimals; sums are rounded to cents once, at the end.
+STAGED = NUMERIC
 # Sums enter a division as AMOUNT: wider types would leave the quotient fewer than ten decimals.
 AMOUNT = "decimal(28,2)"
-EXACT = "decimal(28,4)"
+EXACT = "decimal(29,9)"
 QUOTIENT = "decimal(38,10)"
 
 # Taxi vendor codes and their names. A code outside the table has no name.

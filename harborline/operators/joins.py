@@ -1,8 +1,8 @@
-"""Joins that stay balanced when a few keys hold a large share of the rows.
+"""Joins to a unique key, and joins of measures by period.
 
-Every join here has a right side with at most one row per key (or is a semi/anti join). The rows of
-the heaviest left keys are joined by broadcasting the matching right rows, of which there are at most
-``HOT_KEYS``; all other rows take an ordinary shuffled join, where no key is heavy any more.
+All are plain joins: a key that holds a large share of the rows is split by adaptive skew handling, which
+``harborline.session`` switches on. It works for every kind of join used here, since the side that is split
+is the left one.
 """
 
 from __future__ import annotations
@@ -13,10 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1024
-HOT_ROWS = 1_000_000
-SAMPLED_ROWS = 100
-
 
 def _same(on: Sequence[str], nulls_match: bool) -> Column:
     def one(c: str) -> Column:
@@ -26,83 +22,28 @@ def _same(on: Sequence[str], nulls_match: bool) -> Column:
     return reduce(lambda x, y: x & y, [one(c) for c in on])
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys holding about ``hot_rows`` rows or more, at most ``HOT_KEYS`` of them; None if there are none.
-
-    Runs at once, since the answer decides the shape of the plan. A frame with fewer rows in total, which
-    a count of file footers tells, needs no look at its keys. Otherwise the keys are counted in a sample
-    in which a hot key still has about ``SAMPLED_ROWS`` rows, so that not every key has to be shuffled:
-    the answer guides how rows travel and never changes a result.
-    """
-    if df.count() < hot_rows:
-        return None
-    share = min(1.0, SAMPLED_ROWS / hot_rows)
-    least = hot_rows if share == 1.0 else SAMPLED_ROWS // 2
-    rows = (
-        df.select(*on).sample(fraction=share, seed=7)
-        .groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= least)
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
-        .select(*on)
-    )
-    found = rows.collect()  # HOT_KEYS rows at most
-    return df.sparkSession.createDataFrame(found, rows.schema) if found else None
-
-
-def pick_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join to hot keys: at most HOT_KEYS rows, which bounds the broadcast."""
-    return df.alias("l").join(F.broadcast(keys.alias("r")), _same(on, True), how)
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "left",
-    nulls_match: bool = False,
-    hot_rows: int = HOT_ROWS,
-    keys_from: DataFrame | None = None,
+def lookup(
+    left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "left", nulls_match: bool = False
 ) -> DataFrame:
-    """Join ``left`` to a ``right`` that is unique on the key (any right for semi and anti joins).
-
-    ``keys_from`` is where hot keys are looked for, if that is cheaper than in ``left``, such as the table
-    behind it. Which keys count as hot changes how the rows travel, never the result.
-    """
+    """``left`` with the further columns of ``right`` (none for semi and anti joins); ``nulls_match`` joins NULL to NULL."""
     on = [on] if isinstance(on, str) else list(on)
-    if how in ("left_semi", "left_anti"):
-        right = right.select(*on)
-
-    def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        joined = a.alias("l").join(b.alias("r"), _same(on, nulls_match), how)
-        if how in ("left_semi", "left_anti"):
-            return joined
-        extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
-        return joined.select(*[F.col(f"l.{c}") for c in left.columns], *extra)
-
-    hot = hot_keys(left if keys_from is None else keys_from, on, hot_rows)
-    if hot is None:
-        return join(left, right)
-    hot_right = pick_keys(right, hot, on, "left_semi")
-    if how in ("left_semi", "left_anti"):
-        hot_right = hot_right.distinct()
-    # at most one right row per hot key: HOT_KEYS rows
-    hot_part = join(pick_keys(left, hot, on, "left_semi"), F.broadcast(hot_right))
-    return hot_part.unionByName(join(pick_keys(left, hot, on, "left_anti"), right))
-
-
-def known(
-    df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
-) -> DataFrame:
+    semi = how in ("left_semi", "left_anti")
+    right = right.select(*on) if semi else right
+    joined = left.alias("l").join(right.alias("r"), _same(on, nulls_match), how)
+    if semi:
+        return joined
+    extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
+    return joined.select(*[F.col(f"l.{c}") for c in left.columns], *extra)
+
+
+def known(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """The rows whose key exists in ``keys``; repeated keys there do not repeat rows."""
-    return skew_join(df, keys, on, "left_semi", hot_rows=hot_rows, keys_from=keys_from)
+    return lookup(df, keys, on, "left_semi")
 
 
-def orphans(
-    df: DataFrame, keys: DataFrame, on: Sequence[str] | str, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
-) -> DataFrame:
+def orphans(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """The rows whose key is missing from ``keys``; a NULL key is an orphan."""
-    return skew_join(df, keys, on, "left_anti", hot_rows=hot_rows, keys_from=keys_from)
+    return lookup(df, keys, on, "left_anti")
 
 
 def on_spine(keys: Sequence[str], *frames: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.operators.joins import orphans
@@ -59,25 +59,37 @@ def require(results: DataFrame) -> None:
 def run_declared(models: dict[str, DataFrame]) -> DataFrame:
     """The declared column checks of the insurance models that are present, as run_checks gives them.
 
-    All columns of a model that must not be NULL are counted in one pass over it.
+    A model is read once for its columns that must only be there, and once for each key.
     """
     parts = []
     for model, columns in DECLARED.items():
         if model not in models:
             continue
         df = models[model]
-        filled = [c for c, kinds in columns.items() if "not_null" in kinds]
-        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in filled])
-        pairs = [
-            F.struct(F.lit(f"not_null_{model}_{c}").alias("check"), F.col(c).alias("failures")) for c in filled
-        ]
-        parts.append(counted.select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
-        parts.append(
-            run_checks({f"unique_{model}_{c}": unique(df, c) for c, kinds in columns.items() if "unique" in kinds})
-        )
+        filled = [c for c, kinds in columns.items() if "not_null" in kinds and "unique" not in kinds]
+        if filled:
+            counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in filled])
+            parts.append(_rows({f"not_null_{model}_{c}": F.col(c) for c in filled}, counted))
+        for c in (c for c, kinds in columns.items() if "unique" in kinds):
+            # one aggregation per key tells repeats and, as the group of NULL, missing values
+            groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+            counted = groups.agg(
+                F.count_if(F.col(c).isNotNull() & (F.col("n") > 1)).alias("repeated"),
+                F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+            )
+            found = {f"unique_{model}_{c}": F.col("repeated")}
+            if "not_null" in columns[c]:
+                found[f"not_null_{model}_{c}"] = F.col("missing")
+            parts.append(_rows(found, counted))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _rows(found: dict[str, Column], counted: DataFrame) -> DataFrame:
+    """One row per check from the single row of counts."""
+    pairs = [F.struct(F.lit(name).alias("check"), n.alias("failures")) for name, n in found.items()]
+    return counted.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
 # Which columns of which models are declared unique or not null.
 DECLARED = {
     "stg_policy": {

@@ -5,62 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import HOT_ROWS, hot_keys, pick_keys
-from harborline.session import durable
-
 # NULL dates sort last; id only settles rows that repeat a policy number.
 ORDER_COLUMNS = ["effective_date", "policy_number", "id"]
 
 
-def _order() -> list:
-    return [F.asc_nulls_last(c) for c in ORDER_COLUMNS]
-
-
-def _flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("is_new_policy", F.col("policy_rank") == 1)
-
-
-def rank_policies(
-    policies: DataFrame, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
-) -> DataFrame:
+def rank_policies(policies: DataFrame) -> DataFrame:
     """Add policy_rank (1 = the user's first policy by effective date) and is_new_policy.
 
-    A plain window puts all policies of one user into one task. That is right for ordinary users; a
-    user with ``hot_rows`` policies or more is ranked from a distributed sort instead. ``keys_from`` is
-    where such users are looked for, if that is cheaper than in ``policies``.
+    A rank is the user's policies of earlier days plus the place inside the day. Days are counted before
+    they are ordered, so the window over a user holds a row per day and the window over rows holds a
+    user's single day: no task gets all policies of a user, however many there are.
     """
-    hot = hot_keys(policies if keys_from is None else keys_from, ["user_id"], hot_rows)
-    by_user = Window.partitionBy("user_id").orderBy(*_order())
-    if hot is None:
-        return _flag(policies.withColumn("policy_rank", F.row_number().over(by_user)))
-    usual = pick_keys(policies, hot, ["user_id"], "left_anti").withColumn("policy_rank", F.row_number().over(by_user))
-    heavy = _rank_by_sort(pick_keys(policies, hot, ["user_id"], "left_semi"))
-    return _flag(usual.unionByName(heavy))
-
-
-def _rank_by_sort(policies: DataFrame) -> DataFrame:
-    """Rank through range partitions: the rank inside a partition plus the user's rows in earlier ones.
-
-    The range key reaches down to the policy, so one user spreads over many partitions. The partition
-    number must not change between the two uses below, hence the durable copy.
-    """
-    spark = policies.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = durable(
-        policies.repartitionByRange(parts, F.asc_nulls_last("user_id"), *_order())
-        .withColumn("_part", F.spark_partition_id())
-    )
-    earlier = Window.partitionBy("user_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # at most one row per partition and user that meet: at most partitions + heavy users rows
-    offsets = (
-        placed.groupBy("user_id", "_part").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .drop("n")
+    day = F.to_date("effective_date")
+    per_day = policies.groupBy(F.col("user_id").alias("_user"), day.alias("_on")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = (
+        Window.partitionBy("_user").orderBy(F.asc_nulls_last("_on")).rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = Window.partitionBy("_part", "user_id").orderBy(*_order())
-    ranked = placed.withColumn("_here", F.row_number().over(inside))
-    same = F.col("l.user_id").eqNullSafe(F.col("r.user_id")) & (F.col("l._part") == F.col("r._part"))
-    return ranked.alias("l").join(F.broadcast(offsets.alias("r")), same).select(
-        *[F.col(f"l.{c}") for c in policies.columns],
-        (F.col("l._here") + F.col("r._before")).cast("int").alias("policy_rank"),
+    before = per_day.select("_user", "_on", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = policies.withColumn("_day", day)
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_day").eqNullSafe(F.col("_on"))
+    inside = Window.partitionBy("user_id", "_day").orderBy(*[F.asc_nulls_last(c) for c in ORDER_COLUMNS])
+    ranked = placed.join(before, same).withColumn("_here", F.row_number().over(inside))
+    rank = (F.col("_before") + F.col("_here")).cast("int")
+    return ranked.select(
+        *policies.columns, rank.alias("policy_rank"), (F.col("_before") + F.col("_here") == 1).alias("is_new_policy")
     )

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERIES_PER_PASS = 256
-
 
 def chunk(documents: DataFrame, size: int, overlap: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Whole documents cut into runs of ``size`` words, each sharing ``overlap`` words with the next.
@@ -21,65 +18,54 @@ def chunk(documents: DataFrame, size: int, overlap: int, id_col: str = "doc_id",
     if not 0 <= overlap < size:
         raise ValueError("overlap must lie between 0 and size - 1")
     step = size - overlap
-    words = documents.select(id_col, F.split(F.trim(F.regexp_replace(text_col, "[ \t\r\n]+", " ")), " ").alias("_w"))
+    words = F.split(F.trim(F.regexp_replace(text_col, "[ \t\r\n]+", " ")), " ")
     last = F.greatest(F.lit(0), F.ceil((F.size("_w") - size) / F.lit(step))).cast("int")
-    return words.select(id_col, "_w", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no")).select(
-        id_col, "chunk_no", F.array_join(F.slice("_w", F.col("chunk_no") * step + 1, size), " ").alias("text")
-    )
+    # texts are cut inside the row, so what is exploded is the finished chunks and not the words once per chunk
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_w", i * step + 1, size), " "))
+    return documents.select(id_col, words.alias("_w")).select(id_col, F.posexplode(cut).alias("chunk_no", "text"))
+
 
+def _blocks(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
+    """``vectors`` in blocks of about ``rows``, one row per block with ids and vectors as an array; their number."""
+    of = max(1, -(-vectors.count() // rows))
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(of)).alias(name)
+    return vectors.groupBy(block).agg(F.collect_list(F.struct("vec_id", "embedding")).alias(f"{name}_rows")), of
 
-def _nearest(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) -> DataFrame:
-    """The k best vectors per query in each task: few rows leave a task, however many it reads."""
-    norms = np.linalg.norm(queries, axis=1)
 
-    # both functions are nested so that they travel to the executors by value
+def _best(k: int):
     def best_of(vec_ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = ~np.isnan(sims)
         vec_ids, sims = vec_ids[keep], sims[keep]
         order = np.lexsort((vec_ids, -sims))[:k]
         return vec_ids[order], sims[order]
 
+    def unpacked(rows) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([r["vec_id"] for r in rows]), np.stack([np.asarray(r["embedding"], float) for r in rows])
+
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [(np.empty(0, dtype="int64"), np.empty(0)) for _ in ids]
         for batch in batches:
-            if batch.empty:
-                continue
-            vec_ids = batch["vec_id"].to_numpy()
-            matrix = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sims = (matrix @ queries.T) / (np.linalg.norm(matrix, axis=1)[:, None] * norms[None, :])
-            held = [
-                best_of(np.concatenate([old_ids, vec_ids]), np.concatenate([old_sims, sims[:, j]]))
-                for j, (old_ids, old_sims) in enumerate(held)
-            ]
-        for query_id, (found, sims) in zip(ids, held):
-            yield pd.DataFrame({"query_id": query_id, "vec_id": found, "similarity": sims})
-
-    return vectors.select("vec_id", "embedding").mapInPandas(best, "query_id long, vec_id long, similarity double")
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+            for ours, theirs in zip(batch["q_rows"], batch["v_rows"], strict=True):
+                (query_ids, queries), (ids, matrix) = unpacked(ours), unpacked(theirs)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    sims = (queries @ matrix.T) / np.outer(
+                        np.linalg.norm(queries, axis=1), np.linalg.norm(matrix, axis=1))
+                for query_id, row in zip(query_ids, sims, strict=True):
+                    found, values = best_of(ids, row)
+                    yield pd.DataFrame({"query_id": query_id, "vec_id": found, "similarity": values})
+
+    return best
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int = 1024, query_rows: int = 256) -> DataFrame:
     """The k vectors of largest cosine similarity per query vector, ties by the smaller id.
 
-    Vectors are scored where they lie; only each task's best k per query are shuffled. Query vectors
-    travel with the task, a bounded number at a time: more queries mean more passes.
+    Vectors and queries are put into blocks. A block of vectors is sent to each block of queries and leaves its
+    k best per query, so the vectors are read once for scoring and only the number of blocks is on the driver.
     """
-    passes, held = [], []
-    for row in queries.select("vec_id", "embedding").toLocalIterator():
-        held.append(row)
-        if len(held) == QUERIES_PER_PASS:
-            passes.append(held)
-            held = []
-    if held or not passes:
-        passes.append(held)
-    width = len(passes[0][0]["embedding"]) if passes[0] else 0
-    found = [
-        _nearest(
-            vectors, [r["vec_id"] for r in group],
-            np.array([r["embedding"] for r in group], dtype="float64").reshape(len(group), width), k,
-        )
-        for group in passes
-    ]
+    asked, n = _blocks(queries, query_rows, "q")
+    held, _ = _blocks(vectors, block_rows, "v")
+    sent = held.select("v_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("q"))
+    met = sent.join(asked, "q").select("q_rows", "v_rows")
+    found = met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double")
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
-    ranked = reduce(lambda a, b: a.unionByName(b), found).withColumn("rank", F.row_number().over(best))
-    return ranked.where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

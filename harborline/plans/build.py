@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from harborline.operators.quality import require, run_declared
 from harborline.operators.ranking import rank_policies
 from harborline.plans import marts, staging
+from harborline.sinks.tables import with_load_time, write_table
+from harborline.sources.files import read_raw_csv
 
 LAYERS = {
     "stg_policy": "staging",
@@ -24,25 +26,46 @@ LAYERS = {
 }
 
 
+#: The CSV files of the raw layer and the tables they become.
+RAW_FILES = {"policy.csv": "raw_policy", "invoice.csv": "raw_invoice", "claim.csv": "raw_claim"}
+
+
+def land_raw(spark: SparkSession, source: str, base: str) -> list[str]:
+    """Refresh the raw tables under ``base`` from the CSV files under ``source``; the names of those refreshed.
+
+    Every column stays text, with the time of the load beside it. A file that is missing is skipped, and
+    its table stays as it was.
+    """
+    done = []
+    for file, name in RAW_FILES.items():
+        rows = read_raw_csv(spark, source, file)
+        if rows is not None:
+            write_table(with_load_time(rows), f"{base.rstrip('/')}/raw/{name}")
+            done.append(name)
+    return done
+
+
+def raw_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{base.rstrip('/')}/raw/{name}") for name in RAW_FILES.values()}
+
+
 def build(raw: dict[str, DataFrame], threshold: int = staging.OUTLIER_THRESHOLD) -> dict[str, DataFrame]:
     """Every model as a lazy frame. ``raw`` holds raw_policy, raw_invoice and raw_claim."""
-    policies = staging.stg_policy(raw["raw_policy"], threshold)
-    invoices = staging.typed_invoice(raw["raw_invoice"])
-    claims = staging.stg_claim(raw["raw_claim"])
-    return _models(raw, policies, invoices, claims, threshold)
+    return _models(
+        staging.stg_policy(raw["raw_policy"], threshold), staging.stg_invoice(raw["raw_invoice"], raw["raw_policy"]),
+        staging.stg_claim(raw["raw_claim"]),
+    )
 
 
-def _models(raw, policies, invoices, claims, threshold) -> dict[str, DataFrame]:
-    known_invoices = staging.stg_invoice(raw["raw_invoice"], raw["raw_policy"])
+def _models(policies: DataFrame, invoices: DataFrame, claims: DataFrame) -> dict[str, DataFrame]:
     days = marts.daily(policies, invoices, claims)
-    first = marts.new_policies(raw["raw_policy"], threshold)
     return {
         "stg_policy": policies,
-        "stg_invoice": known_invoices,
+        "stg_invoice": invoices,
         "stg_claim": claims,
-        "int_invoice_paid": staging.paid(known_invoices),
-        "int_policy_ranked": rank_policies(policies, keys_from=raw["raw_policy"]),
-        "mart_new_vs_returning_premium": marts.new_vs_returning(invoices, first),
+        "int_invoice_paid": staging.paid(invoices),
+        "int_policy_ranked": rank_policies(policies),
+        "mart_new_vs_returning_premium": marts.new_vs_returning(invoices, marts.new_policies(policies)),
         "mart_policy_denormalized": marts.policy_wide(policies, invoices, claims),
         "mart_dashboard_daily": days,
         "mart_dashboard_monthly": marts.monthly(policies, invoices, claims),
@@ -55,10 +78,11 @@ def publish(
     spark: SparkSession, raw: dict[str, DataFrame], base: str, threshold: int = staging.OUTLIER_THRESHOLD,
     check: bool = True,
 ) -> dict[str, DataFrame]:
-    """Write the marts under ``base``, read them back, and run the declared checks on all models.
+    """Stage once, check, and only then write the marts under ``base``; all models as they can be read now.
 
-    The flagged policies and the daily mart feed several marts, so each is written once and read by the
-    others instead of being computed again. Staging and intermediate models stay lazy.
+    Typed staging tables are written before anything reads them, so raw tables are read and cast once. The
+    declared checks run on staging, the intermediate models and the wide mart before the first mart is
+    replaced: a failing check leaves the published marts as they were.
     """
 
     def stored(name: str, df: DataFrame) -> DataFrame:
@@ -67,16 +91,16 @@ def publish(
         return spark.read.parquet(path)
 
     policies = stored("stg_policy", staging.stg_policy(raw["raw_policy"], threshold))
-    invoices = staging.typed_invoice(raw["raw_invoice"])
-    claims = staging.stg_claim(raw["raw_claim"])
-    models = _models(raw, policies, invoices, claims, threshold)
+    invoices = stored("stg_invoice", staging.stg_invoice(raw["raw_invoice"], policies))
+    claims = stored("stg_claim", staging.stg_claim(raw["raw_claim"]))
+    models = _models(policies, invoices, claims)
+    if check:
+        require(run_declared(models))
     models["mart_dashboard_daily"] = stored("mart_dashboard_daily", models["mart_dashboard_daily"])
     models["mart_dashboard_rollups"] = marts.rollups(models["mart_dashboard_daily"])
     for name, layer in LAYERS.items():
         if layer == "marts" and name != "mart_dashboard_daily":
             models[name] = stored(name, models[name])
-    if check:
-        require(run_declared(models))
     return models
 
 

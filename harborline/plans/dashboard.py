@@ -36,24 +36,17 @@ def period_summary(days: DataFrame, as_of: date) -> DataFrame:
     windows = []
     for name, (first, last) in _bounds(as_of).items():
         windows += [(name, "now", F.lit(first), F.lit(last)), (name, "ly", *_year_ago(first, last))]
-    tags = F.array(*[
-        F.struct(
-            F.lit(name).alias("window"), F.lit(kind).alias("kind"),
-            F.col("day_date").between(first, last).alias("hit"),
-        )
+    # one ungrouped aggregate with a sum per window and kind, so a window that nothing falls into has a row too
+    names = [f"{c}{suffix}" for suffix in ("", "_ly") for c in SUMS]
+    totals = days.agg(*[
+        or_zero(F.sum(F.when(F.col("day_date").between(first, last), F.col(c)))).alias(f"{name}.{c}{'_ly' if kind == 'ly' else ''}")
         for name, kind, first, last in windows
-    ])
-    hits = days.select(F.explode(F.filter(tags, lambda t: t["hit"])).alias("t"), *SUMS).select("t.*", *SUMS)
-    found = hits.groupBy("window").agg(*[
-        F.sum(F.when(F.col("kind") == kind, F.col(c))).alias(f"{c}{suffix}")
-        for kind, suffix in (("now", ""), ("ly", "_ly"))
         for c in SUMS
     ])
-    every = F.array(*[F.lit(w) for w in WINDOWS])
-    # one row per window even where nothing falls into it
-    names = days.agg(F.max("day_date").alias("d")).select(F.explode(every).alias("window"))
-    full = names.join(found, "window", "left")
-    sums = full.select("window", *[or_zero(c).alias(c) for c in found.columns if c != "window"])
+    each = F.array(*[
+        F.struct(F.lit(w).alias("window"), *[F.col(f"`{w}.{n}`").alias(n) for n in names]) for w in WINDOWS
+    ])
+    sums = totals.select(F.explode(each).alias("w")).select("w.*")
     return sums.select(
         "*",
         ratio("claims_paid", "premium_received", 4).alias("loss_ratio"),

@@ -76,40 +76,50 @@ def month_table(rows: DataFrame, kind: str, filename: str | Column) -> DataFrame
     return hashed.select(*[typed(name, dtype) for name, dtype in hashed.dtypes])
 
 
+#: How a staged month is hashed: hex over seven columns, or raw bytes over five in a typed month table.
+VARIANTS = {"hex": enrich, "raw": month_table}
+
+
 def load_month(
-    spark: SparkSession, kind: str, ym: str, source: str, target: str, staging: str, grain: str = "D"
+    spark: SparkSession, kind: str, ym: str, source: str, target: str, staging: str, grain: str = "D",
+    variant: str = "hex",
 ) -> dict:
     """Load one month file into the target: stage it anew, then merge. Loading it again adds nothing.
 
     The target is laid out by pickup day, or by a coarser ``grain``. The row hash covers the pickup time,
-    so a staged row can only meet target rows of its own period: the merge reads the periods the file
-    spans, unless some pickup is missing, when it reads everything.
+    so a staged row can only meet target rows of its own period: the merge reads the periods that the
+    file has rows for, so a few stray years in it cost a few stray partitions.
     """
     spec = KINDS[kind]
     name = month_file(kind, ym)
-    period = F.col("pickup_period")
     rows = read_csv(spark, f"{source.rstrip('/')}/{name}", schema=spec.schema)
-    staged = enrich(rows, kind, name).withColumn("pickup_period", period_start(spec.pickup, grain))
+    staged = VARIANTS[variant](rows, kind, name).withColumn("pickup_period", period_start(spec.pickup, grain))
     seen = Observation()
-    staged.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.min(period).alias("first"),
-        F.max(period).alias("last"),
-        F.count_if(period.isNull()).alias("undated"),
-    ).write.mode("overwrite").parquet(staging)
-    scope = None
-    if seen.get["rows"] and not seen.get["undated"]:
-        scope = period.between(F.lit(seen.get["first"]), F.lit(seen.get["last"])) | period.isNull()
-    inserted = merge_insert_only(
-        spark.read.parquet(staging), target, "unique_row_id", partition="pickup_period", scope=scope
-    )
+    staged.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staging)
+    inserted = merge_insert_only(spark.read.parquet(staging), target, "unique_row_id", partition="pickup_period")
     return {"file": name, "rows_in": seen.get["rows"], "rows_inserted": inserted}
 
 
+def month_range(first: str, last: str) -> list[str]:
+    """The months from ``first`` to ``last``, both as yyyy-MM and both included."""
+    at, end = (int(ym[:4]) * 12 + int(ym[5:]) - 1 for ym in (first, last))
+    if end < at:
+        raise ValueError("the last month lies before the first month")
+    return [f"{m // 12}-{m % 12 + 1:02d}" for m in range(at, end + 1)]
+
+
 def backfill(
-    spark: SparkSession, kind: str, months: Sequence[str], source: str, target: str, staging: str, grain: str = "D"
+    spark: SparkSession, kinds: str | Sequence[str], months: Sequence[str], source: str, target: str, staging: str,
+    grain: str = "D", variant: str = "hex",
 ) -> DataFrame:
-    """Load months one after another; one audit row per month."""
-    audit = [load_month(spark, kind, ym, source, target, f"{staging}/{kind}-{ym}", grain) for ym in months]
+    """Load months one after another; one audit row per month. Several kinds go to a folder of the target each."""
+    several = [kinds] if isinstance(kinds, str) else list(kinds)
+    audit = [
+        load_month(
+            spark, kind, ym, source, target if isinstance(kinds, str) else f"{target}/{kind}",
+            f"{staging}/{kind}-{ym}", grain, variant,
+        )
+        for kind in several
+        for ym in months
+    ]
     return spark.createDataFrame(audit, "file string, rows_in long, rows_inserted long")

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import EXACT, QUOTIENT, label, or_zero, period_start, ratio
-from harborline.operators.joins import HOT_ROWS, skew_join, with_last_year
-from harborline.plans.staging import OUTLIER_THRESHOLD, paid, typed_policy
+from harborline.operators.joins import lookup, with_last_year
+from harborline.plans.staging import paid
 
 MEASURES = [
     "premium_received",
@@ -30,6 +30,8 @@ MEASURES = [
     "avg_premium_per_policy",
     "avg_claim_amount",
 ]
+# Totals are added up as long; only the published column is a 32-bit number.
+COUNTS = ["policies_issued", "claim_count"]
 ROLLUP_GRAINS = ["D", "W", "M", "Q", "Y"]
 YEAR_AGO_GRAINS = ["M", "Q", "Y"]
 
@@ -110,17 +112,17 @@ def combine(keys: Sequence[str], *pieces: DataFrame) -> DataFrame:
 
     sums = stacked.groupBy(*keys).agg(
         F.round(total("premium_received"), 2).alias("premium_received"),
-        total("policies_with_payment").cast("int").alias("policies_with_payment"),
-        total("policies_issued").cast("int").alias("policies_issued"),
+        total("policies_with_payment").alias("policies_with_payment"),
+        total("policies_issued").alias("policies_issued"),
         F.round(total("claims_paid"), 2).alias("claims_paid"),
-        total("claim_count").cast("int").alias("claim_count"),
+        total("claim_count").alias("claim_count"),
     )
     return sums.select(
         *keys,
         "premium_received",
-        "policies_issued",
+        F.col("policies_issued").cast("int").alias("policies_issued"),
         "claims_paid",
-        "claim_count",
+        F.col("claim_count").cast("int").alias("claim_count"),
         ratio("claims_paid", "premium_received", 4).alias("loss_ratio"),
         ratio("premium_received", "policies_with_payment", 2, need_positive_num=True).alias("avg_premium_per_policy"),
         ratio("claims_paid", "claim_count", 2, need_positive_num=True).alias("avg_claim_amount"),
@@ -176,9 +178,9 @@ def regrain(days: DataFrame, grains: Sequence[str] = ROLLUP_GRAINS) -> DataFrame
     own = [m for m in MEASURES if m.startswith(("loss", "avg"))]
     sums = placed.groupBy("time_grain", "period_start").agg(
         F.sum("premium_received").alias("premium_received"),
-        F.sum("policies_issued").cast("int").alias("policies_issued"),
+        F.sum("policies_issued").alias("policies_issued"),
         F.sum("claims_paid").alias("claims_paid"),
-        F.sum("claim_count").cast("int").alias("claim_count"),
+        F.sum("claim_count").alias("claim_count"),
         *[F.max(F.when(F.col("time_grain") == "D", F.col(m))).alias(f"_{m}") for m in own],
     )
     fresh = {
@@ -190,7 +192,7 @@ def regrain(days: DataFrame, grains: Sequence[str] = ROLLUP_GRAINS) -> DataFrame
     return sums.select(
         "time_grain",
         "period_start",
-        *[m for m in MEASURES if m not in own],
+        *[F.col(m).cast("int").alias(m) if m in COUNTS else m for m in MEASURES if m not in own],
         *[F.when(is_day, F.col(f"_{m}")).otherwise(fresh[m]).alias(m) for m in own],
     )
 
@@ -201,23 +203,18 @@ def rollups(days: DataFrame) -> DataFrame:
     return with_last_year(regrain(days), "period_start", ["time_grain"], MEASURES, only=lends)
 
 
-def new_policies(
-    raw_policies: DataFrame, threshold: int = OUTLIER_THRESHOLD, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """policy_number, is_outlier_user and is_new_policy, without ranking anybody's policies.
+def new_policies(policies: DataFrame) -> DataFrame:
+    """policy_number, is_outlier_user and is_new_policy of staged policies, without ranking anybody's policies.
 
     Only the first rank matters here, and a minimum is an aggregate: it combines before the shuffle
     where a window would sort all policies of a user in one task.
     """
-    policies = typed_policy(raw_policies).select("user_id", "id", "policy_number", "effective_date")
     position = F.struct(F.col("effective_date").isNull(), F.col("effective_date"), F.col("policy_number"), F.col("id"))
-    users = policies.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("policy_count"), F.min(position).alias("first")
-    )
-    outlier = (F.col("policy_count") > threshold) & F.col("user_id").isNotNull()
-    return skew_join(policies, users, "user_id", "left", nulls_match=True, hot_rows=hot_rows).select(
+    users = policies.groupBy("user_id").agg(F.min(position).alias("first"))
+    rows = policies.select("user_id", "id", "policy_number", "is_outlier_user")
+    return lookup(rows, users, "user_id", "left", nulls_match=True).select(
         "policy_number",
-        outlier.alias("is_outlier_user"),
+        "is_outlier_user",
         (F.col("policy_number").eqNullSafe(F.col("first.policy_number")) & F.col("id").eqNullSafe(F.col("first.id")))
         .alias("is_new_policy"),
     )

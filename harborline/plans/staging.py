@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions.exprs import amount
-from harborline.operators.joins import HOT_ROWS, known, skew_join
+from harborline.operators.joins import known, lookup
 
 OUTLIER_THRESHOLD = 200
 
@@ -29,7 +32,7 @@ def typed_policy(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_policy(raw: DataFrame, threshold: int = OUTLIER_THRESHOLD, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stg_policy(raw: DataFrame, threshold: int = OUTLIER_THRESHOLD) -> DataFrame:
     """Typed policies; is_outlier_user marks users with more than ``threshold`` policies.
 
     A NULL user is never an outlier. Counting first and joining back keeps a user with most of the rows
@@ -37,35 +40,40 @@ def stg_policy(raw: DataFrame, threshold: int = OUTLIER_THRESHOLD, hot_rows: int
     """
     counts = policies_per_user(raw)
     outliers = counts.where(F.col("policy_count") > threshold).select("user_id", F.lit(True).alias("_outlier"))
-    joined = skew_join(typed_policy(raw), outliers, "user_id", "left", hot_rows=hot_rows, keys_from=raw)
+    joined = lookup(typed_policy(raw), outliers, "user_id", "left")
     return joined.select(
         *[c for c in joined.columns if c != "_outlier"],
         F.coalesce(F.col("_outlier"), F.lit(False)).alias("is_outlier_user"),
     )
 
 
-def typed_invoice(raw: DataFrame) -> DataFrame:
+def typed_invoice(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Typed invoices. An unreadable amount stops the job, or becomes NULL unless ``strict``."""
     return raw.select(
         "id",
         "invoice_type",
         "policy_number",
         *[F.col(c).cast("timestamp").alias(c) for c in ("coverage_start_date", "coverage_end_date", "due_date")],
         "status",
-        amount("pre_levy_amount").alias("pre_levy_amount"),
-        amount("total_amount").alias("total_amount"),
+        amount("pre_levy_amount", strict).alias("pre_levy_amount"),
+        amount("total_amount", strict).alias("total_amount"),
         F.col("refund_date").cast("date").alias("refund_date"),
         F.col("charge_date").cast("timestamp").alias("charge_date"),
     )
 
 
-def stg_invoice(raw: DataFrame, raw_policies: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stg_invoice(raw: DataFrame, raw_policies: DataFrame, strict: bool = True) -> DataFrame:
     """Typed invoices of known policies only."""
-    return known(
-        typed_invoice(raw), raw_policies.select("policy_number"), "policy_number", hot_rows=hot_rows, keys_from=raw
-    )
+    return known(typed_invoice(raw, strict), raw_policies.select("policy_number"), "policy_number")
+
+
+def quarantined(raw: DataFrame, amounts: Sequence[str]) -> DataFrame:
+    """The raw rows with an amount that is there but unreadable: what lenient staging sets to NULL."""
+    bad = [F.col(c).isNotNull() & amount(c, strict=False).isNull() for c in amounts]
+    return raw.where(reduce(lambda a, b: a | b, bad))
 
 
-def stg_claim(raw: DataFrame) -> DataFrame:
+def stg_claim(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.select(
         "id",
         "type",
@@ -74,8 +82,8 @@ def stg_claim(raw: DataFrame) -> DataFrame:
         F.col("submit_date").cast("timestamp").alias("submit_date"),
         F.col("payment_date").cast("timestamp").alias("payment_date"),
         F.col("admission_date").cast("date").alias("admission_date"),
-        amount("total_billed_amount").alias("total_billed_amount"),
-        amount("total_base_payable_amount").alias("total_base_payable_amount"),
+        amount("total_billed_amount", strict).alias("total_billed_amount"),
+        amount("total_base_payable_amount", strict).alias("total_base_payable_amount"),
     )
 
 

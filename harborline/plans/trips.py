@@ -127,11 +127,15 @@ def largest_tip(trips: DataFrame, zones: DataFrame, pickup_zone: str) -> DataFra
 
 
 def longest_trips(trips: DataFrame, below: float) -> DataFrame:
-    """Pickup time and distance of every trip under a distance, longest first."""
+    """Pickup time and distance of every trip under a distance, longest first.
+
+    The last sort key is a hash of the whole trip: trips equal in the other two may be cut between tasks.
+    """
     return (
         trips.where(F.col("trip_distance") < below)
-        .select("pickup_datetime", "trip_distance")
-        .orderBy(F.desc("trip_distance"), "pickup_datetime")
+        .select("pickup_datetime", "trip_distance", F.xxhash64(*trips.columns).alias("_spread"))
+        .orderBy(F.desc("trip_distance"), "pickup_datetime", "_spread")
+        .drop("_spread")
     )
 
 

@@ -6,35 +6,42 @@ batch again inserts nothing. One writer per target at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import HOT_ROWS, orphans
+from harborline.operators.joins import known, orphans
 
 
-def merge_insert_only(
-    staged: DataFrame, target: str, key: str, partition: str | None = None, scope: Column | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> int:
-    """Append new rows to the Parquet table at ``target`` and return their number.
+def merge_insert_only(staged: DataFrame, target: str, key: str, partition: str | None = None) -> int:
+    """Append the staged rows that are new to the Parquet table at ``target`` and return their number.
 
-    ``scope`` limits which target rows can hold a staged key, e.g. to the day partitions of the batch,
-    so that the merge reads those instead of the whole table. It has to hold for the staged rows too.
-    The number of rows is the difference of two counts, which read file footers only.
+    With ``partition``, a row can only meet target rows of its own partition (the key must decide the
+    partition). Then the merge reads just the partitions that the batch has rows for, which Spark prunes
+    from the distinct values, and the NULL partition, which equality cannot name.
     """
     spark = staged.sparkSession
     shell = staged.limit(0).write.mode("ignore")  # the table, if it is missing
     (shell.partitionBy(partition) if partition else shell).parquet(target)
-
-    def rows_in_scope() -> DataFrame:
-        table = spark.read.schema(staged.schema).parquet(target)
-        return table if scope is None else table.where(scope)
-
-    before = rows_in_scope().count()
-    fresh = orphans(staged, rows_in_scope().select(key), key, hot_rows=hot_rows)
+    held = spark.read.schema(staged.schema).parquet(target)
     if partition is not None:
-        # few files per partition, and a partition too big for one task is split
-        fresh = fresh.hint("rebalance", F.col(partition))
+        touched = staged.select(partition).distinct()
+        undated = held.where(F.col(partition).isNull()).select(key)
+        held = known(held.select(key, partition), touched, partition).select(key).unionByName(undated)
+    counted = Observation()
+    fresh = orphans(staged, held.select(key), key).observe(counted, F.count(F.lit(1)).alias("rows"))
+    # few files per partition, and a partition too big for one task is split
+    fresh = fresh.hint("rebalance", F.col(partition)) if partition else fresh.hint("rebalance")
     writer = fresh.write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(target)
-    return rows_in_scope().count() - before
+    return _rows(counted)
+
+
+def _rows(counted: Observation) -> int:
+    """The observed number; a plan that turned out empty while it ran drops its observation, and has none."""
+    try:
+        return counted.get["rows"]
+    except Py4JJavaError as error:
+        if "AssertionError" in str(error.java_exception.toString()):
+            return 0
+        raise

@@ -121,16 +121,18 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def file_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Number of Parquet files under a path, their total size and average size in MB.
-
-    Only names and lengths are read, not the contents.
-    """
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet files under a path with their size. Only names and lengths are read, not the contents."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    return files.load(path).agg(
+    return files.load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
+def file_profile(spark: SparkSession, path: str) -> DataFrame:
+    """Number of Parquet files under a path, their total size and average size in MB."""
+    return file_sizes(spark, path).agg(
         F.count(F.lit(1)).alias("files"),
-        F.sum("length").alias("bytes_total"),
-        (F.avg("length") / F.lit(1024 * 1024)).alias("mb_avg"),
+        F.sum("bytes").alias("bytes_total"),
+        (F.avg("bytes") / F.lit(1024 * 1024)).alias("mb_avg"),
     )
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, NullType, StructField, StructType
 
+from harborline.sinks.tables import write_table
 from harborline.sources.files import month_files, months_between
 
 _WHOLE = (IntegerType, LongType)
@@ -57,28 +62,85 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     ])
 
 
-def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files of different schemas as one frame in the widened schema.
+def leaf_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The data files below the paths, without opening one."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return [unquote(f) for f in listed.inputFiles()]
+
+
+def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
+    """One scan in the merged schema where the schemas only differ in which columns there are, else one per schema.
 
-    Files are grouped by schema, so the plan has one scan per distinct schema, however many files.
+    Spark merges schemas in one pass but refuses a column of several types; then each file is asked for its own.
     """
-    groups: dict[str, list[str]] = defaultdict(list)
-    schemas: dict[str, StructType] = {}
+    reader = spark.read.option("basePath", base) if base else spark.read
+    try:
+        return [reader.option("mergeSchema", True).parquet(*files)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        found = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
-    for path, schema in zip(paths, found):
-        groups[schema.json()].append(path)
-        schemas[schema.json()] = schema
-    target = widened(schemas.values())
-    parts = [conform(spark.read.schema(schemas[k]).parquet(*group), target) for k, group in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        found = list(pool.map(lambda file: reader.option("mergeSchema", False).parquet(file).schema, files))
+    groups: dict[str, list[str]] = defaultdict(list)
+    for file, schema in zip(files, found, strict=True):
+        groups[schema.json()].append(file)
+    return [
+        reader.schema(StructType.fromJson(json.loads(schema))).parquet(*own) for schema, own in groups.items()
+    ]
+
+
+def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files of different schemas as one frame in the widened schema; a path is a file or a folder of files.
+
+    Every file counts with its own schema, also where files of one folder differ. The plan has one scan per
+    distinct schema at most, however many files.
+    """
+    groups: dict[str | None, list[str]] = defaultdict(list)
+    bare = {p: p.split(":", 1)[-1].strip("/") for p in paths}
+    by_length = sorted(paths, key=lambda p: -len(bare[p]))
+    root_of = {f: next((p for p in by_length if bare[p] in f), paths[0]) for f in leaf_files(spark, paths)}
+    for file in sorted(root_of, key=lambda f: (paths.index(root_of[f]), f)):
+        # a folder whose files lie in folders of their own has partition columns, which hang on its path
+        root = root_of[file]
+        below = file.partition(f"{bare[root]}/")[2].rpartition("/")[0]
+        groups[root if "=" in below else None].append(file)
+    scans = [scan for base, files in groups.items() for scan in _merged(spark, files, base)]
+    target = widened(scan.schema for scan in scans)
+    return reduce(lambda a, b: a.unionByName(b), [conform(scan, target) for scan in scans])
+
+
+def append_evolving(
+    spark: SparkSession, rows: DataFrame, target: str, partition_ts: str | None = None, replace: bool = False,
+) -> StructType:
+    """Append ``rows`` to the Parquet table at ``target`` whose columns may differ, and return the table's schema.
+
+    New columns are added, and a whole number meets a real one in double; older files keep what they hold and
+    ``read_drifting`` reads all in the common schema, so no file is written again. Types without a common type
+    raise SchemaConflict before anything is written. ``replace`` starts the table anew. With ``partition_ts``
+    the table is laid out by day of that time.
+    """
+    exists = not replace
+    if exists:
+        try:
+            held = read_drifting(spark, [target]).schema
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            exists = False
+    part = f"{partition_ts}_day"
+    if exists:
+        kept = StructType([f for f in held.fields if f.name != part])
+        rows = conform(rows, widened([kept, rows.schema]))
+    write_table(rows, target, mode="append" if exists else "overwrite", partition_ts=partition_ts)
+    return rows.schema
 
 
 def read_months(
-    spark: SparkSession, base: str, kind: str, start_year: int | None = None, end_year: int | None = None,
+    spark: SparkSession, base: str, kinds: str | Sequence[str], start_year: int | None = None, end_year: int | None = None,
     months: Sequence[str] | None = None, pattern: str = "{kind}_tripdata_{ym}.parquet",
 ) -> DataFrame:
-    """All months of a year range, or the listed ones, as one frame."""
+    """All months of a year range, or the listed ones, of one kind or several, as one frame."""
     if months is None:
         months = months_between(start_year, end_year)
-    return read_drifting(spark, month_files(base, kind, months, pattern))
+    several = [kinds] if isinstance(kinds, str) else kinds
+    return read_drifting(spark, [f for kind in several for f in month_files(base, kind, months, pattern)])

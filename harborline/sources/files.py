@@ -39,17 +39,19 @@ def read_raw_csv(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False, lenient: bool = False
+    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False, lenient: bool = False,
+    multi_line: bool = False, header: bool = True,
 ) -> DataFrame:
-    """CSV with a header: typed by ``schema``, or inferred. Files ending in .gz are read as they are.
+    """CSV, with a header unless told otherwise: typed by ``schema``, or inferred. Files ending in .gz are read as they are.
 
     Strict reading stops at a row that does not fit the schema. Lenient reading pads short rows with
-    NULL and allows line breaks inside quotes.
+    NULL. ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("timestampNTZFormat", TIME_FORMAT)
+    reader = spark.read.option("header", header).option("escape", '"').option("timestampNTZFormat", TIME_FORMAT)
     reader = reader.option("mode", "PERMISSIVE" if lenient or schema is None else "FAILFAST")
+    reader = reader.option("multiLine", multi_line)
     if lenient:
-        reader = reader.option("multiLine", True).option("enforceSchema", True)
+        reader = reader.option("enforceSchema", True)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer or lenient).csv(path)

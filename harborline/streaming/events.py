@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType
 
 from harborline.functions.exprs import clip, from_millis
+from harborline.operators.joins import orphans
 
 MESSAGE = "policy_number variant, event_type variant, payload variant, event_time_ms variant"
 EVENT_COLUMNS = ["policy_number", "event_type", "payload", "event_time"]
@@ -45,7 +48,7 @@ def _payload(spaced: bool) -> Column:
     )
 
 
-def _parsed(lines: DataFrame, spaced: bool) -> DataFrame:
+def _parsed(lines: DataFrame, spaced: bool, payload_limit: int | None) -> DataFrame:
     read = lines.withColumn("m", F.from_json("value", MESSAGE))
     millis = F.expr("try_variant_get(m.event_time_ms, '$', 'bigint')")
     complete = F.col("m.policy_number").isNotNull() & F.col("m.event_type").isNotNull() & millis.isNotNull()
@@ -54,21 +57,24 @@ def _parsed(lines: DataFrame, spaced: bool) -> DataFrame:
         complete.alias("ok"),
         _text("m.policy_number").alias("policy_number"),
         _text("m.event_type").alias("event_type"),
-        clip(_payload(spaced)).alias("payload"),
+        (_payload(spaced) if payload_limit is None else clip(_payload(spaced), payload_limit)).alias("payload"),
         from_millis(millis).alias("event_time"),
     )
 
 
-def parse_events(lines: DataFrame, strict: bool = True, spaced: bool = False):
-    """JSON messages to policy_number, event_type, payload (at most 8,000 characters) and event_time.
+def parse_events(
+    lines: DataFrame, strict: bool = True, spaced: bool = False, payload_limit: int | None = None
+):
+    """JSON messages to policy_number, event_type, payload and event_time.
 
     A message is bad when it is not a JSON object, or lacks one of the three other keys. Strict parsing
     stops at a bad message; else the result is a pair (events, bad message texts).
 
-    Nested payloads are written as compact JSON; ``spaced`` writes them with a blank after each comma
+    ``payload_limit`` cuts payloads to so many characters, after which one may no longer be JSON; without it
+    they stay whole. Nested payloads are written as compact JSON; ``spaced`` writes them with a blank after each comma
     and colon, and non-ASCII characters escaped, at the price of a Python pass.
     """
-    parsed = _parsed(lines, spaced)
+    parsed = _parsed(lines, spaced, payload_limit)
     if strict:
         broken = F.raise_error(F.concat(F.lit("bad event message: "), F.coalesce("value", F.lit("NULL"))))
         checked = F.when(F.col("ok"), F.col("event_time")).otherwise(broken.cast("timestamp"))
@@ -108,33 +114,60 @@ def batch_folders(target: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def jdbc_batches(url: str, table: str, retries: int = 3, **options: str) -> Callable[[DataFrame, int], None]:
+def still_missing(batch: DataFrame, held: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of a batch whose key the table does not hold yet, however batch and table are partitioned."""
+    return orphans(batch, held, key)
+
+
+def _is_database_error(error: Exception) -> bool:
+    return isinstance(error, (Py4JJavaError, PySparkException)) and "java.sql." in str(error)
+
+
+def jdbc_batches(
+    url: str, table: str, key: Sequence[str], retries: int = 3, **options: str
+) -> Callable[[DataFrame, int], None]:
     """A batch writer over JDBC that can be repeated.
 
-    Each task writes its rows in one transaction and stamps them with batch and task number. A repeated
-    batch has the same rows in the same tasks (its source offsets are fixed) and writes only those
-    tasks that the table does not hold yet.
+    ``key`` names columns that tell the rows of a batch apart by their source: topic, partition and offset,
+    or file and position. Rows are stamped with the batch number; a repeated batch reads the keys that the
+    table holds of it and writes the others, so it does not matter how tasks cut the batch. Each task
+    writes in one transaction. Only errors of the database are tried again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         jdbc = {"url": url, **options}
-        stamped = batch.withColumn("batch_id", F.lit(number)).withColumn("task_id", F.spark_partition_id())
-        query = f"SELECT DISTINCT task_id FROM {table} WHERE batch_id = {int(number)}"
+        stamped = batch.withColumn("batch_id", F.lit(number))
+        query = f"SELECT {', '.join(key)} FROM {table} WHERE batch_id = {int(number)}"
         for attempt in range(retries + 1):
             try:
-                done = spark.read.format("jdbc").options(query=query, **jdbc).load()
-                # one row per task of this batch at most
-                todo = stamped.join(F.broadcast(done), "task_id", "left_anti")
+                held = spark.read.format("jdbc").options(query=query, **jdbc).load()
+                todo = still_missing(stamped, held, key)
                 todo.write.format("jdbc").mode("append").options(dbtable=table, batchsize="1000", **jdbc).save()
                 return
-            except Exception:
-                if attempt == retries:
+            except Exception as error:
+                if attempt == retries or not _is_database_error(error):
                     raise
 
     return write
 
 
+def latest_events(spark: SparkSession, landed: str, n: int, *order: str) -> DataFrame:
+    """The ``n`` latest events of a landing laid out by event_day, newest first, ties by ``order``.
+
+    Rows are counted per day first, which reads no column but the partition's; only the newest days that
+    hold ``n`` events between them are then read and sorted.
+    """
+    rows = spark.read.parquet(landed)
+    newer = Window.orderBy(F.desc("event_day")).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per day
+    days = rows.groupBy("event_day").agg(F.count(F.lit(1)).alias("n")).where(F.col("event_day").isNotNull())
+    needed = days.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0))).where(F.col("newer") < n)
+    first = needed.agg(F.min("event_day")).first()[0]
+    picked = rows.where(F.col("event_day") >= F.lit(first)) if first is not None else rows.limit(0)
+    return picked.orderBy(F.desc("event_time"), *order).limit(n)
+
+
 def landing_check(landed: DataFrame) -> DataFrame:
     return landed.agg(F.count(F.lit(1)).alias("events"), F.max("event_time").alias("latest_event"))
 

@@ -94,9 +94,8 @@ def test_orphan_invoices_are_dropped(models):
     assert amounts["i2"]["pre_levy_amount"] == Decimal("50.005")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 4, 1_000_000])
-def test_rank_is_the_same_for_ordinary_and_heavy_users(models, hot_rows):
-    ranked = by_key(rank_policies(models["stg_policy"], hot_rows=hot_rows), "policy_number")
+def test_rank_is_the_same_for_ordinary_and_heavy_users(models):
+    ranked = by_key(rank_policies(models["stg_policy"]), "policy_number")
     assert [ranked[n]["policy_rank"] for n in ("P1", "P2", "P3", "P4", "P5", "P6")] == [1, 2, 3, 1, 1, 2]
     assert [ranked[f"Q{i}"]["policy_rank"] for i in range(4)] == [1, 2, 3, 4]
     assert ranked["P1"]["is_new_policy"] and not ranked["P2"]["is_new_policy"]
@@ -110,9 +109,8 @@ def test_undated_policy_ranks_last(spark, models):
     assert ranks["P1"]["policy_rank"] == 2
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_new_policies_agree_with_the_rank(raw, models, rows, hot_rows):
-    marked = marts.new_policies(raw["raw_policy"], 3, hot_rows)
+def test_new_policies_agree_with_the_rank(raw, models, rows):
+    marked = marts.new_policies(models["stg_policy"])
     ranked = models["int_policy_ranked"].select("policy_number", "is_outlier_user", "is_new_policy")
     assert rows(marked) == rows(ranked)
 

@@ -48,8 +48,8 @@ def test_merge_of_heavy_copies(spark, tmp_path):
     batch = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), ("c", 1)], "id string, v int")
     target = str(tmp_path / "t")
     assert merge.merge_insert_only(batch.where("id = 'b'"), target, "id") == 1
-    assert merge.merge_insert_only(batch, target, "id", hot_rows=10) == 51
-    assert merge.merge_insert_only(batch, target, "id", hot_rows=10) == 0
+    assert merge.merge_insert_only(batch, target, "id") == 51
+    assert merge.merge_insert_only(batch, target, "id") == 0
 
 
 def test_month_table_types(spark, months):
@@ -80,7 +80,7 @@ def test_typed_csv_reads_gzip_and_stops_at_bad_rows(spark, tmp_path):
 
 def test_lenient_csv_takes_short_rows_and_line_breaks(spark, tmp_path):
     Path(tmp_path / "c.csv").write_text('a,b,c\n1,"two\nlines",3\n4,five\n')
-    got = files.read_csv(spark, str(tmp_path / "c.csv"), lenient=True).collect()
+    got = files.read_csv(spark, str(tmp_path / "c.csv"), lenient=True, multi_line=True).collect()
     assert [tuple(r) for r in got] == [(1, "two\nlines", 3), (4, "five", None)]
 
 
@@ -103,7 +103,36 @@ def test_drifting_files(spark, tmp_path):
         drift.read_drifting(spark, [str(tmp_path / n) for n in "ad"])
 
 
+def test_drift_inside_one_folder(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.createDataFrame([(1,)], "id int").write.parquet(folder)
+    spark.createDataFrame([(2, "x")], "id long, extra string").write.mode("append").parquet(folder)
+    got = drift.read_drifting(spark, [folder])
+    assert got.dtypes == [("id", "bigint"), ("extra", "string")]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, None), (2, "x")]
+
+
+def test_evolving_append(spark, tmp_path):
+    target = str(tmp_path / "t")
+    day = "timestamp_ntz'2024-01-0{} 10:00:00' AS at"
+    drift.append_evolving(spark, spark.sql(f"SELECT 1 AS id, 5 AS fee, {day.format(1)}"), target, "at")
+    schema = drift.append_evolving(
+        spark, spark.sql(f"SELECT 2 AS id, 2.5D AS fee, 'x' AS extra, {day.format(2)}"), target, "at")
+    assert {f.name: f.dataType.simpleString() for f in schema}["fee"] == "double"
+    drift.append_evolving(spark, spark.sql(f"SELECT 3 AS id, {day.format(2)}"), target, "at")
+    got = drift.read_drifting(spark, [target])
+    rows = sorted((r.id, r.fee, r.extra, str(r.at_day)) for r in got.collect())
+    assert rows == [(1, 5.0, None, "2024-01-01"), (2, 2.5, "x", "2024-01-02"), (3, None, None, "2024-01-02")]
+    with pytest.raises(drift.SchemaConflict):
+        drift.append_evolving(spark, spark.sql(f"SELECT 'a' AS id, {day.format(3)}"), target, "at")
+    drift.append_evolving(spark, spark.sql(f"SELECT 'a' AS id, {day.format(3)}"), target, "at", replace=True)
+    assert drift.read_drifting(spark, [target]).count() == 1
+
+
 def test_month_lists():
+    assert loads.month_range("2019-11", "2020-02") == ["2019-11", "2019-12", "2020-01", "2020-02"]
+    with pytest.raises(ValueError):
+        loads.month_range("2020-02", "2020-01")
     assert files.months_between(2019, 2020)[0] == "2019-01" and len(files.months_between(2019, 2020)) == 24
     with pytest.raises(ValueError):
         files.months_between(2020, 2019)

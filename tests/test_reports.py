@@ -101,10 +101,28 @@ def test_readonly_sql_limits_its_answer(spark):
     assert adhoc.readonly_sql(spark, "SELECT id FROM many LIMIT 300").count() == 300
     assert adhoc.readonly_sql(spark, "SELECT id FROM many ORDER BY id DESC", 2).collect()[0]["id"] == 499
     assert adhoc.readonly_sql(spark, "WITH t AS (SELECT 1 AS a) SELECT a FROM t").first()["a"] == 1
+    assert adhoc.readonly_sql(spark, "SELECT id FROM many", None).count() == 500
+    assert adhoc.readonly_sql(spark, "SELECT id FROM many -- limit 300").count() == 200
+    assert adhoc.readonly_sql(spark, "WITH t AS (SELECT id FROM many) SELECT a.id FROM t a JOIN t b USING (id)", None).count() == 500
     with pytest.raises(adhoc.Refused):
         adhoc.readonly_sql(spark, "SELECT nothing FROM nowhere")
 
 
+def test_readonly_sql_reads_views_only(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    spark.range(5).createOrReplaceTempView("few")
+    for text in (
+        f"SELECT * FROM parquet.`{tmp_path}/t`", f"SELECT (SELECT max(id) FROM parquet.`{tmp_path}/t`) AS m FROM few",
+        f"WITH t AS (SELECT * FROM parquet.`{tmp_path}/t`) SELECT * FROM t",
+        "SELECT java_method('java.lang.System', 'currentTimeMillis')", "SELECT reflect('java.lang.Math', 'abs', id) FROM few",
+    ):
+        with pytest.raises(adhoc.Refused):
+            adhoc.readonly_sql(spark, text)
+    assert adhoc.readonly_sql(spark, "SELECT * FROM few", views=["FEW"]).count() == 5
+    with pytest.raises(adhoc.Refused):
+        adhoc.readonly_sql(spark, "SELECT * FROM few", views=["other"])
+
+
 @pytest.fixture(scope="module")
 def days(spark):
     return spark.createDataFrame(
@@ -143,8 +161,7 @@ def test_chunks_cover_the_whole_text(spark):
 
 
 @pytest.mark.parametrize("per_pass", [1, 2, 256])
-def test_nearest_vectors_equal_brute_force(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(retrieval, "QUERIES_PER_PASS", per_pass)
+def test_nearest_vectors_equal_brute_force(spark, per_pass):
     rng = np.random.default_rng(1)
     data = rng.normal(size=(60, 5))
     data[10] = data[11]  # a tie: the smaller id wins
@@ -152,7 +169,7 @@ def test_nearest_vectors_equal_brute_force(spark, monkeypatch, per_pass):
     vectors = spark.createDataFrame(
         [(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id long, embedding array<float>"
     ).repartition(5)
-    got = retrieval.top_k(vectors, vectors.where("vec_id IN (3, 10, 20)"), 4).orderBy("query_id", "rank").collect()
+    got = retrieval.top_k(vectors, vectors.where("vec_id IN (3, 10, 20)"), 4, 7, per_pass).orderBy("query_id", "rank").collect()
     data = data.astype("float32").astype("float64")
     for query in (3, 10):
         sims = data @ data[query] / (np.linalg.norm(data, axis=1) * np.linalg.norm(data[query]) + 1e-300)

@@ -26,7 +26,9 @@ def test_parse(spark):
     got = stream.parse_events(lines(spark, [json.dumps(g) for g in GOOD])).collect()
     assert [r["policy_number"] for r in got] == ["P1", "P2", None, "7", "P5"]
     assert [r["payload"] for r in got[:4]] == ['{"seq": 1}', '{"a":1,"b":[1,"é"]}', "null", "{}"]
-    assert len(got[4]["payload"]) == 8000
+    assert len(got[4]["payload"]) == 9000
+    cut = stream.parse_events(lines(spark, [json.dumps(GOOD[4])]), payload_limit=8000).first()
+    assert cut["payload"] == "y" * 8000
     assert got[0]["event_time"] == datetime(2023, 11, 14, 22, 13, 20, 123000)
 
 
@@ -71,3 +73,21 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     write(batch, 0)
     write(batch, 1)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 10
+
+
+def test_rows_written_before_are_found_under_any_partitioning(spark):
+    batch = spark.range(100).selectExpr("id AS offset", "id % 3 AS part")
+    held = batch.where("offset % 7 < 5").repartition(5)
+    for parts in (1, 4, 9):
+        left = stream.still_missing(batch.repartition(parts), held, ["part", "offset"])
+        assert sorted(r["offset"] for r in left.collect()) == [i for i in range(100) if i % 7 >= 5]
+
+
+def test_latest_events_read_the_newest_days_only(spark, tmp_path):
+    rows = spark.range(96).selectExpr("timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,id) AS event_time", "id")
+    path = str(tmp_path / "t")
+    rows.selectExpr("*", "to_date(event_time) AS event_day").write.partitionBy("event_day").parquet(path)
+    got = stream.latest_events(spark, path, 30)
+    assert [r["id"] for r in got.collect()] == list(range(95, 65, -1))
+    assert "2024-01-03" in got._jdf.queryExecution().executedPlan().toString()
+    assert len(stream.latest_events(spark, path, 500).collect()) == 96
