@@ -101,3 +101,16 @@ def test_chat_of_odd_rows(spark):
     assert got[1].loss == [""] and len(got[None].read) == 2
     empty = chat.canonical(spark.createDataFrame([], "conv_id int, turn int, role string, text string"))
     assert chat.read_back(chat.formatted(empty)).count() == 0
+
+
+def test_documents_made_of_their_hosts_boilerplate_are_rejected(spark):
+    menu = "\n".join(f"menu line {i} with some words in it" for i in range(8))
+    own = lambda i, n: " ".join(f"own{i}x{j}" for j in range(n))
+    rows = [(i, f"{menu}\n{own(i, 60)}", "h") for i in range(30)]  # the menu is boilerplate, the rest is their own
+    rows += [(100 + i, f"{menu}\n{own(100 + i, 3)}", "h") for i in range(5)]  # nothing but the menu
+    rows += [(200, f"{menu}\n{own(200, 3)}", "other")]  # not boilerplate of that host
+    rows += [(300 + i, own(300, 40), "copies") for i in range(50)]  # copies of one text count once
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()}
+    assert all(got[i].kept and got[i].n_boilerplate_words == 64 for i in range(30))
+    assert not any(got[100 + i].kept or got[100 + i].base_failed for i in range(5))
+    assert got[200].kept and all(got[300 + i].kept for i in range(50))
