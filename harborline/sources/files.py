@@ -61,18 +61,19 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_json_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """JSON files holding an array of records, or one record per line, with an inferred schema.
+def read_json_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """JSON files of one record per line, or of an array of records (``multi_line``), with an inferred schema.
 
-    Only files of one record per line (``multi_line=False``) can be split between tasks.
+    Only files of one record per line can be split between tasks.
     """
     return spark.read.option("multiLine", multi_line).json(path)
 
 
 def read_json_records(
-    spark: SparkSession, path: str, array_col: str, keep: Sequence[str], default: str = "N/A", multi_line: bool = True
+    spark: SparkSession, path: str, array_col: str, keep: Sequence[str], default: str = "N/A",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """The records nested in ``array_col``, reduced to ``keep``.
+    """The records nested in ``array_col``, reduced to ``keep``; ``multi_line`` for one document over many lines.
 
     A record without one of the keys gets ``default``; a column where that may happen is text.
     """

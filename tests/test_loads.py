@@ -87,7 +87,7 @@ def test_lenient_csv_takes_short_rows_and_line_breaks(spark, tmp_path):
 def test_json_records(spark, tmp_path):
     doc = {"products": [{"brand": "x", "price": 1.5}, {"price": 2.0}], "total": 2}
     (tmp_path / "p.json").write_text(json.dumps(doc, indent=2))
-    got = files.read_json_records(spark, str(tmp_path / "p.json"), "products", ["brand", "price", "rating"])
+    got = files.read_json_records(spark, str(tmp_path / "p.json"), "products", ["brand", "price", "rating"], multi_line=True)
     assert [tuple(r) for r in got.collect()] == [("x", 1.5, "N/A"), ("N/A", 2.0, "N/A")]
 
 
