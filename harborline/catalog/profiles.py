@@ -123,9 +123,9 @@ def u3(spark, sf):
 @query("p19_shape", sql(" UNION ALL ".join(
     f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS type, (SELECT count(*) FROM raw_claim) AS rows"
     for i, (c, t) in enumerate([
-        ("id", "bigint"), ("type", "string"), ("status", "string"), ("policy_number", "bigint"),
+        ("id", "string"), ("type", "string"), ("status", "string"), ("policy_number", "bigint"),
         ("submit_date", "timestamp"), ("payment_date", "timestamp"), ("admission_date", "date"),
-        ("total_billed_amount", "decimal(18,4)"), ("total_base_payable_amount", "decimal(18,4)"),
+        ("total_billed_amount", "decimal(38,9)"), ("total_base_payable_amount", "decimal(38,9)"),
     ])
 )))
 def p19(spark, sf):
@@ -141,9 +141,10 @@ def t6k(spark, sf):
 
 
 @query("q1_unique", sql("""
-SELECT id, count(*) AS n_records FROM raw_invoice WHERE id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""))
+SELECT policy_number, count(*) AS n_records FROM raw_invoice WHERE policy_number IS NOT NULL GROUP BY 1
+HAVING count(*) > 1"""))
 def q1(spark, sf):
-    return quality.unique(domain.raw_invoice(spark, sf), "id")
+    return quality.unique(domain.raw_invoice(spark, sf), "policy_number")
 
 
 @query("q2_not_null", sql("SELECT id, policy_number FROM raw_invoice WHERE charge_date IS NULL"))

@@ -9,8 +9,8 @@ from harborline.functions.exprs import MONEY
 from harborline.operators.joins import lookup
 
 
-# Order and line number repeat in the test tables; with part and supplier a line has a key of its own.
-LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+# Order and line number repeat in the test tables; with part, supplier and price a line has a key of its own.
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT))"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
