@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import stored, text_of, without
 
-#: Most words, and most parts of words, whose ids a Python worker remembers.
-REMEMBERED = 400_000
+#: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten.
+REMEMBERED = 200_000
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids:binary>>"
 
 #: The fixed split pattern of the vocabulary file word_bpe_49k.json.
@@ -46,27 +46,33 @@ def word_encoder(path: str):
     def packed(ids) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
-    class Parts(dict):
-        def __missing__(self, part: str) -> bytes:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = ids = packed([t.id for t in model.tokenize("".join([letters[b] for b in part.encode()]))])
-            return ids
+    class Remembered(dict):
+        """Values by key; what is not asked for again while as many others are goes."""
 
-    of_part = Parts()
+        def __init__(self, make):
+            super().__init__()
+            self.make, self.before = make, {}
 
-    class Words(dict):
-        def __missing__(self, word: str) -> bytes:
+        def __missing__(self, key: str) -> bytes:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
-            if max(word) < "ɐ" and "İ" not in word:
-                ids = b"".join([of_part[p] for p in parts.findall(word.lower())])
-            else:
-                ids = packed(whole.encode(word, add_special_tokens=False).ids)
-            self[word] = ids
-            return ids
+            self[key] = value = self.before.get(key) or self.make(key)
+            return value
+
+    def part_ids(part: str) -> bytes:
+        return packed([t.id for t in model.tokenize("".join([letters[b] for b in part.encode()]))])
+
+    of_part = Remembered(part_ids)
+
+    def word_ids(word: str) -> bytes:
+        if not word.isascii() and (max(word) >= "ɐ" or "İ" in word):
+            return packed(whole.encode(word, add_special_tokens=False).ids)
+        if word.isalpha():
+            return of_part[word.lower()]
+        return b"".join([of_part[p] for p in parts.findall(word.lower())])
 
-    of_word = Words()
+    of_word = Remembered(word_ids)
 
     def encode(text: str) -> bytes:
         if odd.search(text):

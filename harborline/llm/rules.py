@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import BLANK, fingerprint, halves, lists, stored, text_of, without
@@ -81,15 +81,14 @@ def line_words():
 
 
 def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float) -> DataFrame:
-    """(``__doc``, ``__fp``, ``n_boilerplate_words``) of the documents that hold a line over the limits of their host."""
+    """(``__doc``, ``__fp``, ``__host``, ``n_boilerplate_words``, ``__all``) of the documents that hold a line over the limits of their host."""
     whole = text_of(docs, text)
-    lines = stored(
-        docs.select(
-            F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("fp"),
-            F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"), F.inline(line_words()(whole)),
-        ),
-        "host-lines",
+    found = docs.select(
+        F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("fp"),
+        F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"), line_words()(whole).alias("lines"),
     )
+    every = F.aggregate("lines.words", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    lines = stored(found.select("doc", "fp", "host", every.alias("n_all"), F.inline("lines")), "host-lines")
     spread = lines.select("host", "a", "b", "fp").distinct().groupBy("host", "a", "b").agg(F.count("*").alias("n"))
     hosts = lines.select("host", "fp").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     over = (
@@ -99,10 +98,18 @@ def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int,
     return (
         lines.join(over, ["host", "a", "b"], "left_semi").dropDuplicates(["doc", "fp", "host", "a", "b"])
         .groupBy(F.col("doc").alias("__doc"), F.col("fp").alias("__fp"), F.col("host").alias("__host"))
-        .agg(F.sum("words").alias("n_boilerplate_words"))
+        .agg(F.sum("words").alias("n_boilerplate_words"), F.max("n_all").alias("__all"))
     )
 
 
+def _depleted(n: Column, gone: Column, min_left: float) -> Column:
+    return 100 * (n - gone) < round(100 * min_left) * n
+
+
+def _base_failed(n: Column, repeat: Column, min_words: int, max_repeat_share: float) -> Column:
+    return (n < min_words) | (100 * repeat > round(100 * max_repeat_share) * n)
+
+
 def judge(
     docs: DataFrame, text: str = "text", doc: str = "doc_id", host: str = "source", min_words: int = 20,
     max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float = 0.05, min_left: float = 0.2,
@@ -132,19 +139,34 @@ def judge(
         "left",
     )
     n, repeat = F.col("__stats.n_words"), F.col("__stats.n_repeat_words")
-    failed = (n < min_words) | (100 * repeat > round(100 * max_repeat_share) * n)
+    failed = _base_failed(n, repeat, min_words, max_repeat_share)
     gone = F.coalesce(F.col("n_boilerplate_words"), F.lit(0).cast("bigint"))
-    depleted = 100 * (n - gone) < round(100 * min_left) * n
+    depleted = _depleted(n, gone, min_left)
     return met.select(
         *[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__stats.{c}").alias(c) for c in STATS],
         failed.alias("base_failed"), gone.alias("n_boilerplate_words"), (~failed & ~depleted).alias("kept"),
     )
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with their columns."""
-    mine = docs.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)])
-    names = {c: f"__{i}" for i, c in enumerate(docs.columns)}
-    good = judge(mine, names[options.pop("text", "text")], names[options.pop("doc", "doc_id")],
-                 names[options.pop("host", "source")], **options).where("kept")
-    return good.select(*[F.col(names[c]).alias(c) for c in docs.columns])
+def keep_good(
+    docs: DataFrame, text: str = "text", doc: str = "doc_id", host: str = "source", min_words: int = 20,
+    max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float = 0.05, min_left: float = 0.2,
+) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns.
+
+    Texts are not shuffled for it: base rules look at one row, and the depleted documents are written first, so
+    that Spark knows their size when it chooses the join.
+    """
+    lost = boilerplate(docs, text, doc, host, min_docs, min_share)
+    bad = stored(lost.where(_depleted(F.col("__all"), F.col("n_boilerplate_words"), min_left)), "depleted")
+    whole = text_of(docs, text)
+    rated = docs.withColumns({
+        "__stats": base_stats()(whole), "__own": fingerprint(whole),
+        "__at": F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")),
+    })
+    good = rated.where(~_base_failed(F.col("__stats.n_words"), F.col("__stats.n_repeat_words"), min_words, max_repeat_share))
+    kept = good.join(
+        bad, good[f"`{doc}`"].eqNullSafe(bad["__doc"]) & (good["__own"] == bad["__fp"]) & (good["__at"] == bad["__host"]),
+        "left_anti",
+    )
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
