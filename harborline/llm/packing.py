@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from harborline.llm.common import stored, text_of, without
 
 #: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids:binary>>"
 
 #: The fixed split pattern of the vocabulary file word_bpe_49k.json.
@@ -231,7 +231,7 @@ def plan(
     return min(rounded, alone, key=lambda p: p.sequences)
 
 
-def pack(cut: DataFrame, size: int = 2048, bucket_rows: int = 200_000) -> DataFrame:
+def pack(cut: DataFrame, size: int = 2048, bucket_rows: int = 20_000) -> DataFrame:
     """``cut`` (any rows with a ``length`` of 1 to ``size``) with ``sequence_id`` and ``offset``.
 
     The plan says for each length which ranks go where; a row's rank among its length is its place in a hash bucket
