@@ -221,7 +221,7 @@ def blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", item: str = "item_id",
-    passage: str = "text", q: int = 6, share: float = 0.1,
+    passage: str = "text", q: int = 5, share: float = 0.125,
 ) -> DataFrame:
     """(``doc``, ``item_id``, ``edits``, ``at``, ``until``): the benchmark items that documents hold.
 

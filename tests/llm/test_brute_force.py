@@ -283,7 +283,7 @@ def test_leaks_in_documents(spark, docs):
     assert {(r.doc_id, r.item_id) for r in got if r.edits == 0} == exact and exact
     for r in got:
         item, text = decontaminate.plain(bench[r.item_id]), decontaminate.plain(docs[r.doc_id].text)
-        assert edits_inside(item, text[r["at"] : r.until]) == r.edits <= len(item) * 0.1
+        assert edits_inside(item, text[r["at"] : r.until]) == r.edits <= len(item) * 0.125
 
 
 def test_main_text_of_pages(spark):
@@ -392,7 +392,7 @@ def test_pipeline(spark, docs, ids):
     _, root = near(stay)
     stay = {i: t for i, t in stay.items() if root[i] == i}
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    index = decontaminate.Index(bench, 6, 0.1)
+    index = decontaminate.Index(bench, 5, 0.125)
     stay = {i: t for i, t in stay.items() if not decontaminate.search([t], index)[0]}
     got = corpus_pipeline.run(spark, SF).collect()
     want = {}
