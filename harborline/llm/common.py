@@ -25,20 +25,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Most rows that go to a Python worker at once: rows with texts are long.
-BATCH_ROWS = 1000
-BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Most rows, and bytes, that go to a Python worker at once, with Spark's own defaults: rows with texts are long.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("64m", "16m"),
+}
 
 
 def text_of(df: DataFrame, column: str) -> Column:
     """The text column as string, NULL as the empty text.
 
-    Limits the session's Arrow batches to ``BATCH_ROWS``, or fewer where it has a lower limit: the default of ten
-    thousand rows of text is held several times over, in the JVM and in the Python worker.
+    Limits the session's Arrow batches to ``BATCHES`` where they have Spark's defaults: ten thousand rows of text
+    are held several times over, in the JVM and in the Python worker.
     """
     spark = df.sparkSession
-    if not 0 < int(spark.conf.get(BATCH_SETTING, "0")) <= BATCH_ROWS:
-        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    for name, (default, limit) in BATCHES.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, limit)
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
