@@ -60,9 +60,9 @@ def base_stats():
 
 
 def line_words():
-    """A column function: the distinct keys of a text's lines, hashed, with the words that their lines hold."""
+    """A column function: the distinct keys of a text's lines, hashed, with their words and those of the whole text."""
 
-    @F.arrow_udf("array<struct<a:bigint,b:bigint,words:bigint>>")
+    @F.arrow_udf("array<struct<a:bigint,b:bigint,words:bigint,n_all:bigint>>")
     def lines(texts: pa.Array) -> pa.Array:
         offsets, digests, words = [0], [], []
         for text in texts:
@@ -75,7 +75,10 @@ def line_words():
             digests += found
             words += found.values()
             offsets.append(len(digests))
-        return lists(offsets, halves(digests) | {"words": pa.array(words, pa.int64())})
+        counts = np.array(words, np.int64)
+        upto = np.concatenate(([0], np.cumsum(counts)))[offsets]
+        every = np.repeat(np.diff(upto), np.diff(offsets))
+        return lists(offsets, halves(digests) | {"words": pa.array(counts), "n_all": pa.array(every)})
 
     return lines
 
@@ -83,12 +86,13 @@ def line_words():
 def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float) -> DataFrame:
     """(``__doc``, ``__fp``, ``__host``, ``n_boilerplate_words``, ``__all``) of the documents that hold a line over the limits of their host."""
     whole = text_of(docs, text)
-    found = docs.select(
-        F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("fp"),
-        F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"), line_words()(whole).alias("lines"),
+    lines = stored(
+        docs.select(
+            F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("fp"),
+            F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"), F.inline(line_words()(whole)),
+        ),
+        "host-lines",
     )
-    every = F.aggregate("lines.words", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    lines = stored(found.select("doc", "fp", "host", every.alias("n_all"), F.inline("lines")), "host-lines")
     spread = lines.select("host", "a", "b", "fp").distinct().groupBy("host", "a", "b").agg(F.count("*").alias("n"))
     hosts = lines.select("host", "fp").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     over = (
