@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import stored, text_of, without
 
-#: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten. A part is
-#: dear to encode; a word is put together from remembered parts almost as fast as it is looked up.
-WORDS, PARTS = 150_000, 250_000
+#: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten.
+WORDS, PARTS = 120_000, 120_000
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids:binary>>"
 
 #: The fixed split pattern of the vocabulary file word_bpe_49k.json.
