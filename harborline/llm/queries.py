@@ -103,7 +103,7 @@ FROM rated
 
 @query("op9_quality_rules", OP9)
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.judge(table(spark, sf, "documents")).select("doc_id", *rules.VERDICT)
+    return rules.judge(table(spark, sf, "documents"), min_share=0.05).select("doc_id", *rules.VERDICT)  # the share of OP9
 
 
 @query("op10_simhash_near_dedup")

@@ -83,7 +83,7 @@ def line_words():
     return lines
 
 
-def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float) -> DataFrame:
+def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float | None) -> DataFrame:
     """(``__doc``, ``__fp``, ``__host``, ``n_boilerplate_words``, ``__all``) of the documents that hold a line over the limits of their host."""
     whole = text_of(docs, text)
     lines = stored(
@@ -94,11 +94,11 @@ def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int,
         "host-lines",
     )
     spread = lines.select("host", "a", "b", "fp").distinct().groupBy("host", "a", "b").agg(F.count("*").alias("n"))
-    hosts = lines.select("host", "fp").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    over = (
-        spread.where(F.col("n") >= min_docs).join(hosts, "host")
-        .where(F.col("n") > F.lit(min_share) * F.col("texts")).select("host", "a", "b")
-    )
+    over = spread.where(F.col("n") >= min_docs)
+    if min_share is not None:
+        hosts = lines.select("host", "fp").distinct().groupBy("host").agg(F.count("*").alias("texts"))
+        over = over.join(hosts, "host").where(F.col("n") > F.lit(min_share) * F.col("texts"))
+    over = over.select("host", "a", "b")
     return (
         lines.join(over, ["host", "a", "b"], "left_semi").dropDuplicates(["doc", "fp", "host", "a", "b"])
         .groupBy(F.col("doc").alias("__doc"), F.col("fp").alias("__fp"), F.col("host").alias("__host"))
@@ -116,15 +116,16 @@ def _base_failed(n: Column, repeat: Column, min_words: int, max_repeat_share: fl
 
 def judge(
     docs: DataFrame, text: str = "text", doc: str = "doc_id", host: str = "source", min_words: int = 20,
-    max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float = 0.05, min_left: float = 0.2,
+    max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float | None = None, min_left: float = 0.2,
 ) -> DataFrame:
     """``docs`` with the counts of ``STATS``, ``base_failed``, ``n_boilerplate_words`` and ``kept``.
 
     Base rules: a text fails with fewer than ``min_words`` words [^\\x20\\x09-\\x0D]+ or when more than
     ``max_repeat_share`` of its words lie in 8-word windows that it holds twice or more. Otherwise lines (blanks
-    around them stripped, A-Z in lower case) that at least ``min_docs`` different texts of the same host hold, and
-    more than ``min_share`` of the host's texts, are boilerplate of the host; a document is depleted, and not kept,
-    when less than ``min_left`` of its words remain without them. Copies of one text count once, so a copied document
+    around them stripped, A-Z in lower case) that at least ``min_docs`` different texts of the same host hold are
+    boilerplate of the host, however large it is; with ``min_share``, only those that more than this share of its
+    texts hold, a limit that grows with the host. A document is depleted, and not kept, when less than ``min_left`` of
+    its words remain without them. Copies of one text count once, so a copied document
     does not make its own lines boilerplate.
 
     NULL text is the empty text (no words, fails); a NULL host is the host ''. A text without a line that has a word
@@ -154,7 +155,7 @@ def judge(
 
 def keep_good(
     docs: DataFrame, text: str = "text", doc: str = "doc_id", host: str = "source", min_words: int = 20,
-    max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float = 0.05, min_left: float = 0.2,
+    max_repeat_share: float = 0.3, min_docs: int = 10, min_share: float | None = None, min_left: float = 0.2,
 ) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns.
 

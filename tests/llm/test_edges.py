@@ -114,3 +114,17 @@ def test_documents_made_of_their_hosts_boilerplate_are_rejected(spark):
     assert all(got[i].kept and got[i].n_boilerplate_words == 64 for i in range(30))
     assert not any(got[100 + i].kept or got[100 + i].base_failed for i in range(5))
     assert got[200].kept and all(got[300 + i].kept for i in range(50))
+
+
+def test_boilerplate_of_a_large_host_counts_as_on_a_small_one(spark):
+    menu = "\n".join(f"menu line {i} with some words in it" for i in range(8))
+    own = lambda i, n: " ".join(f"own{i}x{j}" for j in range(n))
+    rows = [(i, f"{menu}\n{own(i, 3)}", "small") for i in range(12)]
+    rows += [(1000 + i, f"{menu}\n{own(1000 + i, 3)}", "large") for i in range(12)]
+    rows += [(2000 + i, own(2000 + i, 40), "large") for i in range(400)]  # the menu is in 3 % of its texts
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    want = {2000 + i for i in range(400)}
+    assert {r.doc_id for r in rules.judge(docs).collect() if r.kept} == want
+    assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()} == want
+    by_share = {r.doc_id for r in rules.judge(docs, min_share=0.05).collect() if r.kept}
+    assert by_share == want | {1000 + i for i in range(12)}
