@@ -91,6 +91,67 @@ def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 ENTRY = "core bigint, whole bigint, hit boolean, doc {0}, uid bigint, at bigint, most int, least int"
 
 
+def _schema(doc_type: pa.DataType) -> pa.Schema:
+    return pa.schema([
+        ("core", pa.int64()), ("whole", pa.int64()), ("hit", pa.bool_()), ("doc", doc_type), ("uid", pa.int64()),
+        ("at", pa.int64()), ("most", pa.int32()), ("least", pa.int32())])
+
+
+class Task:
+    """A family of what one task has met, with whose it is; emptied into entries and finished marks."""
+
+    def __init__(self, doc_type: pa.DataType, length: int):
+        self.doc_type, self.length, self.schema = doc_type, length, _schema(doc_type)
+        self.clear()
+
+    def clear(self) -> None:
+        self.family = Family()
+        self.cores, self.wholes, self.places, self.mosts, self.leasts, self.owners = [], [], [], [], [], []
+        self.docs, self.uids = [], []
+
+    def add(self, doc, uid, core, whole, at, most, least) -> None:
+        self.cores.append(core)
+        self.wholes.append(whole)
+        self.places.append(at)
+        self.mosts.append(most)
+        self.leasts.append(least)
+        self.owners.append(np.full(len(at), len(self.docs)))
+        self.docs.append(doc)
+        self.uids.append(uid)
+
+    def scan(self, new: int) -> None:
+        """Merge-scans what was added since ``new`` documents were held."""
+        if len(self.cores) > new:
+            self.family.add(np.concatenate(self.cores[new:]) ^ np.concatenate(self.wholes[new:]) * np.uint64(3))
+
+    def emptied(self) -> Iterator[pa.RecordBatch]:
+        if not self.cores:
+            return
+        core, whole = np.concatenate(self.cores), np.concatenate(self.wholes)
+        at, most, least = np.concatenate(self.places), np.concatenate(self.mosts), np.concatenate(self.leasts)
+        owner = np.concatenate(self.owners)
+        _, first = np.unique(core ^ whole * np.uint64(3), return_index=True)
+        hit = self.family.hit
+        done = np.flatnonzero(hit)
+        start, end = at[done] - most[done], at[done] - least[done] + self.length
+        joined = (owner[done][1:] == owner[done][:-1]) & (start[1:] <= end[:-1]) if len(done) else np.zeros(0, bool)
+        head = np.flatnonzero(np.concatenate(([True], ~joined))) if len(done) else np.zeros(0, np.int64)
+        tail = np.append(head[1:], len(done)) - 1 if len(done) else head
+        doc_list, uid_list = pa.array(self.docs, self.doc_type), pa.array(self.uids, pa.int64())
+        own = pa.array(np.concatenate((owner[first], owner[done][head])))
+        marks = len(head)
+        yield pa.record_batch([
+            pa.concat_arrays([pa.array(core[first].view(np.int64)), pa.nulls(marks, pa.int64())]),
+            pa.concat_arrays([pa.array(whole[first].view(np.int64)), pa.nulls(marks, pa.int64())]),
+            pa.array(np.append(hit[first], np.ones(marks, bool))),
+            doc_list.take(own), uid_list.take(own),
+            pa.array(np.append(at[first], start[head])),
+            pa.array(np.append(most[first], np.zeros(marks)).astype(np.int32)),
+            pa.array(np.append(least[first], start[head] + self.length - end[tail]).astype(np.int32)),
+        ], schema=self.schema)
+        self.clear()
+
+
 def _entries(doc_type: pa.DataType, length: int):
     """Reads (doc, uid, text); returns a row per anchor whose surroundings are new to the task, and finished marks.
 
@@ -98,65 +159,26 @@ def _entries(doc_type: pa.DataType, length: int):
     anchor whose ``whole`` the task has met before is done: its strings are repeated, which one row (core NULL) tells
     for neighbouring anchors of a document.
     """
-    schema = pa.schema([
-        ("core", pa.int64()), ("whole", pa.int64()), ("hit", pa.bool_()), ("doc", doc_type), ("uid", pa.int64()),
-        ("at", pa.int64()), ("most", pa.int32()), ("least", pa.int32())])
     shared = length - min(REACH, length - GRAM + 1) + 1
     digest = xxhash.xxh3_64_intdigest
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = Family()
-        cores, wholes, places, mosts, leasts, owners, docs, uids = [], [], [], [], [], [], [], []
-
-        def emptied() -> Iterator[pa.RecordBatch]:
-            core, whole = np.concatenate(cores), np.concatenate(wholes)
-            at, most, least = np.concatenate(places), np.concatenate(mosts), np.concatenate(leasts)
-            owner = np.concatenate(owners)
-            _, first = np.unique(core ^ whole * np.uint64(3), return_index=True)
-            hit = family.hit
-            done = np.flatnonzero(hit)
-            start, end = at[done] - most[done], at[done] - least[done] + length
-            joined = (owner[done][1:] == owner[done][:-1]) & (start[1:] <= end[:-1]) if len(done) else np.zeros(0, bool)
-            head = np.flatnonzero(np.concatenate(([True], ~joined))) if len(done) else np.zeros(0, np.int64)
-            tail = np.append(head[1:], len(done)) - 1 if len(done) else head
-            doc_list, uid_list = pa.array(docs, doc_type), pa.array(uids, pa.int64())
-            own = pa.array(np.concatenate((owner[first], owner[done][head])))
-            marks = len(head)
-            yield pa.record_batch([
-                pa.concat_arrays([pa.array(core[first].view(np.int64)), pa.nulls(marks, pa.int64())]),
-                pa.concat_arrays([pa.array(whole[first].view(np.int64)), pa.nulls(marks, pa.int64())]),
-                pa.array(np.append(hit[first], np.ones(marks, bool))),
-                doc_list.take(own), uid_list.take(own),
-                pa.array(np.append(at[first], start[head])),
-                pa.array(np.append(most[first], np.zeros(marks)).astype(np.int32)),
-                pa.array(np.append(least[first], start[head] + length - end[tail]).astype(np.int32)),
-            ], schema=schema)
-
+        task = Task(doc_type, length)
         for batch in batches:
-            new = len(cores)
+            new = len(task.cores)
             for doc, uid, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 at, most, least = anchors(raw, length)
                 if not len(at):
                     continue
                 where = list(zip(at.tolist(), most.tolist(), least.tolist(), strict=True))
-                cores.append(np.array([digest(raw[a : a + shared]) for a, _, _ in where], np.uint64))
-                wholes.append(np.array([digest(raw[a - m : a - e + length], m) for a, m, e in where], np.uint64))
-                places.append(at)
-                mosts.append(most)
-                leasts.append(least)
-                owners.append(np.full(len(at), len(docs)))
-                docs.append(doc)
-                uids.append(uid)
-            if len(cores) > new:
-                family.add(np.concatenate(cores[new:]) ^ np.concatenate(wholes[new:]) * np.uint64(3))
-            if len(family.hit) >= FAMILY:
-                yield from emptied()
-                family = Family()
-                for kept in (cores, wholes, places, mosts, leasts, owners, docs, uids):
-                    kept.clear()
-        if cores:
-            yield from emptied()
+                cores = np.array([digest(raw[a : a + shared]) for a, _, _ in where], np.uint64)
+                wholes = np.array([digest(raw[a - m : a - e + length], m) for a, m, e in where], np.uint64)
+                task.add(doc, uid, cores, wholes, at, most, least)
+            task.scan(new)
+            if len(task.family.hit) >= FAMILY:
+                yield from task.emptied()
+        yield from task.emptied()
 
     return entries
 
@@ -165,39 +187,35 @@ NEED = "kind int, core bigint, doc {0}, uid bigint, at bigint, most int, least i
 
 
 def _needs(doc_type: pa.DataType):
-    """Reads entries sorted by core; returns what is decided (MARK) and what the bytes must decide (ASK, REFERENCE).
+    """Reads entries sorted by (core, whole); returns what is decided (MARK) and one row per ``whole`` (ASK, REFERENCE).
 
     Anchors with equal ``whole`` are repeated with all their strings. One that is alone, among others with its core,
-    may share some strings with them; one of each repeated kind is their reference. An anchor with its core alone is
-    unique.
+    may share some strings with them (ASK); one of each repeated kind is their reference. Whether a core has others is
+    counted afterwards, so the surroundings of one core are spread over tasks, and only one ``whole`` is held back: a
+    task has left one entry of it.
     """
     schema = pa.schema([
         ("kind", pa.int32()), ("core", pa.int64()), ("doc", doc_type), ("uid", pa.int64()), ("at", pa.int64()),
         ("most", pa.int32()), ("least", pa.int32())])
 
-    def decided(table: pa.Table) -> pa.RecordBatch:
+    def flat(table: pa.Table):
         finished = np.asarray(table["core"].is_null())
-        core = table["core"].fill_null(0).to_numpy()
-        whole, hit = table["whole"].fill_null(0).to_numpy(), table["hit"].to_numpy()
-        order = np.lexsort((whole, core, finished))
-        n = len(order) - int(finished.sum())
-        core, whole, hit, live = core[order][:n], whole[order][:n], hit[order][:n], order[:n]
-        kind = np.full(n, -1, np.int32)
-        extra = np.zeros(0, np.int64)
-        if n:
-            new_core = np.concatenate(([True], core[1:] != core[:-1]))
-            new_whole = new_core | np.concatenate(([True], whole[1:] != whole[:-1]))
-            group, run = np.cumsum(new_core) - 1, np.cumsum(new_whole) - 1
+        return finished, table["core"].fill_null(0).to_numpy(), table["whole"].fill_null(0).to_numpy()
+
+    def decided(table: pa.Table) -> pa.RecordBatch:
+        finished, core, whole = flat(table)
+        live = np.flatnonzero(~finished)
+        core, whole, hit = core[live], whole[live], table["hit"].to_numpy()[live]
+        told, extra, kinds = live[:0], live[:0], np.zeros(0, np.int32)
+        if len(live):
+            new = np.concatenate(([True], (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])))
+            run = np.cumsum(new) - 1
             repeated = (np.bincount(run) > 1) | (np.bincount(run, weights=hit) > 0)
-            wholes = np.bincount(group, weights=new_whole)
-            open_cores = np.bincount(group, weights=~repeated[run]) > 0
-            mixed = (wholes[group] > 1) & open_cores[group]
-            kind[repeated[run] & ~hit] = MARK
-            kind[~repeated[run] & mixed] = ASK
-            extra = np.flatnonzero(new_whole & repeated[run] & mixed)
-        told = np.flatnonzero(kind >= 0)
-        rows = np.concatenate((live[told], live[extra], order[n:]))
-        kinds = np.concatenate((kind[told], np.full(len(extra), REFERENCE), np.full(len(order) - n, MARK)))
+            told, extra = live[repeated[run] & ~hit], live[new]
+            kinds = np.where(repeated, REFERENCE, ASK)
+        done = np.flatnonzero(finished)
+        rows = np.concatenate((told, extra, done))
+        kinds = np.concatenate((np.full(len(told), MARK), kinds, np.full(len(done), MARK)))
         picked = table.take(pa.array(rows))
         columns = [pa.array(kinds.astype(np.int32))] + [
             picked[c].combine_chunks() if c != "core" else picked[c].fill_null(0).combine_chunks()
@@ -213,12 +231,9 @@ def _needs(doc_type: pa.DataType):
             if rows < 100_000:
                 continue
             table = pa.Table.from_batches(rest)
-            core = table["core"].to_pylist()[-1]
-            last = table["core"].is_null() if core is None else np.asarray(table["core"].fill_null(0)) == core
-            last = np.asarray(last)
+            finished, core, whole = flat(table)
+            last = ~finished & (core == core[-1]) & (whole == whole[-1]) if not finished[-1] else np.zeros(rows, bool)
             n = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
-            if core is None:
-                n = table.num_rows
             if n:
                 yield decided(table.slice(0, n))
                 rest = table.slice(n).to_batches()
@@ -230,43 +245,26 @@ def _needs(doc_type: pa.DataType):
 
 
 def _strings(doc_type: pa.DataType, length: int):
-    """Reads (core, kind, doc, uid, first, bytes); returns the strings of asking anchors that start elsewhere too.
+    """Reads (doc, uid, first, bytes); returns the strings as entries, keyed by the hash of their ``length`` bytes.
 
-    Every batch's strings enter the family as suffixes, keyed by their ``length`` bytes.
+    Every batch's strings enter the task's family; a string that the task has met before leaves it as a finished mark.
     """
-    schema = pa.schema([("doc", doc_type), ("uid", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
     digest = xxhash.xxh3_64_intdigest
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, owners, starts = Family(), [], []
-        docs, uids, asks = [], [], []
+        task = Task(doc_type, length)
         for batch in batches:
-            new, keys = len(docs), []
-            for kind, doc, uid, first, raw in zip(
-                    *(batch[c].to_pylist() for c in ("kind", "doc", "uid", "first", "bytes")), strict=True):
+            new = len(task.cores)
+            for doc, uid, first, raw in zip(
+                    *(batch[c].to_pylist() for c in ("doc", "uid", "first", "bytes")), strict=True):
                 n = len(raw) - length + 1
-                keys += [digest(raw[i : i + length]) for i in range(n)]
-                owners.append(np.full(n, len(docs)))
-                starts.append(np.arange(first, first + n))
-                docs.append(doc)
-                uids.append(uid)
-                asks.append(kind == ASK)
-            if len(docs) > new:
-                family.add(np.array(keys, np.uint64))
-        if not docs:
-            return
-        owner, start = np.concatenate(owners), np.concatenate(starts)
-        found = np.flatnonzero(family.hit & np.array(asks)[owner])
-        owner, start = owner[found], start[found]
-        if not len(found):
-            return
-        new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)))
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(found)) - 1
-        own = pa.array(owner[head])
-        yield pa.record_batch([
-            pa.array(docs, doc_type).take(own), pa.array(uids, pa.int64()).take(own), pa.array(start[head]),
-            pa.array(start[tail] + length)], schema=schema)
+                keys = np.array([digest(raw[i : i + length]) for i in range(n)], np.uint64)
+                none = np.zeros(n, np.int64)
+                task.add(doc, uid, keys, np.zeros(n, np.uint64), np.arange(first, first + n), none, none)
+            task.scan(new)
+            if len(task.family.hit) >= FAMILY:
+                yield from task.emptied()
+        yield from task.emptied()
 
     return strings
 
@@ -297,6 +295,12 @@ def _without_spans():
     return cut
 
 
+def _met(entries: DataFrame, arrow: pa.DataType, ddl: str) -> DataFrame:
+    """Entries of all tasks brought together by (core, whole), finished marks anywhere, and decided."""
+    spread = F.when(F.col("core").isNull(), F.xxhash64("uid", "at")).otherwise(F.xxhash64("core", "whole"))
+    return entries.repartition(spread).sortWithinPartitions("core", "whole").mapInArrow(_needs(arrow), NEED.format(ddl))
+
+
 def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", length: int = 400) -> DataFrame:
     """``docs`` with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
 
@@ -307,8 +311,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     and ordered by the hash of the bytes behind the anchor instead of the bytes, which puts equal prefixes side by
     side as well. Each task keeps a logarithmic family of such arrays: new batches are merge-scanned against it, and
     what a task has met before leaves it as one finished row per stretch, so a third of all rows in copies is a few
-    entries per task. The entries meet by core; where surroundings differ, the bytes around the anchors are fetched
-    and all their strings go through a second family.
+    entries per task. The entries meet by the hash of all their bytes, and cores are counted with partial sums; where
+    the surroundings of a core differ, the bytes around the anchors are fetched, all their strings go through a second
+    family per task and meet by the hash of the string. So one core in many surroundings is spread over all tasks.
 
     NULL text is empty and keeps nothing. Rows equal in ``doc`` and text are removed alike, and repeat each other.
     Other columns stay; input columns with the names of the results are replaced. An empty table gives an empty table.
@@ -322,24 +327,25 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     raw = raw.withColumn("__uid", F.xxhash64(F.col(f"`{doc}`"), F.col("__text")))
     rows = raw.select(F.col(f"`{doc}`").alias("doc"), F.col("__uid").alias("uid"), F.col("__text").alias("text"))
     entries = rows.where(F.octet_length("text") >= length).mapInArrow(_entries(arrow, length), ENTRY.format(ddl))
-    spread = F.coalesce(F.col("core"), F.xxhash64("uid", "at"))
-    needs = stored(
-        entries.repartition(spread).sortWithinPartitions("core").mapInArrow(_needs(arrow), NEED.format(ddl)), "suffixes")
+    needs = stored(_met(entries, arrow, ddl), "suffixes")
     first, end = (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("least") + length).alias("end")
     whole = needs.where(F.col("kind") == MARK).select("doc", "uid", first, end)
-    asked = needs.where(F.col("kind") != MARK).groupBy("doc", "uid").agg(
-        F.collect_set(F.struct("kind", "core", first, end)).alias("__wanted")).select(
+    single = needs.where(F.col("kind") != MARK)
+    shared = single.groupBy("core").agg(F.count("*").alias("n"), F.min("kind").alias("least")).where(
+        (F.col("n") > 1) & (F.col("least") == ASK)).select("core")
+    asked = single.join(shared, "core", "left_semi").groupBy("doc", "uid").agg(
+        F.collect_set(F.struct(first, end)).alias("__wanted")).select(
         F.col("doc").alias("__d"), F.col("uid").alias("__u"), "__wanted")
     met = raw.join(asked.hint("shuffle_hash"), raw[f"`{doc}`"].eqNullSafe(asked["__d"]) & (raw["__uid"] == asked["__u"]))
     pieces = met.select(
         F.col("__d").alias("doc"), F.col("__u").alias("uid"), F.col("__text").cast("binary").alias("__raw"),
         F.explode("__wanted").alias("w"),
     ).select(
-        F.col("w.core").alias("core"), F.col("w.kind").alias("kind"), "doc", "uid", F.col("w.start").alias("first"),
+        "doc", "uid", F.col("w.start").alias("first"),
         F.substring("__raw", F.col("w.start").cast("int") + 1, (F.col("w.end") - F.col("w.start")).cast("int")).alias("bytes"),
     )
-    partly = pieces.repartition("core").mapInArrow(
-        _strings(arrow, length), f"doc {ddl}, uid bigint, start bigint, end bigint")
+    strings = pieces.mapInArrow(_strings(arrow, length), ENTRY.format(ddl))
+    partly = _met(strings, arrow, ddl).where(F.col("kind") == MARK).select("doc", "uid", first, end)
     spans = whole.unionByName(partly).groupBy("doc", "uid").agg(
         F.collect_set(F.struct("start", "end")).alias("__spans")).select(
         F.col("doc").alias("__d"), F.col("uid").alias("__u"), "__spans")

@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from harborline.llm import chat, components, decontaminate, html, licenses, lines, packing, rules, simhash, suffix
@@ -142,6 +143,46 @@ def test_suffix_dedup_of_edited_copies(spark):
         assert bytes(r.kept) == bytes(raw[~want[r.doc_id]]), r.doc_id
 
 
+def test_suffix_dedup_spreads_one_core_in_many_surroundings(spark, monkeypatch):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefgh \n") for _ in range(n))
+    passage, frames, real = letters(360), {}, suffix._strings
+    texts = {i: letters(300) + passage + letters(300) for i in range(200)}
+    texts |= {200 + i: texts[i][rng.randint(0, 60) : 700 + rng.randint(0, 60)] + letters(50) for i in range(20)}
+
+    def limited(doc_type, length):
+        inner = real(doc_type, length)
+
+        def strings(batches):
+            held = list(batches)
+            assert sum(b.num_rows for b in held) < 150, "pieces of one core meet in one task"
+            yield from inner(iter(held))
+
+        return strings
+
+    def kept(df, label):
+        frames[label] = df
+        return stored(df, label)
+
+    stored = suffix.stored
+    monkeypatch.setattr(suffix, "_strings", limited)
+    monkeypatch.setattr(suffix, "stored", kept)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.createDataFrame(list(texts.items()), "doc_id int, text string").repartition(5)
+        got = suffix.drop_repeats(frame).collect()
+        open_rows = frames["suffixes"].where(f"kind <> {suffix.MARK}").withColumn("task", F.spark_partition_id())
+        hot = open_rows.groupBy("core").agg(F.count("*").alias("n"), F.countDistinct("task").alias("tasks")).orderBy(F.desc("n")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert hot.n >= 200 and hot.tasks == 4
+    want = repeated_bytes({i: t.encode() for i, t in texts.items()}, 400)
+    assert len(got) == len(texts) and sum(r.n_removed for r in got) > 0
+    for r in got:
+        raw = np.frombuffer(texts[r.doc_id].encode(), np.uint8)
+        assert bytes(r.kept) == bytes(raw[~want[r.doc_id]]), r.doc_id
+
+
 def test_family_against_counts():
     rng = np.random.default_rng(0)
     family, every = suffix.Family(), []
