@@ -8,6 +8,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +29,17 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("proprietary", "All rights reserved."),
 )
+#: The texts of common licences, one file each; CC-BY-4.0 and CC-BY-NC-4.0 are made from the CC-BY-SA-4.0 text.
+TEXTS = Path(__file__).parent / "license_texts"
 WORD = "[a-z0-9]+"
 FOUND = ("license", "license_cosine", "license_from", "license_depth")
 
 
+@cache
+def license_texts() -> tuple[tuple[str, str], ...]:
+    return tuple((f.stem, f.read_text(encoding="utf-8")) for f in sorted(TEXTS.glob("*.txt")))
+
+
 def terms(text: str) -> Counter:
     return Counter(re.findall(WORD, text.lower()))
 
@@ -39,9 +48,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def constant(ws: list[str]) -> Column:
+    """An array of words, as one literal."""
+    return F.split(F.lit(" ".join(ws)), " ")
+
+
 def frequencies(files: DataFrame, text: str, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """The number of files, and for each word of the templates the number of files that hold it."""
-    held = F.array_intersect(words(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.array(*map(F.lit, vocabulary)))
+    held = F.array_intersect(constant(vocabulary), words(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     marked = F.explode(F.concat(F.array(F.lit("")), held))
     rows = files.select(marked.alias("w")).groupBy("w").count().collect()  # one row per word of the templates, and ''
     counts = {r["w"]: r["count"] for r in rows}
@@ -78,6 +92,18 @@ def anchors(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]
     return sorted(needed)
 
 
+def rare_anchors(vectors: dict[str, dict[str, float]], counts: dict[str, int], threshold: float) -> list[str]:
+    """``anchors``, leaving out the words that most files hold first: licence texts weigh their common words heavily."""
+    needed = set()
+    for vector in vectors.values():
+        left = 0.0
+        for w, v in sorted(vector.items(), key=lambda p: (-counts.get(p[0], 0), p[1], p[0])):
+            left += v * v
+            if left >= (threshold * (1 - 1e-9)) ** 2:
+                needed.add(w)
+    return sorted(needed)
+
+
 def rated(units: DataFrame, total: int, counts: dict[str, int], templates, threshold: float) -> DataFrame:
     """(``path``, ``unit``, ``license``, ``cosine``) of units (``path``, ``unit``, ``words``) at or over ``threshold``.
 
@@ -114,13 +140,14 @@ def ancestors(folder: Column) -> Column:
 
 def scan(
     files: DataFrame, path: str = "path", text: str = "text", templates=TEMPLATES,
-    line_threshold: float = 0.6, file_threshold: float = 0.6,
+    line_threshold: float = 0.6, file_threshold: float = 0.6, texts=None,
 ) -> DataFrame:
     """``files`` with ``license``, ``license_cosine``, ``license_from`` ('line', 'file', 'directory', NULL), ``license_depth``.
 
     Every line and every whole text is compared with each template: cosine of TF-IDF vectors over the words [a-z0-9]+
     in lower case, IDF = ln((1 + files) / (1 + files with the word)) + 1 over all files. A whole text at or over
-    ``file_threshold`` makes the file a licence file ('file'); otherwise its best line at or over ``line_threshold``
+    ``file_threshold`` makes the file a licence file ('file'), and so does one at or over it with one of ``texts``, the
+    (name, text) of whole licences (``license_texts`` if None), weighed over their own words; otherwise its best line at or over ``line_threshold``
     is its header ('line'). The highest cosine wins, ties go to the license whose name sorts first. Other files take the
     license of the nearest directory at or above their own that holds a licence file; of several there, again the best,
     then the first by path. ``license_depth`` is the number of directory levels in between.
@@ -133,7 +160,8 @@ def scan(
     the results are replaced. An empty table gives an empty table.
     """
     files = without(files, *FOUND)
-    vocabulary = sorted({w for _, t in templates for w in terms(t)})
+    texts = license_texts() if texts is None else texts
+    vocabulary = sorted({w for _, t in (*templates, *texts) for w in terms(t)})
     total, counts = frequencies(files, text, vocabulary)
     needed = anchors(weights(total, counts, templates), min(line_threshold, file_threshold))
     own = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
@@ -145,6 +173,11 @@ def scan(
     each = F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("unit"), words(x).alias("words")))
     units = near.select("path", F.inline(F.concat(one, F.filter(each, lambda u: F.arrays_overlap(u["words"], wanted)))))
     hits = rated(units, total, counts, templates, min(line_threshold, file_threshold))
+    if texts:
+        rare = rare_anchors(weights(total, counts, texts), counts, file_threshold)
+        whole = files.select(own.alias("path"), F.lit(-1).alias("unit"), words(body).alias("words")).where(
+            F.arrays_overlap("words", constant(rare)))
+        hits = hits.unionByName(rated(whole, total, counts, texts, file_threshold))
     kind = F.when(F.col("unit") == -1, F.lit("file")).otherwise(F.lit("line"))
     limit = F.when(F.col("unit") == -1, F.lit(file_threshold)).otherwise(F.lit(line_threshold))
     hits = hits.withColumn("kind", kind).where(F.col("cosine") >= limit)

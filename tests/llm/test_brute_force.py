@@ -411,6 +411,19 @@ def test_license_inheritance(spark):
     assert got["z.py"][0] == "MIT" and got["z.py"][3] == 0 and got["q/LICENSE"][3] == 1
 
 
+def test_license_texts_hand_down(spark):
+    texts = dict(licenses.license_texts())
+    files = [(f"{name}/LICENSE", f"Copyright (c) 2020 A. Nyone\n\n{t}") for name, t in texts.items()]
+    files += [(f"{name}/src/x.py", f"plain code {i}") for i, name in enumerate(texts)]
+    files += [(f"other/{i}.txt", f"the of and to you may {i} or software copies of a tale") for i in range(200)]
+    got = {r.path: tuple(r)[2:] for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {"MIT", "Apache-2.0", "GPL-3.0", "BSD-3-Clause", "MPL-2.0"} <= set(texts)
+    for name in texts:
+        assert got[f"{name}/LICENSE"][0] == name and got[f"{name}/LICENSE"][2] == "file"
+        assert got[f"{name}/src/x.py"][0] == name and got[f"{name}/src/x.py"][2:] == ("directory", 1)
+    assert all(got[f"other/{i}.txt"][0] is None for i in range(200))
+
+
 def test_pipeline(spark, docs, ids):
     good = {i: r for i, r in docs.items()}
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(BLANK))
