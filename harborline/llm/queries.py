@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, html, licenses, lines, lm, packing, rules, simhash, suffix
+from harborline.llm import alignment, chat, decontaminate, html, licenses, lines, lm, packing, repair, rules, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -238,3 +238,108 @@ def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix.drop_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB: CRC-32 of an ASCII string; its table is made by eight halvings of each byte.
+SQL_CRC_TABLE = "(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce(range(8), lambda a, k: "
+SQL_CRC_TABLE += "CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END, i) AS c FROM range(256) AS t(i)))"
+
+
+OP12 = f"""
+WITH RECURSIVE crc(t) AS MATERIALIZED (SELECT {SQL_CRC_TABLE}),
+named AS MATERIALIZED (
+  SELECT *, concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name FROM conversations),
+chance AS MATERIALIZED (
+  SELECT name, xor(4294967295, list_reduce(
+           list_transform(string_split(name, ''), lambda c: CAST(ord(c) AS BIGINT)),
+           lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)]), 4294967295)) % 20 AS h
+  FROM (SELECT DISTINCT name FROM named), crc),
+damaged AS MATERIALIZED (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM named JOIN chance ON named.name = chance.name, range(2) AS copy(k) WHERE h <> 0 AND (k = 0 OR h = 3)),
+rows AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged),
+faults AS MATERIALIZED (
+  SELECT *, left(role, 1) AS c, trim(text, {SPACES}) = '' AS is_blank,
+         trim(text, {SPACES}) <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS is_again,
+         NOT regexp_matches(rtrim(text, {SPACES}), '[.!?]$') AS no_end
+  FROM rows),
+told AS MATERIALIZED (
+  SELECT *, is_blank OR is_again AS gone, no_end AND NOT is_blank AND NOT is_again AS is_cut,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM faults),
+steps(s, kept, t, letters, cost, said) AS (VALUES
+  (0, 's', 1, '', 0, ''), (0, 'u', 2, '', 0, ''), (1, 'u', 2, '', 0, ''), (3, 'u', 2, '', 0, ''), (2, 'a', 3, '', 0, ''),
+  (2, 'u', 2, 'I', 5, 'assistant:'), (0, 'a', 3, 'I', 5, 'user:'), (1, 'a', 3, 'I', 5, 'user:'), (3, 'a', 3, 'I', 5, 'user:')),
+moves AS MATERIALIZED (
+  SELECT conv_id, pos, s, s AS t, 2 AS cost, 'D' AS letters, [] :: VARCHAR[] AS said FROM told, range(4) AS states(s)
+  UNION ALL
+  SELECT conv_id, pos, s, t, cost + CASE WHEN kept = c THEN 0 ELSE 1 END + CASE WHEN is_cut THEN 5 ELSE 0 END,
+         letters || CASE WHEN kept = c THEN 'K' ELSE 'R' END,
+         list_concat(CASE WHEN said = '' THEN [] :: VARCHAR[] ELSE [said] END,
+                     [CASE WHEN kept = c THEN role WHEN kept = 'u' THEN 'user' ELSE 'assistant' END || ':' || text])
+  FROM told, steps WHERE NOT gone AND (kept = c OR kept <> 's')),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, [] :: VARCHAR[] AS said
+  FROM (SELECT DISTINCT conv_id FROM told)
+  UNION ALL
+  SELECT conv_id, pos, t, best.cost, best.audit, best.said FROM (
+    SELECT ways.conv_id, moves.pos, CAST(moves.t AS BIGINT) AS t,
+           min({{'cost': ways.cost + moves.cost, 'audit': ways.audit || moves.letters, 'said': list_concat(ways.said, moves.said)}}) AS best
+    FROM ways JOIN moves ON moves.conv_id IS NOT DISTINCT FROM ways.conv_id AND moves.pos = ways.pos + 1 AND moves.s = ways.s
+    GROUP BY ALL)),
+ends AS (
+  SELECT conv_id, min({{
+    'cost': cost + CASE s WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END,
+    'audit': audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    'said': list_concat(said, CASE s WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] :: VARCHAR[] END)}}) AS best
+  FROM ways JOIN (SELECT conv_id AS own, max(pos) AS last FROM told GROUP BY ALL) ON conv_id IS NOT DISTINCT FROM own AND pos = last
+  GROUP BY ALL),
+totals AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE is_blank) AS blank,
+         count(*) FILTER (WHERE is_again) AS duplicate, count(*) FILTER (WHERE is_cut) AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM told GROUP BY ALL)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN totals ON totals.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """A conversation table with faults, the same ones each time: rows dropped, emptied, cut, repeated, or under another role."""
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    text = F.coalesce("text", F.lit(" "))
+    return (
+        turns.withColumn("h", F.crc32(name) % 20).where("h <> 0")
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.when(F.col("h") == 3, 1).otherwise(0))))
+        .select(
+            "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+            F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"))
+    )
+
+
+@query("op12_conversation_repair", OP12)
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations")
+    told = repair.repair(damaged(turns))
+    found, digests = told.conversations, told.digests().withColumnRenamed("conv", "digested")
+    ids = turns.select("conv_id").distinct()
+    met = ids.join(found, ids["conv_id"].eqNullSafe(found["conv"]), "left").join(
+        digests, ids["conv_id"].eqNullSafe(digests["digested"]), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return met.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf, "documents"), *paths)
