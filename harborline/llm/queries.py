@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import alignment, chat, decontaminate, html, licenses, lines, lm, packing, repair, rules, simhash, suffix
+from harborline.llm import alignment, chat, decontaminate, html, licenses, lines, lm, packing, repair, rules, simhash, suffix, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -343,3 +343,10 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
     paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.align(table(spark, sf, "documents"), *paths)
+
+
+@query("op11_document_fingerprints")
+def op11_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return winnow.edited_likeness(table(spark, sf, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), winnow.name(F.col("blocks")).alias("fingerprint"),
+        winnow.name(F.col("edited_blocks")).alias("edited_fingerprint"), "near_edited", "near_next")
