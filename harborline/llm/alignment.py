@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from itertools import chain
 from typing import NamedTuple
 
@@ -163,7 +164,7 @@ class Shard:
     """Documents as indices into a list of words; each distinct word is cut and aligned once."""
 
     def __init__(self, own: Aligner):
-        self.own, self.index, self.docs, self.at, self.words, self.chars = own, {}, [], [0], [], 0
+        self.own, self.index, self.docs, self.at, self.words, self.chars = own, {}, [], [0], array("i"), 0
         self.texts: list[str] = []
 
     def add(self, doc, text: str) -> None:
@@ -173,7 +174,7 @@ class Shard:
             if sum(map(len, words)) != len(whole):  # white space only
                 words = [whole]
         index = self.index
-        self.words += [index.setdefault(w, len(index)) for w in words]
+        self.words.extend([index.setdefault(w, len(index)) for w in words])
         self.docs.append(doc)
         self.texts.append(whole)
         self.at.append(len(self.words))
@@ -196,7 +197,7 @@ class Shard:
             words = [[p for p in own if known.groups[p] is not None] for own in words]
             for own in words:
                 at.append(at[-1] + len(own))
-            self.words, self.at = [p for own in words for p in own], at
+            self.words, self.at = array("i", chain.from_iterable(words)), at
         self.texts = []
         return known
 
@@ -212,12 +213,16 @@ class Shard:
         totals = np.bincount(which, times.astype(float), len(pairs)).astype(np.int64)
         used = totals > 0  # a pair of documents that lost their tokens is no pair of the corpus
         place = np.cumsum(used) - 1
-        sums = np.concatenate(([[0] * 4], np.cumsum(known.sizes[words], axis=0)))
+
+        def summed(k: int) -> np.ndarray:
+            upto = np.concatenate(([0], np.cumsum(known.sizes[words, k])))
+            return upto[at[1:]] - upto[at[:-1]]
+
         values = {
             "shard": number, "docs": self.docs, "at": at, "words": words, "digests": digests,
             "word_links": known.sizes[:, 3].astype(np.int32), "links": np.where(used, place, 0)[which].astype(np.int32),
             "pairs": pairs[used], "totals": totals[used],
-        } | {c: (sums[at[1:], k] - sums[at[:-1], k]) for k, c in enumerate(COUNTS)}
+        } | {c: summed(k) for k, c in enumerate(COUNTS)}
         return pa.RecordBatch.from_arrays([_one(values[f.name], f.type) for f in schema], schema=schema)
 
 

@@ -17,8 +17,8 @@ from harborline.llm.common import BATCHES, fingerprint, stored
 
 #: Costs of edits; an undeleted truncated row costs ``CUT`` more.
 REROLE, DELETE, INSERT, CUT = 1, 2, 5, 5
-#: Distinct rows of a conversation that are repaired together.
-CHUNK = 4096
+#: Distinct rows of a conversation that are repaired together, and chunks that are unpacked at once.
+CHUNK, SLICE = 4096, 16
 #: What may come before a row and happen to it, in ASCII order; no one begins another, so audits of the same rows compare by rank.
 LETTERS = ("D", "IK", "IR", "K", "R")
 #: States: nothing yet, behind a system, user and assistant row; how each is brought to an accepted end.
@@ -275,9 +275,16 @@ def _edited(schema: pa.Schema):
         yield at | {"place": -1, "audit": "".join(audit) + c["tail"]}
 
     def edited(batches):
+        out = []
         for batch in batches:
-            for k in range(batch.num_rows):
-                yield pa.RecordBatch.from_pylist(list(edits(batch.slice(k, 1).to_pylist()[0])), schema=schema)
+            for k in range(0, batch.num_rows, SLICE):
+                for c in batch.slice(k, SLICE).to_pylist():
+                    out += edits(c)
+                if len(out) >= CHUNK:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return edited
 
