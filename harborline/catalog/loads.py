@@ -15,7 +15,7 @@ from harborline.catalog.sqltext import VALUES, dbl, dt, sql, ts
 from harborline.operators import profile
 from harborline.plans import build, loads, marts
 from harborline.session import scratch
-from harborline.sinks import merge, tables
+from harborline.sinks import merge, tables, versions
 from harborline.sources import drift, files
 
 
@@ -208,16 +208,26 @@ def s10(spark, sf):
 
 
 @query("s11_external_and_managed", """
-SELECT 'external' AS kind, count(*) AS n FROM supplier UNION ALL SELECT 'managed', count(*) FROM supplier""")
+SELECT 'external' AS kind, * FROM supplier UNION ALL SELECT 'managed', * FROM supplier""")
 def s11(spark, sf):
     external, layer = _name("supplier_ext"), _name("layer")
     tables.create_layer(spark, layer, scratch(spark, "s11"))
     rows = tables.external_table(spark, external, f"{sf}/supplier.parquet")
     tables.write_table(rows, f"{layer}.supplier")
-    return profile.stack(
-        {"external": rows.agg(n_rows().alias("n")), "managed": spark.table(f"{layer}.supplier").agg(n_rows().alias("n"))},
-        "kind",
-    )
+    return rows.select(F.lit("external").alias("kind"), "*").unionByName(
+        spark.table(f"{layer}.supplier").select(F.lit("managed").alias("kind"), "*"))
+
+
+@query("s11_external_partitioned", f"""
+SELECT * REPLACE ({ts('ts')} AS ts), {dt('ts')} AS ts_day FROM events""")
+def s11_partitioned(spark, sf):
+    # the table is there before the later days are
+    name, path = _name("events_ext"), scratch(spark, "s11-days")
+    events, middle = domain.table(spark, sf, "events"), F.lit("2024-01-15").cast("timestamp_ntz")
+    tables.write_table(events.where(F.col("ts") < middle), path, partition_ts="ts")
+    tables.external_table(spark, name, path)
+    tables.write_table(events.where(F.col("ts") >= middle), path, mode="append", partition_ts="ts")
+    return tables.external_table(spark, name, path)
 
 
 @query("s12_schema_drift", """
@@ -316,12 +326,30 @@ def k6(spark, sf):
     return rows.select("event_type").distinct()
 
 
-@query("k7_truncate_and_load", "SELECT l_linestatus, count(*) AS n FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1")
+@query("k6_bucketed_join", f"""
+SELECT o_orderpriority, count(*) AS n, count(DISTINCT o_orderkey) AS orders, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
+  min({dt('o_orderdate')}) AS first_order
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def k6_bucketed(spark, sf):
+    layer = _name("layer")
+    tables.create_layer(spark, layer, scratch(spark, "k6-buckets"))
+    tables.write_bucketed(lines(spark, sf), f"{layer}.lineitem", "l_orderkey", 8)
+    tables.write_bucketed(domain.table(spark, sf, "orders"), f"{layer}.orders", "o_orderkey", 8)
+    met = spark.table(f"{layer}.lineitem").join(spark.table(f"{layer}.orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # per order first, which needs no exchange either
+    per_order = met.groupBy("o_orderkey", "o_orderpriority").agg(
+        n_rows().alias("n"), F.sum("l_quantity").alias("quantity"), F.min("o_orderdate").alias("first_order"))
+    return per_order.groupBy("o_orderpriority").agg(
+        F.sum("n").alias("n"), F.count("o_orderkey").alias("orders"), F.sum("quantity").alias("quantity"),
+        F.date_format(F.min("first_order"), "yyyy-MM-dd").alias("first_order"))
+
+
+@query("k7_truncate_and_load", LINES_SQL + " WHERE l_linestatus = 'O'")
 def k7(spark, sf):
     path = scratch(spark, "k7")
     for status in ("F", "O"):
         tables.write_table(lines(spark, sf).where(F.col("l_linestatus") == status), path)
-    return spark.read.parquet(path).groupBy("l_linestatus").agg(n_rows().alias("n"))
+    return spark.read.parquet(path)
 
 
 def _hash(columns: list[str]) -> str:
@@ -389,34 +417,45 @@ def k10(spark, sf):
     return spark.read.parquet(target).drop("year")
 
 
-@query("k11_create_if_missing", "SELECT s_suppkey, s_name FROM supplier")
+@query("k11_create_if_missing", "SELECT * FROM supplier")
 def k11(spark, sf):
     layer = _name("layer")
     tables.create_layer(spark, layer, scratch(spark, "k11"))
     for _ in range(2):
-        tables.create_table(spark, f"{layer}.supplier", "s_suppkey BIGINT, s_name STRING")
-    domain.table(spark, sf, "supplier").select("s_suppkey", "s_name").write.insertInto(f"{layer}.supplier")
+        declared = ", ".join(f"{c} {kind}" for c, kind in domain.table(spark, sf, "supplier").dtypes)
+        tables.create_table(spark, f"{layer}.supplier", declared)
+    domain.table(spark, sf, "supplier").write.insertInto(f"{layer}.supplier")
     return spark.table(f"{layer}.supplier")
 
 
-@query("k12_drop_before_load", "SELECT count(*) AS n FROM supplier")
+@query("k12_drop_before_load", "SELECT * FROM supplier")
 def k12(spark, sf):
     layer = _name("layer")
     tables.create_layer(spark, layer, scratch(spark, "k12"))
     for _ in range(2):
         tables.drop_table(spark, f"{layer}.supplier")
         tables.write_table(domain.table(spark, sf, "supplier"), f"{layer}.supplier", mode="append")
-    return spark.table(f"{layer}.supplier").agg(n_rows().alias("n"))
+    return spark.table(f"{layer}.supplier")
 
 
-@query("k13_promote_column", "SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey FROM orders")
+@query("k13_promote_column", f"""
+SELECT * REPLACE (CAST(o_custkey AS DOUBLE) AS o_custkey, {ts('o_orderdate')} AS o_orderdate) FROM orders""")
 def k13(spark, sf):
     before, after = scratch(spark, "k13"), scratch(spark, "k13-promoted")
-    domain.table(spark, sf, "orders").select("o_orderkey", "o_custkey").write.parquet(before)
+    domain.table(spark, sf, "orders").write.parquet(before)
     tables.promote_column(spark, before, after, "o_custkey")
     return spark.read.parquet(after)
 
 
+@query("k13_promote_in_place", f"""
+SELECT * REPLACE (CAST(o_custkey AS DOUBLE) AS o_custkey, {ts('o_orderdate')} AS o_orderdate) FROM orders""")
+def k13_in_place(spark, sf):
+    base = scratch(spark, "k13-table")
+    versions.replace_table(domain.table(spark, sf, "orders"), base)
+    versions.promote_in_place(spark, base, "o_custkey")
+    return versions.read_current(spark, base)
+
+
 @query("k14_view_or_table", sql(f"""
 SELECT 'staging' AS layer, count(*) AS n FROM raw_claim UNION ALL SELECT 'marts', count(*) FROM monthly"""))
 def k14(spark, sf):

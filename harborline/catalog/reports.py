@@ -66,7 +66,9 @@ _MART_KEYS = {
     for model, (source, period, part) in _MART_KEYS.items()
 )))
 def g1_marts(spark, sf):
-    models = build.publish(spark, raw(spark, sf), scratch(spark, "g1-marts"), THRESHOLD)
+    base = scratch(spark, "g1-marts")
+    build.publish(spark, raw(spark, sf), base, THRESHOLD)
+    models = build.published(spark, base)
     keys = {"mart_dashboard_daily": ("day_date", F.lit("")), "mart_dashboard_monthly": ("month_start", F.lit("")),
             "mart_dashboard_by_product": ("month_start", F.col("product")),
             "mart_dashboard_rollups": ("period_start", F.col("time_grain"))}

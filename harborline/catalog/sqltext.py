@@ -182,10 +182,16 @@ CTES["grains"] = " UNION ALL ".join(
     [f"SELECT 'D' AS time_grain, k AS period_start, {VALUES} FROM daily"]
     + [_grain(c, u) for c, u in (("W", "week"), ("M", "month"), ("Q", "quarter"), ("Y", "year"))]
 )
+# each period is sent to itself and to the one a year later, and the two meet in one aggregation
+CTES["lent"] = f"""
+SELECT time_grain, period_start AS period, true AS here, period_start, {VALUES} FROM grains
+UNION ALL SELECT time_grain, CAST(period_start + INTERVAL 1 YEAR AS DATE), false, period_start, {VALUES} FROM grains
+WHERE time_grain IN ('M', 'Q', 'Y') AND period_start IS NOT NULL"""
 CTES["rollups"] = f"""
-SELECT g.*, p.period_start AS period_start_ly, {', '.join(f'p.{v} AS {v}_ly' for v in VALUES.split(', '))}
-FROM grains g LEFT JOIN grains p ON p.time_grain = g.time_grain AND g.time_grain IN ('M', 'Q', 'Y')
-  AND CAST(p.period_start + INTERVAL 1 YEAR AS DATE) = g.period_start"""
+SELECT time_grain, period AS period_start, {', '.join(f'max({v}) FILTER (here) AS {v}' for v in VALUES.split(', '))},
+  max(period_start) FILTER (NOT here) AS period_start_ly,
+  {', '.join(f'max({v}) FILTER (NOT here) AS {v}_ly' for v in VALUES.split(', '))}
+FROM lent GROUP BY time_grain, period HAVING bool_or(here)"""
 CTES["invoice_totals"] = """
 SELECT policy_number, count(*) AS invoice_count, sum(pre_levy_amount) AS total_pre_levy_amount,
   sum(total_amount) AS total_amount_paid

@@ -65,23 +65,38 @@ def g8(spark, sf):
     )
 
 
-@query("r3_quarantine", """
-SELECT CASE event_type WHEN 'error' THEN 'bad' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY 1""")
+@query("r3_quarantine", f"""
+SELECT 'good' AS kind, CAST(user_id AS VARCHAR) AS policy_number, event_type, props AS content, {ts(MILLIS)} AS event_time
+FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'bad', NULL, NULL, substring('{{"policy_number":"' || user_id || '"', 1, 20), NULL
+FROM events WHERE event_type = 'error'""")
 def r3(spark, sf):
-    # messages of error events are cut short, which leaves broken JSON
-    events = domain.table(spark, sf, "events")
-    messages = domain.event_messages(events)
-    broken = F.when(F.col("value").contains('"event_type":"error"'), F.substring("value", 1, 20))
-    good, bad = stream.parse_events(messages.select(F.coalesce(broken, "value").alias("value")), strict=False)
-    rows = F.count(F.lit(1)).alias("n")
-    return good.agg(rows).select(F.lit("good").alias("kind"), "n").unionByName(
-        bad.agg(rows).select(F.lit("bad").alias("kind"), "n")
-    )
-
-
-@query("r4_replay", "SELECT count(*) AS n FROM events")
+    # messages of error events are cut short, which leaves broken JSON; the stream stops between two halves of the topic
+    topic, offsets = scratch(spark, "r3"), scratch(spark, "r3-offsets")
+    target, aside = scratch(spark, "r3-landing"), scratch(spark, "r3-quarantine")
+    messages = domain.event_messages(domain.table(spark, sf, "events"))
+    broken = F.when(F.col("value").contains('"event_type":"error"'), F.substring_index("value", ",", 1))
+    broken = F.when(broken.isNotNull(), F.substring(broken, 1, 20))
+    messages = messages.select(F.coalesce(broken, "value").alias("value"))
+    half = F.xxhash64("value") % 2 == 0
+    for part in (messages.where(half), messages.where(~half)):
+        part.write.mode("append").text(topic)
+        stream.land_sorted(stream.event_stream(spark, topic, "text"), target, aside, offsets, NOW).awaitTermination()
+    good, bad = spark.read.parquet(target), spark.read.parquet(aside)
+    return good.select(
+        F.lit("good").alias("kind"), "policy_number", "event_type", F.col("payload").alias("content"), "event_time",
+    ).unionByName(bad.select(F.lit("bad").alias("kind"), F.col("value").alias("content")), allowMissingColumns=True)
+
+
+@query("r4_replay", "SELECT DISTINCT * FROM (" + EVENT_SQL + ")")
 def r4(spark, sf):
-    return _land(spark, sf, "r4").agg(F.count(F.lit(1)).alias("n"))
+    # offsets are lost between two starts, and the topic is read from its start again
+    topic, target = _topic(spark, sf, "r4"), scratch(spark, "r4-landing")
+    for start in ("a", "b"):
+        messages = stream.event_stream(spark, topic, "text")
+        keyed = stream.parse_events(messages, keep=["value"]).withColumn("message", F.sha2("value", 256)).drop("value")
+        stream.land_once(keyed, target, scratch(spark, f"r4-offsets-{start}"), "message", trigger=NOW).awaitTermination()
+    return spark.read.parquet(target).select(*stream.EVENT_COLUMNS)
 
 
 @query("r5_latest_first", f"""
@@ -111,3 +126,14 @@ def k18(spark, sf):
         stream.parse_events(messages), stream.batch_folders(target), checkpoint, NOW
     ).awaitTermination()
     return spark.read.parquet(target).select(*stream.EVENT_COLUMNS)
+
+
+@query("k18_flush_by_rows", "SELECT count(*) AS row_count, true AS small FROM events")
+def k18_flush(spark, sf):
+    target, checkpoint = scratch(spark, "k18-flushes"), scratch(spark, "k18-flush-offsets")
+    messages = stream.event_stream(spark, _topic(spark, sf, "k18-flush"), "text")
+    stream.land_batches(
+        stream.parse_events(messages), stream.batch_folders(target, flush_rows=1000), checkpoint, NOW
+    ).awaitTermination()
+    files = spark.read.parquet(target).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("row_count"), (F.max("n") <= 1000).alias("small"))

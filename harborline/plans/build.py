@@ -9,8 +9,10 @@ from harborline.operators.quality import require, run_declared
 from harborline.operators.ranking import rank_policies
 from harborline.plans import marts, staging
 from harborline.sinks.tables import with_load_time, write_table
+from harborline.sinks.versions import current, hold, new_version
 from harborline.sources.files import read_raw_csv
 
+# The models and the layer each one belongs to.
 LAYERS = {
     "stg_policy": "staging",
     "stg_invoice": "staging",
@@ -26,7 +28,7 @@ LAYERS = {
 }
 
 
-#: The CSV files of the raw layer and the tables they become.
+# The CSV files of the raw layer and the tables they become.
 RAW_FILES = {"policy.csv": "raw_policy", "invoice.csv": "raw_invoice", "claim.csv": "raw_claim"}
 
 
@@ -78,15 +80,17 @@ def publish(
     spark: SparkSession, raw: dict[str, DataFrame], base: str, threshold: int = staging.OUTLIER_THRESHOLD,
     check: bool = True,
 ) -> dict[str, DataFrame]:
-    """Stage once, check, and only then write the marts under ``base``; all models as they can be read now.
+    """Stage once, check, write the marts, and only then let readers of ``base`` see any of it; all models as read.
 
     Typed staging tables are written before anything reads them, so raw tables are read and cast once. The
-    declared checks run on staging, the intermediate models and the wide mart before the first mart is
-    replaced: a failing check leaves the published marts as they were.
+    declared checks run on staging, the intermediate models and the wide mart before the first mart is written.
+    Every build has a version folder of its own (``harborline.sinks.versions``), which becomes the one that
+    ``published`` gives when it is complete: a failing check or write leaves all tables of the last build.
     """
+    version, folder = new_version(base)
 
     def stored(name: str, df: DataFrame) -> DataFrame:
-        path = f"{base.rstrip('/')}/{LAYERS[name]}/{name}"
+        path = f"{folder}/{LAYERS[name]}/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
@@ -101,9 +105,17 @@ def publish(
     for name, layer in LAYERS.items():
         if layer == "marts" and name != "mart_dashboard_daily":
             models[name] = stored(name, models[name])
+    hold(spark, base, version)
     return models
 
 
+def published(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The staging tables and marts of the last complete build under ``base``."""
+    folder = current(spark, base)
+    written = {n: layer for n, layer in LAYERS.items() if layer != "intermediate"}
+    return {name: spark.read.parquet(f"{folder}/{layer}/{name}") for name, layer in written.items()}
+
+
 def model_rows(models: dict[str, DataFrame]) -> DataFrame:
     """One row per model with its row count."""
     parts = [

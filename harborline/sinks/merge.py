@@ -6,42 +6,54 @@ batch again inserts nothing. One writer per target at a time.
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import known, orphans
+from harborline.operators.joins import orphans
+
+#: So many partition values are named one by one in the filter on the target; a batch with more gives a range.
+NAMED_PARTITIONS = 2000
+
+
+def touched(staged: DataFrame, partition: str) -> Column:
+    """A filter on ``partition`` alone that keeps every partition a batch has rows for.
+
+    Its literals are known before the target is planned, so the target's other partitions are not even listed
+    for the scan. Up to ``NAMED_PARTITIONS`` values are named, more are covered by their range; the NULL
+    partition, which neither can name, is kept when the batch has rows there.
+    """
+    column = F.col(f"`{partition}`")
+    values = [r[0] for r in staged.select(column.alias("p")).distinct().limit(NAMED_PARTITIONS + 1).collect()]
+    undated = column.isNull() if None in values else F.lit(False)
+    values = [v for v in values if v is not None]
+    if not values:
+        return undated
+    if len(values) < NAMED_PARTITIONS:
+        return column.isin(values) | undated
+    low, high, nulls = staged.agg(F.min(column), F.max(column), F.bool_or(column.isNull())).first()
+    return column.between(F.lit(low), F.lit(high)) | (column.isNull() if nulls else F.lit(False))
 
 
 def merge_insert_only(staged: DataFrame, target: str, key: str, partition: str | None = None) -> int:
     """Append the staged rows that are new to the Parquet table at ``target`` and return their number.
 
     With ``partition``, a row can only meet target rows of its own partition (the key must decide the
-    partition). Then the merge reads just the partitions that the batch has rows for, which Spark prunes
-    from the distinct values, and the NULL partition, which equality cannot name.
+    partition). Then the merge reads just the partitions that the batch has rows for (see ``touched``). The number
+    is the difference of two counts over those partitions, which read file footers only.
     """
     spark = staged.sparkSession
     shell = staged.limit(0).write.mode("ignore")  # the table, if it is missing
     (shell.partitionBy(partition) if partition else shell).parquet(target)
-    held = spark.read.schema(staged.schema).parquet(target)
-    if partition is not None:
-        touched = staged.select(partition).distinct()
-        undated = held.where(F.col(partition).isNull()).select(key)
-        held = known(held.select(key, partition), touched, partition).select(key).unionByName(undated)
-    counted = Observation()
-    fresh = orphans(staged, held.select(key), key).observe(counted, F.count(F.lit(1)).alias("rows"))
+    near = touched(staged, partition) if partition is not None else F.lit(True)
+
+    def held() -> DataFrame:
+        return spark.read.schema(staged.schema).parquet(target).where(near)
+
+    before = held().count()
+    fresh = orphans(staged, held().select(key), key) if before else staged
     # few files per partition, and a partition too big for one task is split
     fresh = fresh.hint("rebalance", F.col(partition)) if partition else fresh.hint("rebalance")
     writer = fresh.write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(target)
-    return _rows(counted)
-
-
-def _rows(counted: Observation) -> int:
-    """The observed number; a plan that turned out empty while it ran drops its observation, and has none."""
-    try:
-        return counted.get["rows"]
-    except Py4JJavaError as error:
-        if "AssertionError" in str(error.java_exception.toString()):
-            return 0
-        raise
+    spark.catalog.refreshByPath(target)
+    return held().count() - before

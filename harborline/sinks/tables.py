@@ -72,11 +72,29 @@ def create_table(spark: SparkSession, name: str, schema: str, partition: str | N
 
 
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A table over files that stay where they are."""
+    """A table over files that stay where they are.
+
+    Partition folders (``write_table`` with ``partition_ts``) are entered into the catalog on every call, so
+    folders that came since the last call are seen; files that came into a known folder are seen too.
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int, mode: str = "overwrite") -> None:
+    """A catalog table dealt into ``buckets`` by the hash of ``key`` and sorted by it inside each.
+
+    Two tables of the same key and number of buckets join and aggregate on it without an exchange. The number
+    should give buckets a task can hold; rows are dealt once before the write, so there is one file per bucket.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def create_layer(spark: SparkSession, name: str, location: str | None = None) -> None:
     located = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{located}")

@@ -8,13 +8,14 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType
 
 from harborline.functions.exprs import clip, from_millis
 from harborline.operators.joins import orphans
+from harborline.sinks.merge import merge_insert_only
 
 MESSAGE = "policy_number variant, event_type variant, payload variant, event_time_ms variant"
 EVENT_COLUMNS = ["policy_number", "event_type", "payload", "event_time"]
@@ -48,12 +49,13 @@ def _payload(spaced: bool) -> Column:
     )
 
 
-def _parsed(lines: DataFrame, spaced: bool, payload_limit: int | None) -> DataFrame:
+def _parsed(lines: DataFrame, spaced: bool, payload_limit: int | None, keep: Sequence[str] = ()) -> DataFrame:
     read = lines.withColumn("m", F.from_json("value", MESSAGE))
     millis = F.expr("try_variant_get(m.event_time_ms, '$', 'bigint')")
     complete = F.col("m.policy_number").isNotNull() & F.col("m.event_type").isNotNull() & millis.isNotNull()
     return read.select(
         "value",
+        *[c for c in keep if c != "value"],
         complete.alias("ok"),
         _text("m.policy_number").alias("policy_number"),
         _text("m.event_type").alias("event_type"),
@@ -63,7 +65,7 @@ def _parsed(lines: DataFrame, spaced: bool, payload_limit: int | None) -> DataFr
 
 
 def parse_events(
-    lines: DataFrame, strict: bool = True, spaced: bool = False, payload_limit: int | None = None
+    lines: DataFrame, strict: bool = True, spaced: bool = False, payload_limit: int | None = None, keep: Sequence[str] = (),
 ):
     """JSON messages to policy_number, event_type, payload and event_time.
 
@@ -72,14 +74,15 @@ def parse_events(
 
     ``payload_limit`` cuts payloads to so many characters, after which one may no longer be JSON; without it
     they stay whole. Nested payloads are written as compact JSON; ``spaced`` writes them with a blank after each comma
-    and colon, and non-ASCII characters escaped, at the price of a Python pass.
+    and colon, and non-ASCII characters escaped, at the price of a Python pass. ``keep`` names columns of the
+    messages (their text, or topic, partition and offset) that events carry on.
     """
-    parsed = _parsed(lines, spaced, payload_limit)
+    parsed = _parsed(lines, spaced, payload_limit, keep)
     if strict:
         broken = F.raise_error(F.concat(F.lit("bad event message: "), F.coalesce("value", F.lit("NULL"))))
         checked = F.when(F.col("ok"), F.col("event_time")).otherwise(broken.cast("timestamp"))
-        return parsed.withColumn("event_time", checked).select(*EVENT_COLUMNS)
-    return parsed.where("ok").select(*EVENT_COLUMNS), parsed.where(~F.col("ok")).select("value")
+        return parsed.withColumn("event_time", checked).select(*EVENT_COLUMNS, *keep)
+    return parsed.where("ok").select(*EVENT_COLUMNS, *keep), parsed.where(~F.col("ok")).select("value")
 
 
 def land_stream(
@@ -103,17 +106,75 @@ def land_batches(
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def batch_folders(target: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer that replaces the folder of its own batch, so a repeated batch changes nothing."""
+def batch_folders(target: str, flush_rows: int | None = None) -> Callable[[DataFrame, int], None]:
+    """A batch writer that replaces the folder of its own batch, so a repeated batch changes nothing.
+
+    ``flush_rows`` is the most rows that one file gets: a task closes a file and begins another after so many. How
+    long rows wait is up to the trigger, how many come in at once up to the source (``maxFilesPerTrigger``,
+    ``maxOffsetsPerTrigger``).
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("received_at", F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{target}/batch_id={number}"
-        )
+        writer = batch.withColumn("received_at", F.current_timestamp()).write.mode("overwrite")
+        if flush_rows is not None:
+            writer = writer.option("maxRecordsPerFile", flush_rows)
+        writer.parquet(f"{target}/batch_id={number}")
 
     return write
 
 
+def land_sorted(
+    messages: DataFrame, target: str, quarantine: str, checkpoint: str, trigger: dict | None = None,
+    flush_rows: int | None = None, **parsing,
+) -> StreamingQuery:
+    """Land a stream of message texts: events under ``target``, messages that cannot be read under ``quarantine``.
+
+    Both go to the folder of their batch, so a batch that is repeated after a failure, also one between the two
+    writes, replaces what it wrote: each message is in exactly one of the two tables, once. Quarantined rows hold the
+    message text (``value``) and ``received_at``. ``parsing`` is handed to ``parse_events``.
+    """
+    keep, aside = batch_folders(target, flush_rows), batch_folders(quarantine, flush_rows)
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        try:
+            good, bad = parse_events(held, strict=False, **parsing)
+            keep(good, number)
+            aside(bad, number)
+        finally:
+            held.unpersist()
+
+    return land_batches(messages, write, checkpoint, trigger)
+
+
+def land_once(
+    events: DataFrame, target: str, checkpoint: str, key: str, within: str | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Land a stream so that a message is there once, also when its source is read again from the start.
+
+    ``key`` tells messages apart (a digest of the text, or topic, partition and offset); equal keys have equal
+    ``event_time``. Each batch is merged into the landing by its key: it reads the keys of the event days it has
+    rows for and adds the others, so a lost checkpoint, a repeated batch or a write that broke off in the middle
+    adds nothing twice, and a late message, however late, lands in its day.
+
+    With ``within`` (a span such as "2 days") a state store drops repeats before the merge, which then sees fewer rows.
+    The price is its watermark: a message whose event time is older than the latest one by more than that span does
+    not land, even if it is new. Without it nothing is dropped.
+    """
+    if within is not None:
+        events = events.withWatermark("event_time", within).dropDuplicatesWithinWatermark([key])
+
+    def write(batch: DataFrame, number: int) -> None:
+        staged = batch.dropDuplicates([key]).withColumn("received_at", F.current_timestamp())
+        staged = staged.withColumn("event_day", F.to_date("event_time")).persist()
+        try:
+            merge_insert_only(staged, target, key, partition="event_day")
+        finally:
+            staged.unpersist()
+
+    return land_batches(events, write, checkpoint, trigger)
+
+
 def still_missing(batch: DataFrame, held: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows of a batch whose key the table does not hold yet, however batch and table are partitioned."""
     return orphans(batch, held, key)
@@ -124,7 +185,7 @@ def _is_database_error(error: Exception) -> bool:
 
 
 def jdbc_batches(
-    url: str, table: str, key: Sequence[str], retries: int = 3, **options: str
+    url: str, table: str, key: Sequence[str], retries: int = 3, flush_rows: int = 1000, **options: str
 ) -> Callable[[DataFrame, int], None]:
     """A batch writer over JDBC that can be repeated.
 
@@ -143,7 +204,7 @@ def jdbc_batches(
             try:
                 held = spark.read.format("jdbc").options(query=query, **jdbc).load()
                 todo = still_missing(stamped, held, key)
-                todo.write.format("jdbc").mode("append").options(dbtable=table, batchsize="1000", **jdbc).save()
+                todo.write.format("jdbc").mode("append").options(dbtable=table, batchsize=str(flush_rows), **jdbc).save()
                 return
             except Exception as error:
                 if attempt == retries or not _is_database_error(error):
@@ -152,20 +213,29 @@ def jdbc_batches(
     return write
 
 
+def _days(spark: SparkSession, landed: str) -> list[str]:
+    """The days of a landing, newest first, from the names of its folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landed)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in found]
+    days = [n.removeprefix("event_day=") for n in names if n.startswith("event_day=")]
+    return sorted((d for d in days if not d.startswith("__HIVE")), reverse=True)
+
+
 def latest_events(spark: SparkSession, landed: str, n: int, *order: str) -> DataFrame:
     """The ``n`` latest events of a landing laid out by event_day, newest first, ties by ``order``.
 
-    Rows are counted per day first, which reads no column but the partition's; only the newest days that
-    hold ``n`` events between them are then read and sorted.
+    Days are known from the names of their folders. The newest one is counted, then the two newest, four and so on
+    until they hold ``n`` events; only these are then read and sorted, so no file of an older day is opened.
     """
-    rows = spark.read.parquet(landed)
-    newer = Window.orderBy(F.desc("event_day")).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per day
-    days = rows.groupBy("event_day").agg(F.count(F.lit(1)).alias("n")).where(F.col("event_day").isNotNull())
-    needed = days.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0))).where(F.col("newer") < n)
-    first = needed.agg(F.min("event_day")).first()[0]
-    picked = rows.where(F.col("event_day") >= F.lit(first)) if first is not None else rows.limit(0)
-    return picked.orderBy(F.desc("event_time"), *order).limit(n)
+    rows, days, taken = spark.read.parquet(landed), _days(spark, landed), 1
+    if not days:
+        return rows.limit(0)
+    while True:
+        picked = rows.where(F.col("event_day") >= F.lit(days[min(taken, len(days)) - 1]).cast("date"))
+        if taken >= len(days) or picked.count() >= n:
+            return picked.orderBy(F.desc("event_time"), *order).limit(n)
+        taken *= 2
 
 
 def landing_check(landed: DataFrame) -> DataFrame:
