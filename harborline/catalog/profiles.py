@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline import domain
-from harborline.catalog.insurance import claims, confirmed_invoices, invoices, policies, ranked
+from harborline.catalog.insurance import claims, confirmed_invoices, invoices, policies
 from harborline.catalog.registry import query
 from harborline.catalog.sqltext import dbl, div, dt, sql
 from harborline.operators import profile, quality

@@ -247,3 +247,17 @@ def g10(spark, sf):
     vectors = domain.table(spark, sf, "embeddings")
     found = retrieval.top_k(vectors, vectors.where(F.col("vec_id") < 5), 5)
     return found.select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@query("g10_inverted_file", """
+SELECT count(*) FILTER (vec_id % 20 = 0) AS queries, true AS reached, count(*) AS indexed FROM embeddings""")
+def g10_index(spark, sf):
+    # every twentieth vector is looked up among all, and the answers are held against the exact ones
+    vectors, path = domain.table(spark, sf, "embeddings"), scratch(spark, "g10-index")
+    asked = vectors.where(F.col("vec_id") % 20 == 0)
+    retrieval.build_index(vectors, path)
+    found = retrieval.search_index(spark, path, asked, 10, probes=96)
+    told = retrieval.recall(found, retrieval.top_k(vectors, asked, 10, query_rows=4096))
+    held = spark.read.parquet(f"{path}/lists").agg(F.sum(F.size("v_rows")).cast("bigint").alias("indexed"))
+    one = F.lit(1).alias("k")
+    return told.select("queries", (F.col("recall") >= 0.9).alias("reached"), one).join(held.select("indexed", one), "k").drop("k")

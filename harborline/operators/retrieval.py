@@ -1,4 +1,4 @@
-"""Document chunks and nearest vectors."""
+"""Document chunks, nearest vectors, and an inverted-file index for them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -61,11 +63,110 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int = 1024
 
     Vectors and queries are put into blocks. A block of vectors is sent to each block of queries and leaves its
     k best per query, so the vectors are read once for scoring and only the number of blocks is on the driver.
+    NULL vectors, zero vectors and vectors with NULL or NaN in them have no neighbours and are nobody's neighbour.
     """
+    vectors, queries = (df.where(F.col("embedding").isNotNull()) for df in (vectors, queries))
     asked, n = _blocks(queries, query_rows, "q")
     held, _ = _blocks(vectors, block_rows, "v")
     sent = held.select("v_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("q"))
     met = sent.join(asked, "q").select("q_rows", "v_rows")
     found = met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double")
+    return _ranked(found, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+#: The list of vectors without a direction (NULL, zero, NaN): kept in the index, never probed.
+NOWHERE = -1
+
+
+def _direction(vector: Column) -> Column:
+    """A vector of length one; NULL for a NULL or zero vector, and for one with NULL or NaN in it."""
+    wide = vector.cast("array<double>")
+    length = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
+    return F.when((length > 0) & ~F.isnan(length), F.transform(wide, lambda x: x / length))
+
+
+def fit_centroids(vectors: DataFrame, lists: int, sample_rows: int = 100_000, seed: int = 7) -> np.ndarray:
+    """At most ``lists`` centroids of directions, fitted on about ``sample_rows`` vectors at most, chosen by a hash of their id.
+
+    The result, ``lists`` times the dimension, is what the driver holds and tasks get; ``lists`` bounds it.
+    """
+    real = vectors.select("vec_id", _direction(F.col("embedding")).alias("d")).where(F.col("d").isNotNull())
+    n = real.count()
+    if n > sample_rows:
+        real = real.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)) < sample_rows)
+    if n == 0:
+        return np.zeros((0, 0))
+    points = real.select(array_to_vector("d").alias("features"))
+    model = KMeans(k=max(2, min(lists, n)), seed=seed, maxIter=10, initMode="random").fit(points)
+    return np.array(model.clusterCenters())
+
+
+def _nearest_lists(centroids: np.ndarray, n: int):
+    """A column function: the ``n`` lists whose centroids are nearest to a direction, nearest first."""
+    half = (centroids**2).sum(axis=1) / 2
+
+    @F.pandas_udf("array<int>")
+    def nearest(directions: pd.Series) -> pd.Series:
+        found: list[list[int] | None] = [None] * len(directions)
+        real = np.flatnonzero(directions.notna().to_numpy()) if len(centroids) else []
+        if len(real):
+            scores = np.stack([directions.iloc[i] for i in real]) @ centroids.T - half
+            for i, row in zip(real, np.argsort(-scores, axis=1, kind="stable")[:, :n].tolist(), strict=True):
+                found[i] = row
+        return pd.Series(found, dtype=object)
+
+    return nearest
+
+
+def build_index(
+    vectors: DataFrame, path: str, lists: int = 256, sample_rows: int = 100_000, block_rows: int = 1024,
+) -> None:
+    """Write an inverted file of ``vectors`` (vec_id, embedding) to ``path``: every row in the list of its nearest centroid.
+
+    Lists are folders; inside, vectors are packed into blocks of about ``block_rows``, so a search reads only the lists it
+    probes and shuffles no vector. A list of any size is many blocks, dealt by a hash of the id. Vectors without a
+    direction are kept in a list that is never probed. Centroids lie beside the lists.
+    """
+    spark = vectors.sparkSession
+    centroids = fit_centroids(vectors, lists, sample_rows)
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
+    spark.createDataFrame(rows, "list int, centroid array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    nearest = F.get(_nearest_lists(centroids, 1)(_direction(F.col("embedding"))), F.lit(0))
+    placed = vectors.select("vec_id", "embedding", F.coalesce(nearest, F.lit(NOWHERE)).alias("list"))
+    blocks = max(1, -(-vectors.count() // (block_rows * max(1, len(centroids)))))
+    dealt = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    packed = dealt.groupBy("list", "block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("v_rows"))
+    packed.hint("rebalance", F.col("list")).write.mode("overwrite").partitionBy("list").parquet(f"{path}/lists")
+
+
+def search_index(
+    spark: SparkSession, path: str, queries: DataFrame, k: int, probes: int = 32, query_rows: int = 256,
+) -> DataFrame:
+    """The k nearest vectors per query (query_id, vec_id, similarity, rank) among the ``probes`` lists nearest to it.
+
+    Similarities are exact; a neighbour in a list that was not probed is missed, so recall grows with ``probes`` and is
+    whole when every list is probed. Queries meet lists in blocks; queries without a direction find nothing. The columns of
+    ``queries`` have the types that the indexed vectors had.
+    """
+    saved = sorted(spark.read.parquet(f"{path}/centroids").collect(), key=lambda r: r["list"])  # bounded by build_index
+    centroids = np.array([r["centroid"] for r in saved]) if saved else np.zeros((0, 0))
+    real = queries.where(F.col("embedding").isNotNull())
+    sent = real.select("vec_id", "embedding", F.explode(_nearest_lists(centroids, probes)(_direction(F.col("embedding")))).alias("list"))
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-queries.count() // query_rows)))).alias("q")
+    asked = sent.groupBy("list", part).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q_rows"))
+    vector = "struct<vec_id:{0},embedding:{1}>".format(*[queries.schema[c].dataType.simpleString() for c in ("vec_id", "embedding")])
+    held = spark.read.schema(f"v_rows array<{vector}>, list int").parquet(f"{path}/lists")  # an empty index has no files
+    met = held.join(asked, "list").select("q_rows", "v_rows")
+    return _ranked(met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double"), k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: the queries that have neighbours, and the share of the exact neighbours that were found."""
+    hits = exact.select("query_id", "vec_id").join(
+        found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    return hits.agg(F.count_distinct("query_id").alias("queries"), (F.count("hit") / F.count(F.lit(1))).alias("recall"))

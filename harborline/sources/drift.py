@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, NullType, StructField, StructType
 
@@ -20,7 +18,6 @@ from harborline.sources.files import month_files, months_between
 
 _WHOLE = (IntegerType, LongType)
 _REAL = (FloatType, DoubleType)
-FOOTER_READERS = 16
 
 
 class SchemaConflict(Exception):
@@ -68,25 +65,57 @@ def leaf_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [unquote(f) for f in listed.inputFiles()]
 
 
-def _merged(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
-    """One scan in the merged schema where the schemas only differ in which columns there are, else one per schema.
+def _bare(path: str) -> str:
+    return path.split(":", 1)[-1].strip("/")
 
-    Spark merges schemas in one pass but refuses a column of several types; then each file is asked for its own.
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path with the store that a name without one stands for, as files are listed."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(there).toString()
+
+
+def _root(file: str, roots: dict[str, str]) -> str | None:
+    """The listed path that a file is or lies in, the innermost of several."""
+    at = _bare(file)
+    while at and at not in roots:
+        at = at.rpartition("/")[0]
+    return roots.get(at)
+
+
+def _merged(reader: DataFrameReader, files: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Files that go together, and their common schema.
+
+    Spark merges the schemas of many files in one job, in tasks, but refuses a column of several types. Then
+    either half of the files is merged by itself, and so on. Types change from one load to the next, so files sorted
+    by name are long runs of one type, and a run costs a few jobs, not a job per file.
     """
-    reader = spark.read.option("basePath", base) if base else spark.read
     try:
-        return [reader.option("mergeSchema", True).parquet(*files)]
+        return [(reader.option("mergeSchema", True).parquet(*files).schema, files)]
     except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE" not in str(error):
+        if "CANNOT_MERGE" not in str(error) or len(files) == 1:
             raise
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        found = list(pool.map(lambda file: reader.option("mergeSchema", False).parquet(file).schema, files))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for file, schema in zip(files, found, strict=True):
-        groups[schema.json()].append(file)
-    return [
-        reader.schema(StructType.fromJson(json.loads(schema))).parquet(*own) for schema, own in groups.items()
-    ]
+    middle = len(files) // 2
+    return _merged(reader, files[:middle]) + _merged(reader, files[middle:])
+
+
+def _scans(spark: SparkSession, files: list[str], base: str | None) -> list[DataFrame]:
+    """One scan per distinct schema; runs whose columns do not contradict each other share one."""
+    reader = spark.read.option("basePath", base) if base else spark.read
+    groups: list[tuple[dict[str, DataType], StructType, list[str]]] = []
+    for schema, own in _merged(reader, files):
+        kinds = {f.name.lower(): f.dataType for f in schema.fields}
+        for known, whole, several in groups:
+            if all(known.get(name, kind) == kind for name, kind in kinds.items()):
+                for f in schema.fields:
+                    if f.name.lower() not in known:
+                        whole.add(f)
+                known.update(kinds)
+                several += own
+                break
+        else:
+            groups.append((kinds, StructType(list(schema.fields)), list(own)))
+    return [(spark.read.option("basePath", base) if base else spark.read).schema(schema).parquet(*own) for _, schema, own in groups]
 
 
 def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -96,15 +125,15 @@ def read_drifting(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     distinct schema at most, however many files.
     """
     groups: dict[str | None, list[str]] = defaultdict(list)
-    bare = {p: p.split(":", 1)[-1].strip("/") for p in paths}
-    by_length = sorted(paths, key=lambda p: -len(bare[p]))
-    root_of = {f: next((p for p in by_length if bare[p] in f), paths[0]) for f in leaf_files(spark, paths)}
-    for file in sorted(root_of, key=lambda f: (paths.index(root_of[f]), f)):
+    order = {p: i for i, p in enumerate(dict.fromkeys(paths))}
+    roots = {_bare(_qualified(spark, p)): p for p in order}
+    root_of = {f: _root(f, roots) or paths[0] for f in leaf_files(spark, list(order))}
+    for file in sorted(root_of, key=lambda f: (order[root_of[f]], f)):
         # a folder whose files lie in folders of their own has partition columns, which hang on its path
         root = root_of[file]
-        below = file.partition(f"{bare[root]}/")[2].rpartition("/")[0]
+        below = file.partition(f"{_bare(root)}/")[2].rpartition("/")[0]
         groups[root if "=" in below else None].append(file)
-    scans = [scan for base, files in groups.items() for scan in _merged(spark, files, base)]
+    scans = [scan for base, files in groups.items() for scan in _scans(spark, files, base)]
     target = widened(scan.schema for scan in scans)
     return reduce(lambda a, b: a.unionByName(b), [conform(scan, target) for scan in scans])
 

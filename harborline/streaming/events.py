@@ -228,9 +228,11 @@ def latest_events(spark: SparkSession, landed: str, n: int, *order: str) -> Data
     Days are known from the names of their folders. The newest one is counted, then the two newest, four and so on
     until they hold ``n`` events; only these are then read and sorted, so no file of an older day is opened.
     """
-    rows, days, taken = spark.read.parquet(landed), _days(spark, landed), 1
+    days, taken = _days(spark, landed), 1
     if not days:
-        return rows.limit(0)
+        return spark.read.parquet(landed).limit(0)
+    newest = spark.read.option("basePath", landed).parquet(f"{landed.rstrip('/')}/event_day={days[0]}")
+    rows = spark.read.schema(newest.schema).parquet(landed)
     while True:
         picked = rows.where(F.col("event_day") >= F.lit(days[min(taken, len(days)) - 1]).cast("date"))
         if taken >= len(days) or picked.count() >= n:
