@@ -61,15 +61,15 @@ def _best(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int = 1024, query_rows: int = 256) -> DataFrame:
     """The k vectors of largest cosine similarity per query vector, ties by the smaller id.
 
-    Vectors and queries are put into blocks. A block of vectors is sent to each block of queries and leaves its
-    k best per query, so the vectors are read once for scoring and only the number of blocks is on the driver.
+    Vectors and queries are put into blocks. Each block of queries is sent to every block of vectors, which stays where
+    it was made, and leaves its k best per query: vectors are shuffled once, however many queries there are.
     NULL vectors, zero vectors and vectors with NULL or NaN in them have no neighbours and are nobody's neighbour.
     """
     vectors, queries = (df.where(F.col("embedding").isNotNull()) for df in (vectors, queries))
-    asked, n = _blocks(queries, query_rows, "q")
-    held, _ = _blocks(vectors, block_rows, "v")
-    sent = held.select("v_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("q"))
-    met = sent.join(asked, "q").select("q_rows", "v_rows")
+    held, n = _blocks(vectors, block_rows, "v")
+    asked, _ = _blocks(queries, query_rows, "q")
+    sent = asked.select("q_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("v"))
+    met = held.join(sent, "v").select("q_rows", "v_rows")
     found = met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double")
     return _ranked(found, k)
 
