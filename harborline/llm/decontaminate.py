@@ -236,14 +236,21 @@ def leaks(
     Empty tables give an empty table.
     """
     out = None
-    for block in blocks(benchmark.where(F.col(f"`{passage}`").isNotNull()), item, passage):
-        items = sorted((int(r[0]), r[1]) for r in block.select(F.col(f"`{item}`"), F.col(f"`{passage}`")).dropna().collect())
-        find = _finder(docs.sparkSession.sparkContext.broadcast(items), q, share)
+    for find in finders(docs, benchmark, item, passage, q, share):
         found = docs.select(F.col(f"`{doc}`").alias(doc), F.inline(find(text_of(docs, text))))
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def finders(docs: DataFrame, benchmark: DataFrame, item: str, passage: str, q: int, share: float) -> list:
+    """A column function for each block of the benchmark: the items of the block that a text holds."""
+    out = []
+    for block in blocks(benchmark.where(F.col(f"`{passage}`").isNotNull()), item, passage):
+        items = sorted((int(r[0]), r[1]) for r in block.select(F.col(f"`{item}`"), F.col(f"`{passage}`")).dropna().collect())
+        out.append(_finder(docs.sparkSession.sparkContext.broadcast(items), q, share))
+    return out
+
+
 def _finder(items, q: int, share: float):
     @F.arrow_udf(f"array<struct<{FOUND}>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -256,7 +263,15 @@ def _finder(items, q: int, share: float):
     return find
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark item; rows are told apart by ``doc`` (NULL is one value)."""
-    bad = leaks(docs, benchmark, text, doc, **options).select(F.col(doc).alias("__bad")).distinct()
-    return docs.join(bad, docs[f"`{doc}`"].eqNullSafe(bad["__bad"]), "left_anti")
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", passage: str = "text", q: int = 5,
+    share: float = 0.125,
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item (see ``leaks``), with their columns.
+
+    A row is judged by its own text, so ids may be NULL or repeated, and nothing is shuffled. NULL and empty texts hold
+    nothing and stay. An empty table gives an empty table; an empty benchmark leaves everything.
+    """
+    for find in finders(docs, benchmark, item, passage, q, share):
+        docs = docs.where(F.size(find(text_of(docs, text))) == 0)
+    return docs

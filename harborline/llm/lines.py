@@ -41,9 +41,11 @@ def line_keys(min_chars: int):
     return keys
 
 
-def _rebuilt():
+def rebuilt():
+    """A column function: a text without the lines at the given places, and how many there were and went."""
+
     @F.arrow_udf(KEPT)
-    def rebuilt(texts: pa.Array, dropped: pa.Array) -> pa.Array:
+    def without_lines(texts: pa.Array, dropped: pa.Array) -> pa.Array:
         kept, n_lines, n_dropped = [], [], []
         for text, groups in zip(texts, dropped.to_pylist(), strict=True):
             text = text.as_py()
@@ -57,7 +59,7 @@ def _rebuilt():
             names=["text", "n_lines", "n_dropped"],
         )
 
-    return rebuilt
+    return without_lines
 
 
 def dedup_lines(
@@ -94,7 +96,7 @@ def dedup_lines(
         losses.hint("shuffle_hash"),
         keyed[f"`{doc}`"].eqNullSafe(losses["__doc"]) & (keyed["__own"] == losses["__fp"]), "left",
     )
-    kept = met.withColumn("__kept", _rebuilt()(F.col("__text"), F.col("__gone")))
+    kept = met.withColumn("__kept", rebuilt()(F.col("__text"), F.col("__gone")))
     columns: list[Column] = [
         F.col("__kept.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
     ]

@@ -84,9 +84,7 @@ base AS MATERIALIZED (
   FROM words LEFT JOIN dups ON words.doc_id = dups.doc_id LEFT JOIN repeats ON words.doc_id = repeats.doc_id),
 spread AS (
   SELECT coalesce(source, '') AS host, key, count(DISTINCT body) AS n FROM lines WHERE key <> '' GROUP BY ALL),
-hosts AS (SELECT coalesce(source, '') AS host, count(DISTINCT body) AS texts FROM lines WHERE key <> '' GROUP BY ALL),
-over_limit AS MATERIALIZED (
-  SELECT spread.host, key FROM spread JOIN hosts ON spread.host = hosts.host WHERE n >= 10 AND n > 0.05 * texts),
+over_limit AS MATERIALIZED (SELECT host, key FROM spread WHERE n >= 10),
 lost AS (
   SELECT doc_id, sum(len(list_filter(regexp_split_to_array(lines.key, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS gone
   FROM lines JOIN over_limit ON coalesce(lines.source, '') = over_limit.host AND lines.key = over_limit.key GROUP BY doc_id),
@@ -103,7 +101,7 @@ FROM rated
 
 @query("op9_quality_rules", OP9)
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.judge(table(spark, sf, "documents"), min_share=0.05).select("doc_id", *rules.VERDICT)  # the share of OP9
+    return rules.judge(table(spark, sf, "documents")).select("doc_id", *rules.VERDICT)
 
 
 @query("op10_simhash_near_dedup")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import BLANK, fingerprint, halves, lists, stored, text_of, without
-from harborline.llm.lines import line_key
+from harborline.llm.lines import line_key, line_keys, rebuilt
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -83,24 +83,37 @@ def line_words():
     return lines
 
 
-def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float | None) -> DataFrame:
-    """(``__doc``, ``__fp``, ``__host``, ``n_boilerplate_words``, ``__all``) of the documents that hold a line over the limits of their host."""
+def _host_lines(docs: DataFrame, text: str, doc: str, host: str) -> DataFrame:
     whole = text_of(docs, text)
-    lines = stored(
+    return stored(
         docs.select(
             F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("fp"),
             F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"), F.inline(line_words()(whole)),
         ),
         "host-lines",
     )
+
+
+def _over(lines: DataFrame, min_docs: int, min_share: float | None) -> DataFrame:
     spread = lines.select("host", "a", "b", "fp").distinct().groupBy("host", "a", "b").agg(F.count("*").alias("n"))
     over = spread.where(F.col("n") >= min_docs)
     if min_share is not None:
         hosts = lines.select("host", "fp").distinct().groupBy("host").agg(F.count("*").alias("texts"))
         over = over.join(hosts, "host").where(F.col("n") > F.lit(min_share) * F.col("texts"))
-    over = over.select("host", "a", "b")
+    return over.select("host", "a", "b")
+
+
+def over_limit(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float | None) -> DataFrame:
+    """(``host``, ``a``, ``b``): the lines, by their hash, that are boilerplate of a host."""
+    return _over(_host_lines(docs, text, doc, host), min_docs, min_share)
+
+
+def boilerplate(docs: DataFrame, text: str, doc: str, host: str, min_docs: int, min_share: float | None) -> DataFrame:
+    """(``__doc``, ``__fp``, ``__host``, ``n_boilerplate_words``, ``__all``) of the documents that hold a line over the limits of their host."""
+    lines = _host_lines(docs, text, doc, host)
     return (
-        lines.join(over, ["host", "a", "b"], "left_semi").dropDuplicates(["doc", "fp", "host", "a", "b"])
+        lines.join(_over(lines, min_docs, min_share), ["host", "a", "b"], "left_semi")
+        .dropDuplicates(["doc", "fp", "host", "a", "b"])
         .groupBy(F.col("doc").alias("__doc"), F.col("fp").alias("__fp"), F.col("host").alias("__host"))
         .agg(F.sum("words").alias("n_boilerplate_words"), F.max("n_all").alias("__all"))
     )
@@ -175,3 +188,30 @@ def keep_good(
         "left_anti",
     )
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_boilerplate(
+    docs: DataFrame, text: str = "text", doc: str = "doc_id", host: str = "source", min_docs: int = 10,
+    min_share: float | None = None,
+) -> DataFrame:
+    """``docs`` with ``text`` rebuilt without the lines over the limit of their host (see ``judge``); other lines keep their order.
+
+    A text that is boilerplate throughout becomes the empty text. Nothing is rejected here: ``keep_good`` before or after
+    does that. NULL text becomes the empty text, a NULL host is the host ''. Rows with equal ``doc``, text and host are
+    treated alike, each row once. Other columns stay. An empty table gives an empty table.
+    """
+    whole = text_of(docs, text)
+    at = F.coalesce(F.col(f"`{host}`").cast("string"), F.lit(""))
+    places = docs.select(
+        F.col(f"`{doc}`").alias("__doc"), fingerprint(whole).alias("__fp"), at.alias("__host"), F.inline(line_keys(1)(whole)))
+    over = over_limit(docs, text, doc, host, min_docs, min_share)
+    gone = (
+        places.join(over.withColumnRenamed("host", "__host"), ["__host", "a", "b"], "left_semi")
+        .groupBy("__doc", "__fp", "__host").agg(F.collect_set("at").alias("__gone"))
+    )
+    keyed = docs.withColumns({"__text": whole, "__own": fingerprint(whole), "__at": at})
+    met = keyed.join(
+        gone, keyed[f"`{doc}`"].eqNullSafe(gone["__doc"]) & (keyed["__own"] == gone["__fp"]) & (keyed["__at"] == gone["__host"]),
+        "left",
+    ).withColumn("__kept", rebuilt()(F.col("__text"), F.col("__gone")))
+    return met.select(*[F.col("__kept.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

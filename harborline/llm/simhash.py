@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import stored, text_of, without
+from harborline.llm.common import fingerprint, stored, text_of, without
 from harborline.llm.components import roots
 
 BITS, SEED = 64, 42
@@ -187,6 +187,27 @@ def near_links(prints: DataFrame, radius: int, piece: int = 4096) -> DataFrame:
     return dealt.mapInArrow(shard_links(radius), "a bigint, b bigint")
 
 
+def _classes(docs: DataFrame, text: str, doc: str, shingle: int, radius: int, rows: bool) -> tuple[DataFrame, DataFrame]:
+    """(rows with their fingerprint ``__fp``; ``__of``, ``component_id`` and, with ``rows``, the ``first`` row of the component).
+
+    With ``rows`` a row is (no id, id, 128-bit text hash), and the first one has the least id.
+    """
+    whole = text_of(docs, text)
+    own = F.struct(F.col(f"`{doc}`").isNull().alias("none"), F.col(f"`{doc}`").alias("doc"), fingerprint(whole).alias("text"))
+    prints = stored(docs.select(
+        F.col(f"`{doc}`").alias(doc), *([own.alias("__row")] if rows else []), fingerprints(shingle)(whole).alias("__fp")), "simhash")
+    firsts = [F.min("__row").alias("first")] if rows else []
+    nodes = stored(prints.groupBy(F.col("__fp").alias("fp")).agg(F.min(doc).alias("least"), *firsts), "simhash-nodes")
+    root = roots(near_links(nodes.select("fp"), radius), "simhash-links")
+    classes = nodes.join(root, nodes["fp"] == root["node"], "left").select(
+        "fp", "least", *(["first"] if rows else []), F.coalesce("root", "fp").alias("root"))
+    firsts = [F.min("first").alias("first")] if rows else []
+    every = classes.groupBy("root").agg(F.min("least").alias("component_id"), *firsts)
+    known = classes.drop("least", "first").join(every, "root").select(
+        F.col("fp").alias("__of"), "component_id", *(["first"] if rows else []))
+    return prints, known
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc: str = "doc_id", shingle: int = 4, radius: int = 4,
 ) -> DataFrame:
@@ -201,24 +222,21 @@ def near_duplicates(
     NULL ``doc`` is ignored by the minimum; a component of nothing else has NULL. Repeated rows are returned as often
     as they occur. Other columns are not looked at. An empty table gives an empty table.
     """
-    prints = stored(
-        docs.select(F.col(f"`{doc}`").alias(doc), fingerprints(shingle)(text_of(docs, text)).alias("__fp")), "simhash")
-    nodes = prints.groupBy(F.col("__fp").alias("fp")).agg(F.min(doc).alias("least"))
-    nodes = stored(nodes, "simhash-nodes")
-    root = roots(near_links(nodes.select("fp"), radius), "simhash-links")
-    classes = nodes.join(root, nodes["fp"] == root["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    whole = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = classes.join(whole, "root").select(F.col("fp").alias("__of"), "component_id")
+    prints, known = _classes(docs, text, doc, shingle, radius, rows=False)
     return prints.join(known, prints["__fp"] == known["__of"]).select(
         doc, F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc: str = "doc_id", shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` without near copies: of each component the row with its ``component_id`` stays.
+    """``docs`` without near copies: of each component (see ``near_duplicates``) one row stays, the one of the least ``doc``.
 
-    Rows that repeat a ``doc`` are copies too, one of them stays (NULL is one value).
+    Rows are told apart by ``doc`` and text: different texts under one id, or without an id, are in components of their
+    own unless they are near copies. An id counts before none, ties go to the lesser hash of the text, and of rows equal
+    in both one stays. Other columns stay with their row. An empty table gives an empty table.
     """
-    found = near_duplicates(docs, text, doc, shingle, radius)
-    stay = found.select(F.col("component_id").alias("__stay")).distinct()
-    return docs.join(stay, docs[f"`{doc}`"].eqNullSafe(stay["__stay"]), "left_semi").dropDuplicates([doc])
+    _, known = _classes(docs, text, doc, shingle, radius, rows=True)
+    stay = known.select("first.doc", "first.text").distinct().select(F.col("doc").alias("__stay"), F.col("text").alias("__print"))
+    keyed = docs.withColumn("__own", fingerprint(text_of(docs, text)))
+    kept = keyed.join(
+        stay, keyed[f"`{doc}`"].eqNullSafe(stay["__stay"]) & (keyed["__own"] == stay["__print"]), "left_semi")
+    return kept.dropDuplicates([doc, "__own"]).drop("__own")

@@ -128,3 +128,29 @@ def test_boilerplate_of_a_large_host_counts_as_on_a_small_one(spark):
     assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()} == want
     by_share = {r.doc_id for r in rules.judge(docs, min_share=0.05).collect() if r.kept}
     assert by_share == want | {1000 + i for i in range(12)}
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    words = lambda k: " ".join(f"{k}word{i}" for i in range(80))
+    rows = [(None, words("a")), (None, words("b")), (7, words("c")), (7, words("d")), (7, words("d")), (9, words("a")), (None, words("a"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("more", F.lit(1))
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(9, words("a")), (None, words("b")), (7, words("c")), (7, words("d"))], key=str)
+    items = spark.createDataFrame([(1, words("b")), (2, words("c"))], "item_id int, text string")
+    clean = [(r.doc_id, r.text) for r in decontaminate.clean_documents(docs, items).collect()]
+    assert sorted(clean, key=str) == sorted([r for r in rows if r[1] not in (words("b"), words("c"))], key=str)
+    assert decontaminate.clean_documents(docs, items.where("false")).count() == len(rows)
+
+
+def test_boilerplate_leaves_the_texts(spark):
+    own = lambda i: f"own text {i} of some length\nand a line that is shared by few\n\nend {i}"
+    rows = [(i, f"  Menu\n{own(i)}\nFOOTER line", "h") for i in range(12)]
+    rows += [(100, "menu\nfooter LINE", "h"), (101, f"menu\n{own(1)}", "other"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string").withColumn("gone", F.lit(1))
+    got = {r.doc_id: r for r in rules.without_boilerplate(docs).collect()}
+    assert all(got[i].text == own(i).replace("and a line that is shared by few\n", "") for i in range(12))
+    assert got[100].text == "" and got[101].text == f"menu\n{own(1)}" and got[None].text == "" and got[100].gone == 1
+    assert rules.without_boilerplate(docs.where("false")).count() == 0
+    counted = {r.doc_id: r.n_boilerplate_words for r in rules.judge(docs).collect()}
+    lost = lambda r: len((r[1] or "").split()) - len(got[r[0]].text.split())
+    assert all(counted[r[0]] == lost(r) for r in rows)
