@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.llm.common import stored, text_of, without
+from harborline.llm.common import lists, stored, text_of, without
 
 #: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten.
 WORDS, PARTS = 120_000, 120_000
@@ -36,15 +37,28 @@ def word_encoder(path: str):
     if path in kept:
         return kept[path]
     whole = tokenizers.Tokenizer.from_file(path)
-    model, parts = whole.model, regex.compile(WORD_PARTS)
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    odd = regex.compile("[\x1c-\x1f]|" + "|".join(map(regex.escape, special)))
+    tokenize, parts = whole.model.tokenize, regex.compile(WORD_PARTS)
+    # in a text with one of these the words may not be what the vocabulary cuts
+    odd = [*"\x1c\x1d\x1e\x1f", *(t.content for t in whole.get_added_tokens_decoder().values())]
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    def packed(ids) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+    def packed(text: str) -> bytes:
+        return array("I", whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def part_ids(part: str) -> bytes:
+        return array("I", [t.id for t in tokenize("".join([letters[b] for b in part.encode()]))]).tobytes()
+
+    def word_ids(word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():  # stands for itself
+                return array("I", [t.id for t in tokenize(word.lower())]).tobytes()
+        elif max(word) >= "ɐ" or "İ" in word:
+            return packed(word)
+        elif word.isalpha():
+            return part_ids(word.lower())
+        return b"".join([of_part[p] for p in parts.findall(word.lower())])
 
     class Remembered(dict):
         """Values by key; what is not asked for again while as many others are goes."""
@@ -54,30 +68,22 @@ def word_encoder(path: str):
             self.make, self.most, self.before = make, most, {}
 
         def __missing__(self, key: str) -> bytes:
+            value = self.before.get(key)
+            if value is None:
+                value = self.make(key)
+            self[key] = value
             if len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
-            self[key] = value = self.before.get(key) or self.make(key)
             return value
 
-    def part_ids(part: str) -> bytes:
-        return packed([t.id for t in model.tokenize("".join([letters[b] for b in part.encode()]))])
-
-    of_part = Remembered(part_ids, PARTS)
-
-    def word_ids(word: str) -> bytes:
-        if not word.isascii() and (max(word) >= "ɐ" or "İ" in word):
-            return packed(whole.encode(word, add_special_tokens=False).ids)
-        if word.isalpha():
-            return of_part[word.lower()]
-        return b"".join([of_part[p] for p in parts.findall(word.lower())])
-
-    of_word = Remembered(word_ids, WORDS)
+    of_part, of_word = Remembered(part_ids, PARTS), Remembered(word_ids, WORDS)
 
     def encode(text: str) -> bytes:
-        if odd.search(text):
-            return packed(whole.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(of_word.__getitem__, text.split()))
+        for mark in odd:
+            if mark in text:
+                return packed(text)
+        return b"".join([of_word[w] for w in text.split()])
 
     kept[path] = encode
     return encode
@@ -94,15 +100,17 @@ def pieces(
 
     @F.arrow_udf(PIECE)
     def cut(texts: pa.Array) -> pa.Array:
-        encode, out = word_encoder(tokenizer), []
-        for t in texts.to_pylist():
-            ids = encode(t) + end
-            out.append([
-                {"piece": i, "start": at // 4, "length": min(4 * size, len(ids) - at) // 4, "ids": ids[at : at + 4 * size]}
-                for i, at in enumerate(range(0, len(ids), 4 * size))
-            ])
-        kind = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-        return pa.array(out, pa.list_(kind))
+        encode, offsets, number, start, parts = word_encoder(tokenizer), [0], [], [], []
+        for t in texts:
+            ids = encode(t.as_py()) + end
+            places = range(0, len(ids), 4 * size)
+            number += range(len(places))
+            start += places
+            parts += [ids[at : at + 4 * size] for at in places]
+            offsets.append(len(parts))
+        return lists(offsets, {
+            "piece": pa.array(number, pa.int32()), "start": pa.array(np.array(start, np.int64) // 4),
+            "length": pa.array(np.array([len(p) for p in parts], np.int64) // 4), "ids": pa.array(parts, pa.binary())})
 
     return docs.select(F.col(f"`{doc}`").alias(doc), F.inline(cut(text_of(docs, text))))
 
@@ -112,6 +120,7 @@ class Plan:
     """Patterns (lengths, largest first) and how many sequences follow each."""
 
     patterns: list[tuple[tuple[int, ...], int]] = field(default_factory=list)
+    from_columns: int = 0  # sequences that are columns of the program
 
     @property
     def sequences(self) -> int:
@@ -208,27 +217,59 @@ def fractional(counts: dict[int, int], size: int, rounds: int, rate: float, step
     return x
 
 
-def plan(
-    counts: dict[int, int], size: int = 2048, rounds: int = 100, rate: float = 4.0, step: float = 0.25, waste: int = 8,
-) -> Plan:
-    """Sequences for a histogram of lengths: the program's solution rounded down, best fit for what is left.
+def _rounded(solution: dict[tuple[int, ...], float], left: dict[int, int], size: int, share: float) -> list[tuple[tuple[int, ...], int]]:
+    """Whole sequences of the columns that fill one exactly, while their lengths last, taken out of ``left``.
 
-    Columns are taken in order of their value, whole sequences only, while their lengths last; columns that leave over
-    ``waste`` tokens free are not rounded. If best fit alone needs fewer sequences, its plan is used. The histogram has
-    at most ``size`` entries, whatever the corpus, so the plan is made on the driver.
+    Amounts are rounded down, then columns get one more sequence in order of their remainders, down to ``share`` (1: none).
     """
-    alone = best_fit(counts, size)
-    left, rounded = dict(counts), Plan()
-    solution = fractional(counts, size, rounds, rate, step) if counts else {}
-    for pattern, amount in sorted(solution.items(), key=lambda p: (-p[1], p[0])):
+    columns = [(p, x) for p, x in solution.items() if sum(p) == size]
+    wanted = [(p, int(x)) for p, x in sorted(columns, key=lambda c: (-c[1], c[0]))]
+    wanted += [(p, 1) for p, x in sorted(columns, key=lambda c: (-(c[1] % 1), c[0])) if x % 1 >= share]
+    out = []
+    for pattern, amount in wanted:
         use = Counter(pattern)
-        n = min(int(amount), *(left[k] // c for k, c in use.items()))
-        if n > 0 and size - sum(pattern) <= waste:
-            rounded.patterns.append((pattern, n))
+        n = min(amount, *(left[k] // c for k, c in use.items()))
+        if n > 0:
+            out.append((pattern, n))
             for k, c in use.items():
                 left[k] -= c * n
-    rounded.patterns += best_fit({k: n for k, n in left.items() if n}, size).patterns
-    return min(rounded, alone, key=lambda p: p.sequences)
+    return out
+
+
+def _finished(counts: dict[int, int], columns: list[tuple[tuple[int, ...], int]], size: int) -> Plan:
+    left = Counter(counts)
+    for pattern, n in columns:
+        left.subtract({k: c * n for k, c in Counter(pattern).items()})
+    return Plan(columns + best_fit({k: n for k, n in left.items() if n}, size).patterns, sum(n for _, n in columns))
+
+
+def plan(
+    counts: dict[int, int], size: int = 2048, rounds: int = 60, rate: float = 4.0, step: float = 0.25, passes: int = 3,
+) -> Plan:
+    """Sequences for a histogram of lengths: the program's solution rounded, solved again for what is left, best fit for the end.
+
+    Only columns that fill a sequence exactly are rounded; a column that leaves room is left to the following passes. Two
+    roundings (down; to the nearest by remainders) are followed for up to ``passes`` solutions each, and after each pass
+    best fit packs what all columns so far, or the first three, two or one quarter of them, leave: the plan with the
+    fewest sequences is taken, of several the one with the most from columns (``Plan.from_columns``). The histogram has
+    at most ``size`` entries, whatever the corpus, so the plan is made on the driver.
+    """
+    best = best_fit(counts, size) if not counts else None
+    for share in (0.25, 1.0):
+        left, taken = dict(counts), []
+        for _ in range(passes):
+            rest = {k: n for k, n in left.items() if n}
+            if not rest:
+                break
+            more = _rounded(fractional(rest, size, rounds, rate, step), left, size, share)
+            taken += more
+            for part in (4, 3, 2, 1):
+                found = _finished(counts, taken[: -(-len(taken) * part // 4)], size)
+                if best is None or (found.sequences, -found.from_columns) < (best.sequences, -best.from_columns):
+                    best = found
+            if not more:
+                break
+    return best
 
 
 def pack(cut: DataFrame, size: int = 2048, bucket_rows: int = 20_000) -> DataFrame:

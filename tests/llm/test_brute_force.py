@@ -281,6 +281,16 @@ def test_plans_hold_every_piece(seed):
             got[x] += n
     assert got == counts
     assert made.sequences <= packing.best_fit(dict(counts), 2048).sequences
+    assert made.from_columns > 0
+
+
+def test_much_of_a_large_plan_are_columns_of_the_program():
+    rng = np.random.default_rng(7)
+    lengths = np.minimum(2048, 1 + rng.lognormal(5.8, 1.1, 60_000).astype(int))  # short texts, and long ones cut
+    counts = Counter(lengths.tolist())
+    made = packing.plan(dict(counts))
+    assert made.from_columns > 0.4 * made.sequences
+    assert made.sequences <= 1.001 * -(-sum(k * n for k, n in counts.items()) // 2048)
 
 
 def edits_inside(item, text):
