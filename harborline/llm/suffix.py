@@ -16,6 +16,9 @@ from harborline.llm.common import stored, text_of, without
 GRAM, REACH = 8, 128
 #: Suffixes that one family holds before it is emptied into the shuffle.
 FAMILY = 1_000_000
+#: Documents, about, whose cores are counted to find hot ones: cores with over 1 in ``SHARE`` of all suffixes (fewer than
+#: ``SHARE`` of them), and ``LEAST`` in the sample.
+SAMPLE, SHARE, LEAST = 20_000, 1000, 64
 MARK, ASK, REFERENCE = 0, 1, 2
 RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
 
@@ -186,13 +189,13 @@ def _entries(doc_type: pa.DataType, length: int):
 NEED = "kind int, core bigint, doc {0}, uid bigint, at bigint, most int, least int"
 
 
-def _needs(doc_type: pa.DataType):
+def _needs(doc_type: pa.DataType, hot: np.ndarray):
     """Reads entries sorted by (core, whole); returns what is decided (MARK) and one row per ``whole`` (ASK, REFERENCE).
 
     Anchors with equal ``whole`` are repeated with all their strings. One that is alone, among others with its core,
-    may share some strings with them (ASK); one of each repeated kind is their reference. Whether a core has others is
-    counted afterwards, so the surroundings of one core are spread over tasks, and only one ``whole`` is held back: a
-    task has left one entry of it.
+    may share some strings with them (ASK); one of each repeated kind is their reference. A core that has one ``whole``
+    only leaves neither. All of a core come to one task but for the ``hot`` ones, whose rows all stay and are counted
+    afterwards. Only one ``whole`` is held back, of which each task before has left one entry.
     """
     schema = pa.schema([
         ("kind", pa.int32()), ("core", pa.int64()), ("doc", doc_type), ("uid", pa.int64()), ("at", pa.int64()),
@@ -202,7 +205,8 @@ def _needs(doc_type: pa.DataType):
         finished = np.asarray(table["core"].is_null())
         return finished, table["core"].fill_null(0).to_numpy(), table["whole"].fill_null(0).to_numpy()
 
-    def decided(table: pa.Table) -> pa.RecordBatch:
+    def decided(table: pa.Table, before: list[int], after: list[int]) -> pa.RecordBatch:
+        """``before`` and ``after``: the core of the entry on either side of the table, if there is one."""
         finished, core, whole = flat(table)
         live = np.flatnonzero(~finished)
         core, whole, hit = core[live], whole[live], table["hit"].to_numpy()[live]
@@ -211,8 +215,10 @@ def _needs(doc_type: pa.DataType):
             new = np.concatenate(([True], (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])))
             run = np.cumsum(new) - 1
             repeated = (np.bincount(run) > 1) | (np.bincount(run, weights=hit) > 0)
-            told, extra = live[repeated[run] & ~hit], live[new]
-            kinds = np.where(repeated, REFERENCE, ASK)
+            told = live[repeated[run] & ~hit]
+            beside = np.concatenate((before or [~core[0]], core[new], after or [~core[-1]]))
+            others = (beside[1:-1] == beside[:-2]) | (beside[1:-1] == beside[2:]) | np.isin(core[new], hot)
+            extra, kinds = live[new][others], np.where(repeated, REFERENCE, ASK)[others]
         done = np.flatnonzero(finished)
         rows = np.concatenate((told, extra, done))
         kinds = np.concatenate((np.full(len(told), MARK), kinds, np.full(len(done), MARK)))
@@ -224,6 +230,7 @@ def _needs(doc_type: pa.DataType):
 
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
+        before: list[int] = []
         rows = 0
         for batch in batches:
             rest.append(batch)
@@ -235,11 +242,13 @@ def _needs(doc_type: pa.DataType):
             last = ~finished & (core == core[-1]) & (whole == whole[-1]) if not finished[-1] else np.zeros(rows, bool)
             n = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if n:
-                yield decided(table.slice(0, n))
+                yield decided(table.slice(0, n), before, [core[-1]] if last.any() else [])
+                live = np.flatnonzero(~finished[:n])
+                before = [core[live[-1]]] if len(live) else before
                 rest = table.slice(n).to_batches()
                 rows = table.num_rows - n
         if rows:
-            yield decided(pa.Table.from_batches(rest))
+            yield decided(pa.Table.from_batches(rest), before, [])
 
     return needs
 
@@ -295,10 +304,22 @@ def _without_spans():
     return cut
 
 
-def _met(entries: DataFrame, arrow: pa.DataType, ddl: str) -> DataFrame:
-    """Entries of all tasks brought together by (core, whole), finished marks anywhere, and decided."""
-    spread = F.when(F.col("core").isNull(), F.xxhash64("uid", "at")).otherwise(F.xxhash64("core", "whole"))
-    return entries.repartition(spread).sortWithinPartitions("core", "whole").mapInArrow(_needs(arrow), NEED.format(ddl))
+def _hot_cores(rows: DataFrame, entries) -> list[int]:
+    """Cores that many suffixes have, from a sample of about ``SAMPLE`` documents; fewer than ``SHARE`` of them."""
+    every = max(1, rows.count() // SAMPLE)
+    sample = rows.where(F.pmod("uid", F.lit(every)) == 0)
+    counted = stored(entries(sample).where("core IS NOT NULL").groupBy("core").agg(F.count("*").alias("n")), "cores")
+    limit = max(LEAST, (counted.agg(F.sum("n")).first()[0] or 0) // SHARE)
+    return [r["core"] for r in counted.where(F.col("n") > limit).select("core").collect()]
+
+
+def _met(entries: DataFrame, arrow: pa.DataType, ddl: str, hot: list[int]) -> DataFrame:
+    """Entries of all tasks brought together by core, those of hot cores by (core, whole), finished marks anywhere, and decided."""
+    spread = F.when(F.col("core").isNull(), F.xxhash64("uid", "at"))
+    if hot:
+        spread = spread.when(F.col("core").isin(hot), F.xxhash64("core", "whole"))
+    dealt = entries.repartition(spread.otherwise(F.xxhash64("core"))).sortWithinPartitions("core", "whole")
+    return dealt.mapInArrow(_needs(arrow, np.array(hot, np.int64)), NEED.format(ddl))
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", length: int = 400) -> DataFrame:
@@ -311,7 +332,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     and ordered by the hash of the bytes behind the anchor instead of the bytes, which puts equal prefixes side by
     side as well. Each task keeps a logarithmic family of such arrays: new batches are merge-scanned against it, and
     what a task has met before leaves it as one finished row per stretch, so a third of all rows in copies is a few
-    entries per task. The entries meet by the hash of all their bytes, and cores are counted with partial sums; where
+    entries per task. The entries meet by core, and a core that is there once leaves nothing; cores that a sample shows
+    to be hot meet by the hash of all their bytes and are counted with partial sums. Where
     the surroundings of a core differ, the bytes around the anchors are fetched, all their strings go through a second
     family per task and meet by the hash of the string. So one core in many surroundings is spread over all tasks.
 
@@ -326,8 +348,12 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
     raw = docs.withColumn("__text", text_of(docs, text))
     raw = raw.withColumn("__uid", F.xxhash64(F.col(f"`{doc}`"), F.col("__text")))
     rows = raw.select(F.col(f"`{doc}`").alias("doc"), F.col("__uid").alias("uid"), F.col("__text").alias("text"))
-    entries = rows.where(F.octet_length("text") >= length).mapInArrow(_entries(arrow, length), ENTRY.format(ddl))
-    needs = stored(_met(entries, arrow, ddl), "suffixes")
+
+    def entries(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(_entries(arrow, length), ENTRY.format(ddl))
+
+    rows = rows.where(F.octet_length("text") >= length)
+    needs = stored(_met(entries(rows), arrow, ddl, _hot_cores(rows, entries)), "suffixes")
     first, end = (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("least") + length).alias("end")
     whole = needs.where(F.col("kind") == MARK).select("doc", "uid", first, end)
     single = needs.where(F.col("kind") != MARK)
@@ -345,7 +371,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", lengt
         F.substring("__raw", F.col("w.start").cast("int") + 1, (F.col("w.end") - F.col("w.start")).cast("int")).alias("bytes"),
     )
     strings = pieces.mapInArrow(_strings(arrow, length), ENTRY.format(ddl))
-    partly = _met(strings, arrow, ddl).where(F.col("kind") == MARK).select("doc", "uid", first, end)
+    partly = _met(strings, arrow, ddl, []).where(F.col("kind") == MARK).select("doc", "uid", first, end)
     spans = whole.unionByName(partly).groupBy("doc", "uid").agg(
         F.collect_set(F.struct("start", "end")).alias("__spans")).select(
         F.col("doc").alias("__d"), F.col("uid").alias("__u"), "__spans")
