@@ -170,7 +170,9 @@ MARK = ""
 def labelled_pages(n: int = 300, seed: int = 7) -> list[str]:
     """Pages made from a rule, for training; paragraphs of the article begin with ``MARK``.
 
-    They vary in whether and how the article and the page's other parts are marked up, and in how long texts are.
+    They vary in whether and how the article and the page's other parts are marked up, and in how long texts are: where
+    parts are marked up, those that are not the article are as long as its paragraphs often enough, and a menu may be one
+    word before a long paragraph, so length alone does not settle it.
     """
     rng = random.Random(seed)
 
@@ -187,6 +189,10 @@ def labelled_pages(n: int = 300, seed: int = 7) -> list[str]:
             out.append(f"<p>{mark}{words(low, 4) if short else words(12, high)}{link}</p>")
         return "".join(out)
 
+    def aside(low: int, high: int) -> str:
+        """Words of a marked part beside the article, in one case of three as many as a paragraph has."""
+        return words(30, 120) if rng.random() < 0.35 else words(low, high)
+
     def title(level: int) -> str:
         return f"<h{level}>{words(1, 5)}</h{level}>" if rng.random() < 0.5 else ""
 
@@ -204,21 +210,22 @@ def labelled_pages(n: int = 300, seed: int = 7) -> list[str]:
         ]) if named else (lambda x: f"<div>{x}</div>")
         body = paragraphs(MARK)
         if named and rng.random() < 0.4:
-            body += part("aside", "related", title(3) + links(3) + f"<p>{words(5, 40)}</p>")
+            body += part("aside", "related", title(3) + links(3) + f"<p>{aside(5, 40)}</p>")
         if named and rng.random() < 0.2:
-            body += '<div class="comments">' + "".join(f"<p>{words(3, 60)}</p>" for _ in range(3)) + "</div>"
+            body += '<div class="comments">' + "".join(f"<p>{words(3, 120)}</p>" for _ in range(3)) + "</div>"
         pieces = [
-            part("header", "site-header", title(1) + f"<p>{words(1, 8)}</p>"), part("nav", "menu", links(rng.randint(3, 9))),
-            f'<div class="ad">{words(4, 30)}</div>' if named else f"<div><a href='/ad'>{words(4, 20)}</a></div>", article(body),
+            part("header", "site-header", title(1) + f"<p>{aside(1, 8) if named else words(1, 8)}</p>"),
+            part("nav", "menu", links(rng.randint(1, 9))) if rng.random() < 0.9 or not named else part("nav", "menu", words(1, 3)),
+            f'<div class="ad">{aside(4, 30)}</div>' if named else f"<div><a href='/ad'>{words(4, 20)}</a></div>", article(body),
         ]
         if named and rng.random() < 0.6:
             pieces.append('<section class="comments">' + title(2) + "".join(
-                f"<p>{words(3, 60)}</p>" for _ in range(rng.randint(1, 5))) + "</section>")
+                f"<p>{words(3, 120)}</p>" for _ in range(rng.randint(1, 5))) + "</section>")
         if named and rng.random() < 0.4:
-            pieces.append(f'<form>{title(3)}<p>{words(2, 12)}</p></form><div class="cookie-notice"><p>{words(8, 40)}</p></div>')
+            pieces.append(f'<form>{title(3)}<p>{aside(2, 12)}</p></form><div class="cookie-notice"><p>{aside(8, 40)}</p></div>')
         if rng.random() < 0.5:
-            pieces.append(part("aside", "sidebar", title(3) + links(4) + (f"<p>{words(2, 25)}</p>" if named else "")))
-        pieces.append(part("footer", "footer", title(4) + links(3) + f"<p>{words(2, 10)}</p>"))
+            pieces.append(part("aside", "sidebar", title(3) + links(4) + (f"<p>{aside(2, 25)}</p>" if named else "")))
+        pieces.append(part("footer", "footer", title(4) + links(3) + f"<p>{aside(2, 10) if named else words(2, 10)}</p>"))
         pages.append("<html><body>" + "".join(pieces) + "</body></html>")
     return pages
 

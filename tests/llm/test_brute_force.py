@@ -348,6 +348,37 @@ def test_main_text_of_pages(spark):
         assert (got[page.page_id].text, got[page.page_id].n_chars) == (want, len(want))
 
 
+def test_html_drops_long_parts_and_one_word_menus(spark):
+    tree = html.train(html.labelled(spark))
+    words = lambda n, w="word": " ".join([w] * n)
+    pages = [
+        f"<article><p>{words(40)}</p></article><footer><p>{words(70, 'gone')}</p></footer>",
+        f"<main><h1>{words(3)}</h1><p>{words(40)}</p></main><div class='cookie-notice'><p>{words(70, 'gone')}</p></div>",
+        f"<nav><a href='/'>gone</a></nav><article><p>{words(70)}</p></article>",
+        f"<div class='menu'>gone</div><article><p>{words(70)}</p></article>",
+        f"<article><p>{words(70)}</p><aside>{words(80, 'gone')}</aside><p>{words(3)}</p></article>",
+        f"<article><p>{words(70)}</p></article><section class='comments'><p>{words(100, 'gone')}</p></section>",
+        f"<header><p>{words(60, 'gone')}</p></header><article><p>{words(2)}</p><p>{words(70)}</p></article>",
+    ]
+    for page in pages:
+        got = html.main_text(f"<html><body>{page}</body></html>", tree)
+        assert "gone" not in got and got.count("word") == page.count("word"), page
+
+
+def test_html_without_markup_is_told_by_words_and_links(spark):
+    """Pages of bare divisions: no element, class or role says what a block is for."""
+    tree = html.train(html.labelled(spark))
+    good = whole = 0
+    for page in html.labelled_pages(400, seed=98):
+        blocks = html.blocks(page)
+        flags = [html.FEATURES.index(f) for f in ("in_article", "in_page_part", "in_comments")]
+        if any(features[i] for _, features in blocks for i in flags):
+            continue
+        good += sum(html.is_main(tree, features) == (html.MARK in text) for text, features in blocks)
+        whole += len(blocks)
+    assert whole > 800 and good >= 0.95 * whole
+
+
 PAGE = """<html><body class="single has-sidebar"><header class="site"><h1>Site Name</h1><p>tag line</p></header><nav><a href=/>Home</a>
 </nav><div id="cookie-notice"><p>We use cookies to make this site better for everyone who comes here to read.</p></div>
 <div class="layout with-sidebar"><main><article class="post"><header class="entry-header"><h1>Title &amp; more</h1></header>
