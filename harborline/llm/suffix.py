@@ -254,11 +254,11 @@ def _needs(doc_type: pa.DataType, hot: np.ndarray):
 
 
 def _strings(doc_type: pa.DataType, length: int):
-    """Reads (doc, uid, first, bytes); returns the strings as entries, keyed by the hash of their ``length`` bytes.
+    """Reads (doc, uid, first, bytes); returns the strings as entries, keyed by a 128-bit hash of their ``length`` bytes.
 
     Every batch's strings enter the task's family; a string that the task has met before leaves it as a finished mark.
     """
-    digest = xxhash.xxh3_64_intdigest
+    digest = xxhash.xxh3_128_digest
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = Task(doc_type, length)
@@ -267,9 +267,9 @@ def _strings(doc_type: pa.DataType, length: int):
             for doc, uid, first, raw in zip(
                     *(batch[c].to_pylist() for c in ("doc", "uid", "first", "bytes")), strict=True):
                 n = len(raw) - length + 1
-                keys = np.array([digest(raw[i : i + length]) for i in range(n)], np.uint64)
+                keys = np.frombuffer(b"".join([digest(raw[i : i + length]) for i in range(n)]), np.uint64).reshape(n, 2)
                 none = np.zeros(n, np.int64)
-                task.add(doc, uid, keys, np.zeros(n, np.uint64), np.arange(first, first + n), none, none)
+                task.add(doc, uid, keys[:, 0], keys[:, 1], np.arange(first, first + n), none, none)
             task.scan(new)
             if len(task.family.hit) >= FAMILY:
                 yield from task.emptied()
