@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import stored, text_of
 
-SHARD_CHARS = 1 << 22
+#: Characters of a shard, and shards whose n-grams (as many in number) make up a range of keys.
+SHARD_CHARS, RANGE_SHARDS = 1 << 22, 3
 STEPS = 512
 UNIT = np.uint64(1)
 
@@ -176,23 +177,28 @@ def _opened(row: dict) -> Shard:
         np.array(row["train"], bool))
 
 
+def ranges(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``parts`` equal ranges of keys hold any of the ordered ``keys``, and where each one's keys begin."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(part, prepend=-1))
+    return part[begin], begin
+
+
 def _asks(parts: int):
-    """Each shard's n-grams, cut by key into ``parts`` ranges: (range, shard, keys as differences, counts)."""
+    """Each shard's n-grams, cut by key into ``parts`` ranges: (range, shard, keys as differences, counts).
+
+    A range that holds none of a shard's n-grams gets no row from it, so there are never more rows than n-grams.
+    """
     schema = pa.schema([("part", pa.int32()), ("shard", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.array([(i << 64) // parts for i in range(parts)], np.uint64)
         for batch in batches:
             for row in batch.to_pylist():
                 shard = _opened(row)
-                counts, cuts = shard.counts.astype(np.int32), np.append(np.searchsorted(shard.keys, edges), len(shard.keys))
-                rows = []
-                for i in range(parts):
-                    own = slice(cuts[i], cuts[i + 1])
-                    keys = shard.keys[own]
-                    if len(keys):
-                        rows.append((i, row["shard"], lengthwise(np.diff(keys, prepend=np.uint64(0))), lengthwise(counts[own])))
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
+                part, begin = ranges(shard.keys, parts)
+                counts = np.split(shard.counts.astype(np.int32), begin[1:])
+                told = [lengthwise(np.diff(k, prepend=np.uint64(0))) for k in np.split(shard.keys, begin[1:])]
+                columns = [part, [row["shard"]] * len(part), told, [lengthwise(c) for c in counts]]
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return asks
@@ -265,7 +271,7 @@ def score(
         f"shard string, doc array<{kind.simpleString()}>, train array<boolean>, n array<int>, words binary, tokens binary",
     ), "lm-shards")
     told = shards.agg(F.count("*"), F.sum(F.size(F.filter("train", lambda t: t)))).first()
-    parts, documents = max(8, told[0]), told[1] or 0
+    parts, documents = max(8, -(-told[0] // RANGE_SHARDS)), told[1] or 0
     asked = shards.mapInArrow(_asks(parts), "part int, shard string, keys binary, counts binary")
     answers = stored(
         asked.repartition("part").sortWithinPartitions("part").mapInArrow(
