@@ -15,7 +15,9 @@ from harborline.llm.common import text_of
 SLICE, BLOCK_CHARS = 1 << 18, 400_000
 FACTOR, MIX = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 TABLE_BITS = 22
-FOUND = "item_id:bigint,edits:int,at:bigint,until:bigint"
+FOUND = "item_id:bigint,edits:int,at:bigint,until:bigint,item_at:int,item_until:int"
+#: Places in an item at which its excerpts begin.
+EXCERPTS = 4
 
 
 def plain(text: str) -> str:
@@ -47,15 +49,22 @@ class Index:
     most k apart (the q-gram lemma). k is ``share`` of m, less where the lemma would ask for none.
     Two q-grams at one place of the table count as equal, which can only add candidates. Of each item the q-grams most
     frequent in the benchmark are not indexed, half as many as the lemma could spare, and the limit falls by as many.
+
+    Excerpts, if ``excerpt`` is under one, are runs of that part of an item, ``EXCERPTS`` of them evenly spaced, with
+    budgets of their own. An item's limit is then that of an excerpt, whose q-grams are the item's, on its diagonals.
+    Items whose excerpts would have under ``shortest`` characters have none.
     """
 
-    def __init__(self, items: list[tuple[int, str]], q: int, share: float):
+    def __init__(self, items: list[tuple[int, str]], q: int, share: float, excerpt: float = 1.0, shortest: int = 80):
         self.q, self.items = q, [(i, plain(t)) for i, t in items]
         self.items = [(i, t) for i, t in self.items if len(t) >= q]
         self.chars = [codes(t) for _, t in self.items]
         self.size = np.array([len(t) for _, t in self.items], np.int64)
-        self.budget = np.maximum(0, np.minimum((self.size * share).astype(np.int64), (self.size - q) // q))
-        self.least = self.size - q + 1 - self.budget * q
+        self.budget = self._budgets(self.size, share)
+        run = np.ceil(self.size * excerpt).astype(np.int64)
+        self.run = np.where((run >= max(q, shortest)) & (run < self.size), run, self.size)
+        self.run_budget = self._budgets(self.run, share)
+        self.least = self.run - q + 1 - self.run_budget * q
         grams = [qgrams(c, q) for c in self.chars]
         gram = np.concatenate(grams) if grams else np.zeros(0, np.uint32)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -68,7 +77,7 @@ class Index:
         self.least -= self.least // 2
         gram, item, place = gram[kept], item[kept], place[kept]
         order = np.argsort(gram, kind="stable")
-        self.item, self.place = item[order].astype(np.int32), place[order].astype(np.int32)
+        self.item, self.at = item[order].astype(np.int32), place[order].astype(np.int32)
         self.start = np.searchsorted(gram[order], np.arange((1 << TABLE_BITS) + 1)).astype(np.int32)
         self.filled = np.diff(self.start) > 0
         self.shift = int(self.budget.max(initial=0)).bit_length()
@@ -77,6 +86,31 @@ class Index:
         #: How far the region of a passage can reach beyond the first diagonal of its band.
         self.reach = self.longest + 2 * self.band + 2 * int(self.budget.max(initial=0))
 
+    def _budgets(self, size: np.ndarray, share: float) -> np.ndarray:
+        return np.maximum(0, np.minimum((size * share).astype(np.int64), (size - self.q) // self.q))
+
+    def excerpts(self, i: int) -> list[int]:
+        """Where the excerpts of an item begin; none for an item that is only found as a whole."""
+        spare = int(self.size[i] - self.run[i])
+        return sorted({spare * n // (EXCERPTS - 1) for n in range(EXCERPTS)}) if spare else []
+
+    def place(self, i: int, text: str, low: int, high: int) -> tuple | None:
+        """The item, else the best of its excerpts, in ``text`` on diagonals from ``low`` to ``high``.
+
+        Returns (is an excerpt, edits, first, end, first in the item, end in the item).
+        """
+        found = []
+        for begin, size, k in [(0, int(self.size[i]), int(self.budget[i]))] + [
+                (b, int(self.run[i]), int(self.run_budget[i])) for b in self.excerpts(i)]:
+            if size - k > len(text) or (found and not found[0][0]):
+                continue
+            a, b = low + begin, high + begin
+            at = text.find(self.items[i][1][begin : begin + size], max(0, a - k), max(0, b + size + k))
+            got = (0, at, at + size) if at >= 0 else banded(self.chars[i][begin : begin + size], codes(text), a, b, k)
+            if got:
+                found.append((size < self.size[i], *got, begin, begin + size))
+        return min(found, default=None)
+
     def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, diagonal (document position less item position) and item position of every shared q-gram."""
         gram = qgrams(chars, self.q)
@@ -86,7 +120,7 @@ class Index:
         n = self.start[gram + np.uint32(1)] - low
         total = int(n.sum())
         entry = np.repeat(low - np.concatenate(([0], np.cumsum(n[:-1]))), n) + np.arange(total) if total else np.zeros(0, int)
-        place = self.place[entry]
+        place = self.at[entry]
         return self.item[entry], np.repeat(at, n) - place, place
 
     def regions(self, chars: np.ndarray) -> list[tuple[int, int, int]]:
@@ -169,12 +203,12 @@ def banded(item: np.ndarray, chars: np.ndarray, low: int, high: int, budget: int
 
 
 def search(texts: list[str], index: Index) -> list[list[dict]]:
-    """For each text the benchmark items that it holds within their budgets: edits and place in the plain text.
+    """For each text the benchmark items that it holds within their budgets: edits, place in the plain text, part of the item.
 
     Texts are searched many at once, with a separator between them that no q-gram of the benchmark crosses; a long
     text is searched in slices that overlap by more than a region.
     """
-    best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+    best: list[dict[int, tuple]] = [{} for _ in texts]
     group: list[tuple[int, int, str]] = []
     held = 0
 
@@ -186,12 +220,12 @@ def search(texts: list[str], index: Index) -> list[list[dict]]:
             for g in range(first, min(len(group), int(np.searchsorted(begin, high + m + k)))):
                 doc, cut, part = group[g]
                 a, b = low - int(begin[g]), high - int(begin[g])
-                if len(part) < m - k or max(0, a - k) > len(part):
+                if max(0, a - k) > len(part):
                     continue
-                at = part.find(index.items[i][1], max(0, a - k), max(0, b + m + k))
-                got = (0, at, at + m) if at >= 0 else banded(index.chars[i], codes(part), a, b, k)
+                got = index.place(i, part, a, b)
                 if got:
-                    got = (got[0], cut + got[1], cut + got[2])
+                    partial, edits, at, until, *of = got
+                    got = (partial, edits, cut + at, cut + until, *of)
                     best[doc][i] = min(got, best[doc].get(i, got))
 
     for n, text in enumerate(texts):
@@ -207,7 +241,10 @@ def search(texts: list[str], index: Index) -> list[list[dict]]:
     if group:
         flush()
     return [
-        [{"item_id": index.items[i][0], "edits": e, "at": a, "until": u} for i, (e, a, u) in sorted(found.items())]
+        [
+            {"item_id": index.items[i][0], "edits": e, "at": a, "until": u, "item_at": first, "item_until": end}
+            for i, (_, e, a, u, first, end) in sorted(found.items())
+        ]
         for found in best
     ]
 
@@ -221,9 +258,9 @@ def blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", item: str = "item_id",
-    passage: str = "text", q: int = 5, share: float = 0.125,
+    passage: str = "text", q: int = 5, share: float = 0.125, excerpt: float = 0.75,
 ) -> DataFrame:
-    """(``doc``, ``item_id``, ``edits``, ``at``, ``until``): the benchmark items that documents hold.
+    """(``doc``, ``item_id``, ``edits``, ``at``, ``until``, ``item_at``, ``item_until``): benchmark items in documents.
 
     Both sides are compared in lower case with runs of white space as one blank. An item counts when the whole of it
     is in the document with at most ``share`` of its characters inserted, deleted or changed (its best place is
@@ -231,32 +268,41 @@ def leaks(
     banded alignment. Documents are read once for each block of the benchmark; whole texts are searched, in
     overlapping slices.
 
+    An item that is not there as a whole also counts when one of its excerpts is, with at most ``share`` of the
+    excerpt's characters changed: four runs of ``excerpt`` of the item, evenly spaced, so that with 0.75 any run
+    of five sixths of an item, and a character, holds one. ``item_at`` and ``item_until`` tell which characters of the plain item were found
+    (all of them, or the excerpt with the fewest edits, then the earliest). Items under 106 characters, whose excerpts
+    would have under 80, count as a whole only; so do all with ``excerpt=1``.
+
     NULL or empty texts hold nothing; NULL items, and items under ``q`` characters, are not searched. Repeated rows
     give their leaks as often as they occur; items with equal texts are all found. Other columns are not looked at.
     Empty tables give an empty table.
     """
     out = None
-    for find in finders(docs, benchmark, item, passage, q, share):
+    for find in finders(docs, benchmark, item, passage, q, share, excerpt):
         found = docs.select(F.col(f"`{doc}`").alias(doc), F.inline(find(text_of(docs, text))))
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def finders(docs: DataFrame, benchmark: DataFrame, item: str, passage: str, q: int, share: float) -> list:
+def finders(
+    docs: DataFrame, benchmark: DataFrame, item: str, passage: str, q: int, share: float, excerpt: float,
+) -> list:
     """A column function for each block of the benchmark: the items of the block that a text holds."""
     out = []
     for block in blocks(benchmark.where(F.col(f"`{passage}`").isNotNull()), item, passage):
         items = sorted((int(r[0]), r[1]) for r in block.select(F.col(f"`{item}`"), F.col(f"`{passage}`")).dropna().collect())
-        out.append(_finder(docs.sparkSession.sparkContext.broadcast(items), q, share))
+        out.append(_finder(docs.sparkSession.sparkContext.broadcast(items), q, share, excerpt))
     return out
 
 
-def _finder(items, q: int, share: float):
+def _finder(items, q: int, share: float, excerpt: float):
     @F.arrow_udf(f"array<struct<{FOUND}>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index(items.value, q, share)
+        index = Index(items.value, q, share, excerpt)
         kind = pa.struct([
-            ("item_id", pa.int64()), ("edits", pa.int32()), ("at", pa.int64()), ("until", pa.int64())])
+            ("item_id", pa.int64()), ("edits", pa.int32()), ("at", pa.int64()), ("until", pa.int64()),
+            ("item_at", pa.int32()), ("item_until", pa.int32())])
         for texts in batches:
             yield pa.array(search(texts.to_pylist(), index), pa.list_(kind))
 
@@ -265,13 +311,13 @@ def _finder(items, q: int, share: float):
 
 def clean_documents(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", passage: str = "text", q: int = 5,
-    share: float = 0.125,
+    share: float = 0.125, excerpt: float = 0.75,
 ) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item (see ``leaks``), with their columns.
+    """The rows of ``docs`` whose text holds no benchmark item or excerpt of one (see ``leaks``), with their columns.
 
     A row is judged by its own text, so ids may be NULL or repeated, and nothing is shuffled. NULL and empty texts hold
     nothing and stay. An empty table gives an empty table; an empty benchmark leaves everything.
     """
-    for find in finders(docs, benchmark, item, passage, q, share):
+    for find in finders(docs, benchmark, item, passage, q, share, excerpt):
         docs = docs.where(F.size(find(text_of(docs, text))) == 0)
     return docs
