@@ -12,12 +12,13 @@ import __spark_entry__ as entry
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from harborline.llm import chat, components, decontaminate, html, licenses, lines, packing, rules, simhash, suffix
+from harborline.llm import chat, components, decontaminate, html, licenses, lines, lm, packing, rules, simhash, suffix
 
 SF = "/root/testdata/sf0.001"
 BLANK = " \t\n\x0b\x0c\r"
@@ -223,6 +224,31 @@ def test_lm_scores(spark, docs):
     assert math.isclose(total, 1.0, rel_tol=1e-9)
 
 
+def test_ranges_of_keys_get_all_and_no_more_messages_than_keys():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 64, 500, np.uint64))
+    for parts in (1, 8, 100_000):
+        part, begin = lm.ranges(keys, parts)
+        assert len(part) <= len(keys) and (np.diff(part) > 0).all() and part[0] >= 0 and part[-1] < parts
+        split = np.split(keys, begin[1:])
+        assert np.array_equal(np.concatenate(split), keys)
+        for p, own in zip(part.tolist(), split, strict=True):
+            assert len(own) and lm.ranges(own, parts)[0].tolist() == [p]
+
+
+def test_strings_that_agree_in_half_of_their_hash_are_not_equal():
+    kind = pa.int64()
+    pieces = pa.record_batch(
+        [pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array([0, 0, 0]), pa.array([b"a" * 20, b"a" * 20, b"b" * 20])],
+        names=["doc", "uid", "first", "bytes"])
+    table = pa.Table.from_batches(list(suffix._strings(kind, 20)([pieces])))
+    assert sorted(r["doc"] for r in table.to_pylist() if r["core"] is None) == [1, 2] and table.num_rows == 4
+    rows = [(5, 1, False, d, d, 0, 0, 0) for d in (1, 2)] + [(5, 2, False, 3, 3, 0, 0, 0)]
+    met = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=suffix._schema(kind).names)
+    marks = [r for b in suffix._needs(kind, np.zeros(0, np.int64))([met]) for r in b.to_pylist() if r["kind"] == suffix.MARK]
+    assert sorted(r["doc"] for r in marks) == [1, 2]
+
+
 def check_packing(rows, sizes, limit=2048):
     held = defaultdict(list)
     for r in rows:
@@ -327,14 +353,58 @@ def test_leaks_against_edit_distance():
         assert got.get(i) == (best if best <= index.budget[place[i]] else None)
 
 
+def test_excerpts_against_edit_distance():
+    rng = random.Random(5)
+    letters = "etaoin shr"
+    text = lambda low, high: "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+    items = [(i, text(60, 240)) for i in range(12)]
+    index = decontaminate.Index(items, 5, 0.125, 0.75)
+    where = {i: n for n, (i, _) in enumerate(index.items)}
+    texts, cases, kinds = [], [], Counter()
+    for n in range(70):
+        i, _ = rng.choice(items)
+        item = index.items[where[i]][1]
+        size = math.ceil(len(item) * rng.choice([0.6, 0.76, 0.8, 0.86, 0.95, 1]))
+        begin = rng.randint(0, len(item) - size)
+        t = list(item[begin : begin + size])
+        for _ in range(rng.choice([0, rng.randint(0, int(0.14 * len(t)))])):
+            at = rng.randrange(len(t))
+            t[at : at + rng.randint(0, 1)] = rng.choice(["", rng.choice(letters), rng.choice(letters) * 2])
+        texts.append(text(0, 150) + "".join(t) + text(0, 150))
+        cases.append((n, where[i], size == math.ceil(len(item) * 0.86) and "".join(t) == item[begin : begin + size]))
+    found = decontaminate.search(texts, index)
+    for n, at, must in cases:
+        item, k, run = index.items[at][1], int(index.budget[at]), int(index.run[at])
+        hay = decontaminate.plain(texts[n])
+        want, first, until = edits_inside(item, hay), 0, len(item)
+        if want > k and index.excerpts(at):
+            want, first = min((edits_inside(item[b : b + run], hay), b) for b in index.excerpts(at))
+            k, until = int(index.run_budget[at]), first + run
+        got = {f["item_id"]: f for f in found[n]}.get(index.items[at][0])
+        assert (got and got["edits"]) == (want if want <= k else None)
+        if got:
+            kinds["whole" if until - first == len(item) else "excerpt"] += 1
+            assert edits_inside(item[got["item_at"] : got["item_until"]], hay[got["at"] : got["until"]]) == got["edits"]
+        kinds["none"] += not got
+        assert got or not must or not index.excerpts(at)
+    assert min(kinds["whole"], kinds["excerpt"], kinds["none"]) >= 10
+
+
 def test_leaks_in_documents(spark, docs):
     bench = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     got = entry.queries()["op4_benchmark_decontamination"](spark, SF).collect()
     exact = {(i, b) for i, r in docs.items() for b, t in bench.items() if decontaminate.plain(t) in decontaminate.plain(r.text)}
-    assert {(r.doc_id, r.item_id) for r in got if r.edits == 0} == exact and exact
+    size = {b: len(decontaminate.plain(t)) for b, t in bench.items()}
+    assert {(r.doc_id, r.item_id) for r in got if r.edits == 0 and r.item_until - r.item_at == size[r.item_id]} == exact and exact
     for r in got:
         item, text = decontaminate.plain(bench[r.item_id]), decontaminate.plain(docs[r.doc_id].text)
+        item = item[r.item_at : r.item_until]
         assert edits_inside(item, text[r["at"] : r.until]) == r.edits <= len(item) * 0.125
+    index = decontaminate.Index(list(bench.items()), 5, 0.125, 0.75)
+    some = {
+        (i, index.items[n][0]) for i, r in docs.items() for n in range(len(index.items)) for b in index.excerpts(n)
+        if index.items[n][1][b : b + int(index.run[n])] in decontaminate.plain(r.text)}
+    assert some <= {(r.doc_id, r.item_id) for r in got}
 
 
 def test_main_text_of_pages(spark):
@@ -485,7 +555,7 @@ def test_pipeline(spark, docs, ids):
     _, root = near(stay)
     stay = {i: t for i, t in stay.items() if root[i] == i}
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    index = decontaminate.Index(bench, 5, 0.125)
+    index = decontaminate.Index(bench, 5, 0.125, 0.75)
     stay = {i: t for i, t in stay.items() if not decontaminate.search([t], index)[0]}
     got = corpus_pipeline.run(spark, SF).collect()
     want = {}
