@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import stored, text_of
 
-#: Characters of a shard, and shards whose n-grams (as many in number) make up a range of keys.
-SHARD_CHARS, RANGE_SHARDS = 1 << 22, 3
+SHARD_CHARS = 1 << 22
 STEPS = 512
 UNIT = np.uint64(1)
 
@@ -213,13 +212,21 @@ def _answers():
         ("part", pa.int32()), ("shard", pa.string()), ("totals", pa.binary()), ("v", pa.int64()), ("n", pa.int64())])
 
     def answered(part: int, rows: list[tuple[str, bytes, bytes]]) -> pa.RecordBatch:
-        keys = [np.cumsum(numbers(k, np.uint64), dtype=np.uint64) for _, k, _ in rows]
-        every, back = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([numbers(c, np.int32) for _, _, c in rows])
-        totals = np.bincount(back, weights=counts, minlength=len(every)).astype(np.int64)
-        words = (every & UNIT) == 0
-        ends = np.cumsum([len(k) for k in keys])
-        told = [lengthwise(totals[back[e - len(k) : e]]) for k, e in zip(keys, ends.tolist(), strict=True)]
+        sizes = [len(c) // 4 for _, _, c in rows]
+        keys = np.concatenate([np.cumsum(numbers(k, np.uint64), dtype=np.uint64) for _, k, _ in rows])
+        order = np.argsort(keys, kind="stable").astype(np.int32)
+        keys = keys[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        words = (keys[new] & UNIT) == 0
+        del keys
+        back = np.empty(len(order), np.int32)
+        back[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order, new
+        totals = np.zeros(len(words), np.int64)
+        ends = np.cumsum(sizes)
+        for (_, _, c), n, e in zip(rows, sizes, ends.tolist(), strict=True):
+            np.add.at(totals, back[e - n : e], numbers(c, np.int32))
+        told = [lengthwise(totals[back[e - n : e]]) for n, e in zip(sizes, ends.tolist(), strict=True)]
         first = [1] + [0] * (len(rows) - 1)
         v, n = int((totals[words] > 0).sum()), int(totals[words].sum())
         return pa.record_batch([
@@ -271,7 +278,7 @@ def score(
         f"shard string, doc array<{kind.simpleString()}>, train array<boolean>, n array<int>, words binary, tokens binary",
     ), "lm-shards")
     told = shards.agg(F.count("*"), F.sum(F.size(F.filter("train", lambda t: t)))).first()
-    parts, documents = max(8, -(-told[0] // RANGE_SHARDS)), told[1] or 0
+    parts, documents = max(8, told[0]), told[1] or 0
     asked = shards.mapInArrow(_asks(parts), "part int, shard string, keys binary, counts binary")
     answers = stored(
         asked.repartition("part").sortWithinPartitions("part").mapInArrow(
