@@ -51,7 +51,8 @@ class Index:
     frequent in the benchmark are not indexed, half as many as the lemma could spare, and the limit falls by as many.
 
     Excerpts, if ``excerpt`` is under one, are runs of that part of an item, ``EXCERPTS`` of them evenly spaced, with
-    budgets of their own. An item's limit is then that of an excerpt, whose q-grams are the item's, on its diagonals.
+    budgets of their own, half as large for their length: less text has to be closer. Their q-grams are the item's, on
+    its diagonals; an item's limit is the lower of its own and its excerpts'.
     Items whose excerpts would have under ``shortest`` characters have none.
     """
 
@@ -63,8 +64,8 @@ class Index:
         self.budget = self._budgets(self.size, share)
         run = np.ceil(self.size * excerpt).astype(np.int64)
         self.run = np.where((run >= max(q, shortest)) & (run < self.size), run, self.size)
-        self.run_budget = self._budgets(self.run, share)
-        self.least = self.run - q + 1 - self.run_budget * q
+        self.run_budget = self._budgets(self.run, share / 2)
+        self.least = np.minimum(self.size - self.budget * q, self.run - self.run_budget * q) - q + 1
         grams = [qgrams(c, q) for c in self.chars]
         gram = np.concatenate(grams) if grams else np.zeros(0, np.uint32)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -268,8 +269,8 @@ def leaks(
     banded alignment. Documents are read once for each block of the benchmark; whole texts are searched, in
     overlapping slices.
 
-    An item that is not there as a whole also counts when one of its excerpts is, with at most ``share`` of the
-    excerpt's characters changed: four runs of ``excerpt`` of the item, evenly spaced, so that with 0.75 any run
+    An item that is not there as a whole also counts when one of its excerpts is, with at most half of ``share`` of
+    the excerpt's characters changed: four runs of ``excerpt`` of the item, evenly spaced, so that with 0.75 any run
     of five sixths of an item, and a character, holds one. ``item_at`` and ``item_until`` tell which characters of the plain item were found
     (all of them, or the excerpt with the fewest edits, then the earliest). Items under 106 characters, whose excerpts
     would have under 80, count as a whole only; so do all with ``excerpt=1``.
