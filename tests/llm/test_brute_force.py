@@ -361,7 +361,7 @@ def test_excerpts_against_edit_distance():
     index = decontaminate.Index(items, 5, 0.125, 0.75)
     where = {i: n for n, (i, _) in enumerate(index.items)}
     texts, cases, kinds = [], [], Counter()
-    for n in range(70):
+    for n in range(110):
         i, _ = rng.choice(items)
         item = index.items[where[i]][1]
         size = math.ceil(len(item) * rng.choice([0.6, 0.76, 0.8, 0.86, 0.95, 1]))
