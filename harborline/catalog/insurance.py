@@ -36,7 +36,8 @@ def invoices(spark: SparkSession, sf: str) -> DataFrame:
 
 def confirmed_invoices(spark: SparkSession, sf: str) -> DataFrame:
     """Staged invoices of the confirmed policies: a third of all lines are orphans here."""
-    return staging.stg_invoice(domain.raw_invoice(spark, sf), domain.confirmed_policy(spark, sf))
+    lines = domain.table(spark, sf, "lineitem")
+    return staging.stg_invoice(lines, domain.confirmed_policy(spark, sf), shape=domain.invoices_of, key="l_orderkey")
 
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:
