@@ -197,4 +197,4 @@ def q5(spark, sf):
         "stg_policy": p, "stg_invoice": i, "stg_claim": c, "int_policy_ranked": rank_policies(p),
         "int_invoice_paid": i.where("status = 'paid'"), "mart_policy_denormalized": marts.policy_wide(p, i, c),
     }
-    return quality.run_declared(models)
+    return quality.run_declared(models, quality.PART_OF)

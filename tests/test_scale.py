@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.catalog import insurance
+from harborline.operators import joins, quality
 from harborline.plans import staging
 from harborline.sinks import tables
 
@@ -53,3 +54,26 @@ def test_orphan_invoices_go_before_invoices_are_typed(spark, tmp_path, rows):
     assert rows(found) == rows(plain) and found.count() == 4
     plan = optimized(found)
     assert plan.index("Join LeftSemi") > plan.rindex("decimal(38,9)")
+
+
+@pytest.mark.parametrize("few", [100, 1, 0])
+def test_keys_are_looked_up_before_rows_move(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(joins, "FEW_MISSING", few)
+    keys = spark.createDataFrame([(k,) for k in (1, 2, 2, None)], "k long")
+    all_there = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k long, v string")
+    assert rows(joins.known_mostly(all_there, keys, "k")) == rows(all_there)
+    assert "Join" not in optimized(joins.known_mostly(all_there, keys, "k"))
+    some = all_there.unionByName(spark.createDataFrame([(3, "c"), (4, "d"), (None, "e")], "k long, v string"))
+    assert rows(joins.known_mostly(some, keys, "k")) == rows(joins.known(some, keys, "k")) == rows(all_there)
+
+
+def test_a_part_of_a_model_is_checked_with_it(spark, rows):
+    invoices = spark.createDataFrame(
+        [("a", 1, "paid"), ("a", 1, "open"), ("b", 2, "paid"), ("b", None, "paid"), (None, 3, "paid"), (None, 3, "open"),
+         (None, None, None), ("c", 4, "open"), ("d", 5, None)], "id string, policy_number long, status string")
+    models = {"stg_invoice": invoices, "int_invoice_paid": staging.paid(invoices)}
+    shared = quality.run_declared(models, quality.PART_OF)
+    assert rows(shared) == rows(quality.run_declared(models))
+    assert optimized(shared).count("Aggregate [id") < optimized(quality.run_declared(models)).count("Aggregate [id")
+    assert rows(quality.run_declared({"int_invoice_paid": models["int_invoice_paid"]}, quality.PART_OF)) == rows(
+        quality.run_declared({"int_invoice_paid": models["int_invoice_paid"]}))
