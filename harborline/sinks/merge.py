@@ -38,8 +38,9 @@ def merge_insert_only(staged: DataFrame, target: str, key: str, partition: str |
     """Append the staged rows that are new to the Parquet table at ``target`` and return their number.
 
     With ``partition``, a row can only meet target rows of its own partition (the key must decide the
-    partition). Then the merge reads just the partitions that the batch has rows for (see ``touched``). The number
-    is the difference of two counts over those partitions, which read file footers only.
+    partition). Then the merge reads just the partitions that the batch has rows for (see ``touched``), and only the
+    batch's rows of partitions that are there are compared. The number is the difference of two counts over those
+    partitions, which read file footers only. ``staged`` is read several times, so it should be stored.
     """
     spark = staged.sparkSession
     shell = staged.limit(0).write.mode("ignore")  # the table, if it is missing
@@ -50,10 +51,29 @@ def merge_insert_only(staged: DataFrame, target: str, key: str, partition: str |
         return spark.read.schema(staged.schema).parquet(target).where(near)
 
     before = held().count()
-    fresh = orphans(staged, held().select(key), key) if before else staged
+    fresh = staged
+    if before and partition is not None:
+        there = F.coalesce(touched(held(), partition), F.lit(False))
+        fresh = _added(staged.where(~there), staged.where(there), held(), key)
+    elif before:
+        fresh = _added(None, staged, held(), key)
+    if fresh is None:
+        return 0
     # few files per partition, and a partition too big for one task is split
     fresh = fresh.hint("rebalance", F.col(partition)) if partition else fresh.hint("rebalance")
     writer = fresh.write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(target)
     spark.catalog.refreshByPath(target)
     return held().count() - before
+
+
+def _added(apart: DataFrame | None, met: DataFrame, held: DataFrame, key: str) -> DataFrame | None:
+    """``apart`` and the rows of ``met`` whose key ``held`` lacks; None where ``met`` has none and there is nothing apart.
+
+    Keys are compared alone first: a batch that is loaded again moves nothing else.
+    """
+    new = orphans(met.select(key), held.select(key), key).count()
+    if new == 0:
+        return apart if apart is not None and not apart.isEmpty() else None
+    met = met if new == met.count() else orphans(met, held.select(key), key)
+    return met if apart is None else apart.unionByName(met)

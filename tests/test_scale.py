@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from harborline.catalog import insurance
 from harborline.operators import joins, quality
 from harborline.plans import staging
-from harborline.sinks import tables
+from harborline.sinks import merge, tables
 
 
 def optimized(df):
@@ -77,3 +77,33 @@ def test_a_part_of_a_model_is_checked_with_it(spark, rows):
     assert optimized(shared).count("Aggregate [id") < optimized(quality.run_declared(models)).count("Aggregate [id")
     assert rows(quality.run_declared({"int_invoice_paid": models["int_invoice_paid"]}, quality.PART_OF)) == rows(
         quality.run_declared({"int_invoice_paid": models["int_invoice_paid"]}))
+
+
+def days(spark, first, last, day):
+    return spark.range(first, last).selectExpr("concat('k', id) AS key", f"cast({day} AS date) AS day", "id AS v")
+
+
+def test_a_merge_compares_keys_of_partitions_that_are_there(spark, rows, tmp_path, monkeypatch):
+    target, compared = str(tmp_path / "t"), []
+
+    def orphans(df, keys, on):
+        compared.append((df.columns, df.count()))
+        return joins.orphans(df, keys, on)
+
+    monkeypatch.setattr(merge, "orphans", orphans)
+    old, undated = days(spark, 0, 10, "'2024-01-01'"), days(spark, 20, 23, "NULL")
+    assert merge.merge_insert_only(old.unionByName(undated), target, "key", "day") == 13 and not compared
+    # ten rows of the old day, all there; the other day is appended as it is, with a key that is there twice
+    later = days(spark, 50, 54, "'2024-01-02'").unionByName(days(spark, 50, 51, "'2024-01-02'"))
+    assert merge.merge_insert_only(old.unionByName(later), target, "key", "day") == 5
+    assert compared == [(["key"], 10)]
+    compared.clear()
+    assert merge.merge_insert_only(old.unionByName(later).unionByName(undated), target, "key", "day") == 0
+    assert compared == [(["key"], 18)]
+    mixed = days(spark, 5, 15, "'2024-01-01'").unionByName(days(spark, 22, 25, "NULL"))
+    assert merge.merge_insert_only(mixed, target, "key", "day") == 7
+    nothing_old = days(spark, 90, 92, "'2024-01-01'").unionByName(spark.createDataFrame([(None,)], "key string").selectExpr(
+        "key", "date'2024-01-01' AS day", "7L AS v"))
+    assert merge.merge_insert_only(nothing_old, target, "key", "day") == 3  # a NULL key is never there
+    stored = spark.read.parquet(target)
+    assert stored.count() == 28 and stored.where("day IS NULL").count() == 5
