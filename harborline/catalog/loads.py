@@ -324,8 +324,10 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def k6_bucketed(spark, sf):
     layer = _name("layer")
     tables.create_layer(spark, layer, scratch(spark, "k6-buckets"))
-    tables.write_bucketed(lines(spark, sf), f"{layer}.lineitem", "l_orderkey", 8)
-    tables.write_bucketed(domain.table(spark, sf, "orders"), f"{layer}.orders", "o_orderkey", 8)
+    items, orders = lines(spark, sf), domain.table(spark, sf, "orders")
+    buckets = tables.bucket_count(items, orders, at_least=8)
+    tables.write_bucketed(items, f"{layer}.lineitem", "l_orderkey", buckets)
+    tables.write_bucketed(orders, f"{layer}.orders", "o_orderkey", buckets)
     met = spark.table(f"{layer}.lineitem").join(spark.table(f"{layer}.orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     # per order first, which needs no exchange either
     per_order = met.groupBy("o_orderkey", "o_orderpriority").agg(

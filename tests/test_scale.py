@@ -107,3 +107,10 @@ def test_a_merge_compares_keys_of_partitions_that_are_there(spark, rows, tmp_pat
     assert merge.merge_insert_only(nothing_old, target, "key", "day") == 3  # a NULL key is never there
     stored = spark.read.parquet(target)
     assert stored.count() == 28 and stored.where("day IS NULL").count() == 5
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    assert tables.bucket_count(spark.range(1000), spark.range(10), at_least=8) == 8
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    assert tables.bucket_count(spark.range(10), spark.range(80), at_least=8) == 8
+    assert tables.bucket_count(spark.range(10), spark.range(1000), at_least=8) == 128
