@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import string
 from array import array
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import lists, stored, text_of, without
 
-#: How many words, and parts of words, a Python worker remembers before the ones not met again are forgotten.
-WORDS, PARTS = 120_000, 120_000
+#: How many words and parts of words a Python worker remembers before the ones not met again are forgotten.
+KNOWN = 400_000
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids:binary>>"
 
 #: The fixed split pattern of the vocabulary file word_bpe_49k.json.
@@ -25,10 +27,11 @@ def word_encoder(path: str):
     """``text -> ids as little-endian uint32 bytes`` for a word vocabulary; equal to encoding the whole text.
 
     The vocabulary's pre-tokenizer never joins characters across white space, so a text's ids are its words' ids in a
-    row, and a word's ids are remembered. A new word of letters below U+0250 (no other normal form, one-to-one lower
-    case) is cut into parts here and only the parts go through the model; any other word, and any text with special
-    tokens or separators that Python and the vocabulary see differently, goes through the whole tokenizer. Python
-    workers outlive tasks, so encoders are kept beside the library they use.
+    row, and a word's ids are remembered, in lower case and beside those of the parts it was cut into: most new words
+    are known words with a comma or a capital. A new word of letters below U+0250 (no other normal form, one-to-one
+    lower case) is cut into parts here and only parts not met yet go through the model; any other word, and any text
+    with special tokens or separators that Python and the vocabulary see differently, goes through the whole tokenizer.
+    Python workers outlive tasks, so encoders are kept beside the library they use.
     """
     import regex
     import tokenizers
@@ -37,53 +40,62 @@ def word_encoder(path: str):
     if path in kept:
         return kept[path]
     whole = tokenizers.Tokenizer.from_file(path)
-    tokenize, parts = whole.model.tokenize, regex.compile(WORD_PARTS)
+    tokenize, parts_of = whole.model.tokenize, regex.compile(WORD_PARTS).findall
     # in a text with one of these the words may not be what the vocabulary cuts
     odd = [*"\x1c\x1d\x1e\x1f", *(t.content for t in whole.get_added_tokens_decoder().values())]
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
-    letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    letters = "".join([letter[b] for b in range(256)])
 
     def packed(text: str) -> bytes:
         return array("I", whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def part_ids(part: str) -> bytes:
-        return array("I", [t.id for t in tokenize("".join([letters[b] for b in part.encode()]))]).tobytes()
-
     def word_ids(word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():  # stands for itself
-                return array("I", [t.id for t in tokenize(word.lower())]).tobytes()
-        elif max(word) >= "ɐ" or "İ" in word:
+        plain = word.isascii()
+        if not plain and (max(word) >= "ɐ" or "İ" in word):
             return packed(word)
-        elif word.isalpha():
-            return part_ids(word.lower())
-        return b"".join([of_part[p] for p in parts.findall(word.lower())])
-
-    class Remembered(dict):
-        """Values by key; what is not asked for again while as many others are goes."""
-
-        def __init__(self, make, most: int):
-            super().__init__()
-            self.make, self.most, self.before = make, most, {}
-
-        def __missing__(self, key: str) -> bytes:
-            value = self.before.get(key)
-            if value is None:
-                value = self.make(key)
-            self[key] = value
-            if len(self) >= self.most:
+        low = word.lower()
+        if low != word:
+            return known[low]
+        if not word.isalpha():
+            body = word.rstrip(string.punctuation)
+            if body != word and body.isalpha():  # the marks behind a word are one part
+                return known[body] + known[word[len(body) :]]
+            parts = parts_of(word)
+            if parts != [word]:
+                return b"".join([known[p] for p in parts])
+        spelled = word if plain and word.isprintable() else codecs.charmap_decode(word.encode(), "strict", letters)[0]
+        return array("I", [t.id for t in tokenize(spelled)]).tobytes()
+
+    class Known(dict):
+        """Ids by word or part; what is not asked for again while as many others are goes."""
+
+        before: dict[str, bytes] = {}
+
+        def __missing__(self, word: str) -> bytes:
+            ids = self.before.get(word)
+            if ids is None:
+                ids = word_ids(word)
+            self[word] = ids
+            if len(self) >= KNOWN:
                 self.before = dict(self)
                 self.clear()
-            return value
+            return ids
 
-    of_part, of_word = Remembered(part_ids, PARTS), Remembered(word_ids, WORDS)
+    known = Known()
 
     def encode(text: str) -> bytes:
         for mark in odd:
             if mark in text:
                 return packed(text)
-        return b"".join([of_word[w] for w in text.split()])
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            text = text.lower()
+        return b"".join([known[w] for w in text.split()])
 
     kept[path] = encode
     return encode

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -289,6 +290,27 @@ def test_encoder_equals_the_tokenizer(ids):
         assert np.frombuffer(encode(text), "<u4").tolist() == ids(text), text
 
 
+def test_a_part_goes_through_the_model_once(ids, tmp_path, monkeypatch):
+    path = tmp_path / "vocabulary.json"  # no encoder is kept for it
+    path.write_text(Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
+    whole, asked = Tokenizer.from_file(str(path)), []
+
+    class Model:
+        def tokenize(self, part):
+            asked.append(part)
+            return whole.model.tokenize(part)
+
+    class Counting:
+        model, encode, get_added_tokens_decoder = Model(), whole.encode, whole.get_added_tokens_decoder
+
+    monkeypatch.setattr(Tokenizer, "from_file", lambda path: Counting, raising=False)
+    text = "Stein stein STEIN stein, Stein. stein. \"Stein\" stein!? stein-Stein"
+    found = np.frombuffer(packing.word_encoder(str(path))(text), "<u4").tolist()
+    monkeypatch.undo()
+    assert found == ids(text)
+    assert sorted(asked) == ["!?", '"', ",", "-", ".", "stein"]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_hold_every_piece(seed):
     rng = np.random.default_rng(seed)
