@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import re
 from array import array
@@ -19,6 +20,13 @@ from harborline.llm.common import stored, text_of
 #: Characters of text in a shard, and words that are aligned at once.
 SHARD, BATCH = 8_000_000, 2_000
 
+#: A shard leaves its task as rows of these kinds, and comes back for its counts in this order: its id pairs, runs of its
+#: words, its documents. No row holds a whole shard, which readers, writers and Arrow would hold many at a time of.
+PAIR, WORDS, DOCUMENT, KINDS = 0, 1, 2, 3
+
+#: Words in a row, most rows in a batch, and numbers in lists of a batch.
+RUN, ROWS, AT_ONCE = 500, 1_000, 100_000
+
 #: A word with the white space before it. Texts are cut before a space that follows a character other than white space.
 CUT = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:\s+\Z)?")
 
@@ -77,21 +85,20 @@ class Aligner:
         Words are encoded many in a row, which the cuts allow; where that does not come out even, half as many.
         """
         alone = [k for k, w in enumerate(words) if w[-1].isspace() or not self.cuts]  # the next word's space would join in
-        apart = set(alone)
-        rest = [k for k in range(len(words)) if k not in apart]
+        rest = np.delete(np.arange(len(words)), alone)
         out, order = [], []
-        stack = [[k] for k in alone] + [rest[i : i + BATCH] for i in range(0, len(rest), BATCH)]
+        stack = ([np.array([k]) for k in alone] + [rest[i : i + BATCH] for i in range(0, len(rest), BATCH)])[::-1]
         while stack:
             some = stack.pop()
-            got = self._some([words[k] for k in some])
+            got = self._some([words[k] for k in some.tolist()])
             if got is None and len(some) > 1:
-                stack += [some[: len(some) // 2], some[len(some) // 2 :]]
+                stack += [some[len(some) // 2 :], some[: len(some) // 2]]
                 continue
-            out.append(got or Words(np.zeros((len(some), 4), np.int64), np.zeros(0, np.int64), [None] * len(some)))
-            order += some
+            out.append(got or Words(np.zeros((len(some), 4), np.int32), np.zeros(0, np.int64), [None] * len(some)))
+            order.append(some)
         if not out:
-            return Words(np.zeros((0, 4), np.int64), np.zeros(0, np.int64), [])
-        return _ordered(out, order)
+            return Words(np.zeros((0, 4), np.int32), np.zeros(0, np.int64), [])
+        return _ordered(out, np.concatenate(order))
 
     def _some(self, words: list[str]) -> Words | None:
         """Some words in a row; None where token bytes are not those of the words, or a token crosses a word's end."""
@@ -115,20 +122,23 @@ class Aligner:
         word_ends = np.cumsum([len(w) if len(raw) == len(text) else len(w.encode()) for w in words])
         if (ends_a[closes] != char_end[offsets[closes, 1]]).any() or (ends_b[owns] != spans[owns]).any():
             return None
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        if not np.isin(word_ends, both).all():
+        marks = np.zeros((2, len(raw) + 1), bool)
+        marks[0, ends_a] = marks[1, ends_b] = True
+        shared = marks[0] & marks[1]
+        if not shared[word_ends].all():
             return None
 
-        cuts = np.union1d(ends_a, ends_b)  # every end of either one closes one link
+        both, cuts = np.flatnonzero(shared), np.flatnonzero(marks[0] | marks[1])  # every end of either one closes one link
         i, j = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
         sizes = np.diff([np.searchsorted(x, word_ends, "right") for x in (ends_a, ends_b, both, cuts)], axis=1, prepend=0).T
-        return Words(sizes, ids_a[i] << 32 | ids_b[j], self._told(both, (ids_a, ends_a), (ids_b, ends_b), sizes))
+        sizes = sizes.astype(np.int32)
+        return Words(sizes, ids_a[i] << 32 | ids_b[j], self._told(shared, both, (ids_a, ends_a), (ids_b, ends_b), sizes))
 
-    def _told(self, both, first, second, sizes) -> list[str]:
+    def _told(self, shared, both, first, second, sizes) -> list[str]:
         """Groups as text: each id with the mark behind it, in order of group, tokenizer and place."""
         parts, order = [], []
         for side, (ids, ends) in enumerate((first, second)):
-            text, last = self.told[0][ids], np.isin(ends, both, assume_unique=True)
+            text, last = self.told[0][ids], shared[ends]
             text[last] = self.told[1 + side][ids[last]]
             parts.append(text)
             order.append(2 * np.searchsorted(both, ends) + side)
@@ -137,17 +147,18 @@ class Aligner:
         return ["".join(text[i:j])[:-1] for i, j in zip(at, at[1:])]
 
 
-def _ordered(parts: list[Words], order: list[int]) -> Words:
+def _ordered(parts: list[Words], order: np.ndarray) -> Words:
     """Parts put together again; the k-th word of all parts was word ``order[k]``."""
     sizes, links = np.concatenate([p.sizes for p in parts]), np.concatenate([p.links for p in parts])
     groups = [g for p in parts for g in p.groups]
-    if order == list(range(len(order))):
+    if (order[1:] > order[:-1]).all():
         return Words(sizes, links, groups)
     back = np.argsort(order)
     start = np.concatenate(([0], np.cumsum(sizes[:, 3])))[:-1][back]
     sizes = sizes[back]
-    shift = np.repeat(start - np.concatenate(([0], np.cumsum(sizes[:, 3])))[:-1], sizes[:, 3])
-    return Words(sizes, links[np.arange(len(links)) + shift], [groups[k] for k in back.tolist()])
+    place = np.repeat(start - np.concatenate(([0], np.cumsum(sizes[:, 3])))[:-1], sizes[:, 3])
+    place += np.arange(len(links))
+    return Words(sizes, links[place], [groups[k] for k in back.tolist()])
 
 
 def aligner(first: str, second: str) -> Aligner:
@@ -182,7 +193,9 @@ class Shard:
 
     def _settled(self) -> Words:
         """The words, aligned; a document with a word whose bytes differ is tried whole, and loses its tokens if that differs too."""
-        known = self.own.align(list(self.index))
+        names, self.index = list(self.index), {}
+        known = self.own.align(names)
+        del names
         bad = {k for k, g in enumerate(known.groups) if g is None}
         if bad:
             words, at, wholes = [], [0], []
@@ -201,36 +214,63 @@ class Shard:
         self.texts = []
         return known
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        known = self._settled()
-        words, at = np.array(self.words, np.int32), np.array(self.at, np.int32)
-        digests = []
-        for start, end in zip(self.at, self.at[1:]):
-            told = ";".join([known.groups[p] for p in self.words[start:end]])
-            digests.append(hashlib.sha256(told.encode()).hexdigest() if end > start else "")
-        times = np.repeat(np.bincount(words, minlength=len(known.sizes)), known.sizes[:, 3])
-        pairs, which = np.unique(known.links, return_inverse=True)
-        totals = np.bincount(which, times.astype(float), len(pairs)).astype(np.int64)
+    def rows(self, number: int, schema: pa.Schema):
+        """The shard as batches of small rows, a row per document, run of words and id pair; what is sent is let go."""
+        sizes, all_links, groups = self._settled()
+        words, at = np.frombuffer(self.words, np.int32), self.at
+
+        def batch(kind: int, n: int, **values) -> pa.RecordBatch:
+            values |= {"shard": pa.repeat(pa.scalar(number, pa.int64()), n), "kind": pa.repeat(pa.scalar(kind, pa.int32()), n)}
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(n, f.type) if f.name not in values else _column(values[f.name], f.type) for f in schema], schema=schema)
+
+        for i, j in _runs(np.diff(at), AT_ONCE):
+            own, ends, digests = words[at[i] : at[j]], np.array(at[i : j + 1]) - at[i], []
+            for start, end in zip(at[i:j], at[i + 1 : j + 1]):
+                told = ";".join([groups[p] for p in self.words[start:end]])
+                digests.append(hashlib.sha256(told.encode()).hexdigest() if end > start else "")
+            sums = {}
+            for k, c in enumerate(COUNTS):
+                upto = np.concatenate(([0], np.cumsum(sizes[own, k])))
+                sums[c] = upto[ends[1:]] - upto[ends[:-1]]
+            yield batch(DOCUMENT, j - i, doc=self.docs[i:j], words=(ends, own), groups_sha256=digests, **sums)
+        word_links, times = sizes[:, 3].astype(np.int32), np.bincount(words, minlength=len(sizes)).astype(float)
+        del sizes, groups, words
+        self.words, self.docs = array("i"), []
+
+        pairs = np.unique(all_links)
+        links = np.concatenate([np.zeros(0, np.int32)] + [
+            np.searchsorted(pairs, all_links[i : i + AT_ONCE]).astype(np.int32) for i in range(0, len(all_links), AT_ONCE)])
+        del all_links
+        totals = np.bincount(links, np.repeat(times, word_links), len(pairs)).astype(np.int64)
         used = totals > 0  # a pair of documents that lost their tokens is no pair of the corpus
-        place = np.cumsum(used) - 1
-
-        def summed(k: int) -> np.ndarray:
-            upto = np.concatenate(([0], np.cumsum(known.sizes[words, k])))
-            return upto[at[1:]] - upto[at[:-1]]
-
-        values = {
-            "shard": number, "docs": self.docs, "at": at, "words": words, "digests": digests,
-            "word_links": known.sizes[:, 3].astype(np.int32), "links": np.where(used, place, 0)[which].astype(np.int32),
-            "pairs": pairs[used], "totals": totals[used],
-        } | {c: summed(k) for k, c in enumerate(COUNTS)}
-        return pa.RecordBatch.from_arrays([_one(values[f.name], f.type) for f in schema], schema=schema)
-
-
-def _one(value, kind: pa.DataType) -> pa.Array:
-    """A column with one row."""
-    if not pa.types.is_list(kind):
-        return pa.array([value], kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), pa.array(value, kind.value_type))
+        links, pairs, totals = np.where(used, np.cumsum(used) - 1, 0).astype(np.int32)[links], pairs[used], totals[used]
+        for i in range(0, len(pairs), ROWS):
+            own = pairs[i : i + ROWS]
+            yield batch(PAIR, len(own), place=np.arange(i, i + len(own)), pair=own, total=totals[i : i + ROWS])
+        ends = np.concatenate(([0], np.cumsum(word_links, dtype=np.int64)))
+        first = np.append(np.arange(0, len(word_links), RUN), len(word_links))  # words where a row begins
+        for i, j in _runs(np.diff(ends[first]) + np.diff(first), AT_ONCE):
+            begin, end = first[i], first[j]
+            yield batch(
+                WORDS, j - i, place=first[i:j], words=(first[i : j + 1] - begin, word_links[begin:end]),
+                links=(ends[first[i : j + 1]] - ends[begin], links[ends[begin] : ends[end]]))
+
+
+def _runs(sizes: np.ndarray, most: int):
+    """Places (from, to) of rows that make a batch: up to ``ROWS``, of ``most`` in sum, or one row over that."""
+    upto, i = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), 0
+    while i < len(sizes):
+        j = min(i + ROWS, max(i + 1, int(np.searchsorted(upto, upto[i] + most, "right")) - 1))
+        yield i, j
+        i = j
+
+
+def _column(values, kind: pa.DataType) -> pa.Array:
+    """A column; lists come as (offsets, values)."""
+    if isinstance(values, tuple):
+        return pa.ListArray.from_arrays(pa.array(values[0], pa.int32()), pa.array(values[1], kind.value_type))
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
 
 def _sharded(first: str, second: str, schema: pa.Schema):
@@ -241,40 +281,70 @@ def _sharded(first: str, second: str, schema: pa.Schema):
                 shard = shard or Shard(own)
                 shard.add(doc, text.as_py())
                 if shard.chars >= SHARD:
-                    yield shard.row(task + number, schema)
+                    yield from shard.rows(task + number, schema)
                     number, shard = number + 1, None
+                    _give_back()
         if shard:
-            yield shard.row(task + number, schema)
+            yield from shard.rows(task + number, schema)
+            shard = None
+            _give_back()
 
     return shards
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system where the C library can do that; workers live as long as their executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _totalled(schema: pa.Schema):
-    """Documents of shards that have got the corpus-wide count of each of their id pairs."""
+    """Documents with the corpus-wide counts of their links; of each shard come its pairs, then its words, then its documents."""
 
-    def flat(row: pa.ListScalar) -> np.ndarray:
-        return row.values.to_numpy(zero_copy_only=False)
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The values of a column of lists, and where each row's begin (and the last ends)."""
+        return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
 
     def documents(batches):
+        at, pairs, of_words, counts, of_word = None, [], [], None, None
         for batch in batches:
-            for k in range(batch.num_rows):
-                shard = {name: batch.column(name)[k] for name in batch.schema.names}
-                answers = shard["answers"].values
-                counts = np.zeros((2, len(answers) if answers is not None else 0), np.int64)
-                if answers is not None and len(answers):
-                    place = answers.field("i").to_numpy()
-                    counts[0, place] = answers.field("links").to_numpy()
-                    counts[1, place] = answers.field("best").to_numpy(zero_copy_only=False)
-                links, ends = flat(shard["links"]), np.concatenate(([0], np.cumsum(flat(shard["word_links"]))))
-                words, at = flat(shard["words"]), flat(shard["at"])
-                found = {"doc": shard["docs"].values, "groups_sha256": shard["digests"].values}
-                found |= {c: shard[c].values for c in COUNTS}
-                for name, row in (("count_sum", counts[0]), ("n_best", counts[1])):
-                    upto = np.concatenate(([0], np.cumsum(row[links])))
-                    of_word = upto[ends[1:]] - upto[ends[:-1]]
-                    upto = np.concatenate(([0], np.cumsum(of_word[words])))
-                    found[name] = pa.array(upto[at[1:]] - upto[at[:-1]])
-                yield pa.RecordBatch.from_arrays([found[f.name].cast(f.type) for f in schema], schema=schema)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("shard", "kind")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                shard, kind = keys[:, i].tolist()
+                some = dict(zip(batch.schema.names, batch.slice(i, j - i).columns, strict=True))
+                if shard != at:
+                    at, pairs, of_words, counts, of_word = shard, [], [], None, None
+                if kind == PAIR:
+                    pairs.append(np.stack([some[c].to_numpy() for c in ("place", "pair", "total")]))
+                    continue
+                if counts is None:  # all pairs have come
+                    places, *values = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int64)
+                    counts, pairs = np.zeros((2, len(places)), np.int64), []
+                    counts[:, places] = values
+                if kind == WORDS:
+                    (word_links, rows), (links, _) = flat(some["words"]), flat(some["links"])
+                    ends = np.concatenate(([0], np.cumsum(word_links)))
+                    sums = np.zeros((2, len(word_links)), np.int64)
+                    for k, row in enumerate(counts):
+                        upto = np.concatenate(([0], np.cumsum(row[links])))
+                        sums[k] = upto[ends[1:]] - upto[ends[:-1]]
+                    of_words += [(place, sums[:, a:b]) for place, a, b in zip(some["place"].to_pylist(), rows, rows[1:])]
+                    continue
+                if of_word is None:  # all words have come
+                    of_words.sort(key=lambda x: x[0])
+                    of_word = np.concatenate([np.zeros((2, 0), np.int64), *[x for _, x in of_words]], axis=1)
+                    of_words = []
+                words, ends = flat(some["words"])
+                for name, row in zip(("count_sum", "n_best"), of_word, strict=True):
+                    upto = np.concatenate(([0], np.cumsum(row[words])))
+                    some[name] = pa.array(upto[ends[1:]] - upto[ends[:-1]])
+                yield pa.RecordBatch.from_arrays([some[f.name].cast(f.type) for f in schema], schema=schema)
 
     return documents
 
@@ -291,7 +361,8 @@ def align(docs: DataFrame, first: str, second: str, text: str = "text", doc: str
     document's links, ``n_best`` counts the links whose pair is the most frequent one of its second id, ties included.
 
     Documents meet the counts by shard: a shard sends each of its id pairs once and gets each count back once, so a
-    frequent pair is summed per shard first, and nothing is collected or broadcast.
+    frequent pair is summed per shard first, and nothing is collected or broadcast. Shards move as small rows, so memory
+    depends on the size of a shard and of a document only, not on how many shards a task or a file has.
 
     A NULL or empty text, or one whose joined token bytes differ from it, has no tokens: zeros and an empty digest.
     Equal ``doc`` values (NULL too) and repeated rows give a row each and all count. Other columns are not returned. An
@@ -300,20 +371,20 @@ def align(docs: DataFrame, first: str, second: str, text: str = "text", doc: str
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc}`").alias("doc"), text_of(docs, text).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
-    lists = {"at": "int", "words": "int", "digests": "string", "word_links": "int", "links": "int", "pairs": "bigint", "totals": "bigint"}
-    lists = {"docs": kind} | lists | dict.fromkeys(COUNTS, "bigint")
-    shape = "shard bigint, " + ", ".join(f"{n} array<{t}>" for n, t in lists.items())
-    arrow = _arrow(spark, shape)
-    shards = stored(rows.mapInArrow(_sharded(first, second, arrow), shape), "alignment")
-    told = shards.select("shard", F.posexplode(F.arrays_zip("pairs", "totals")).alias("i", "told")).select(
-        "shard", "i", "told.pairs", "told.totals")
-    counts = told.groupBy("pairs").agg(F.sum("totals").alias("links")).withColumn("second", F.expr("pairs & 4294967295"))
+    counted = ", ".join(f"{c} bigint" for c in COUNTS)
+    shape = f"shard bigint, kind int, place bigint, pair bigint, total bigint, words array<int>, links array<int>, doc {kind}, {counted}, groups_sha256 string"
+    shards = stored(rows.mapInArrow(_sharded(first, second, _arrow(spark, shape)), shape), "alignment")
+    told = shards.where(F.col("kind") == PAIR).select("shard", "place", "pair", "total")
+    counts = told.groupBy("pair").agg(F.sum("total").alias("links")).withColumn("second", F.expr("pair & 4294967295"))
     most = counts.groupBy("second").agg(F.max("links").alias("most"))
-    rated = counts.join(most, "second").select("pairs", "links", (F.col("links") == F.col("most")).cast("int").alias("best"))
-    answers = told.join(rated, "pairs").groupBy("shard").agg(F.collect_list(F.struct("i", "links", "best")).alias("answers"))
-    met = shards.drop("pairs", "totals").join(answers, "shard", "left")
-    out = f"doc {kind}, " + ", ".join(f"{c} bigint" for c in (*COUNTS, "n_best", "count_sum")) + ", groups_sha256 string"
-    return met.mapInArrow(_totalled(_arrow(spark, out)), out).withColumnRenamed("doc", doc)
+    rated = counts.join(most, "second").select("pair", "links", (F.col("links") == F.col("most")).cast("bigint").alias("best"))
+    # an answer is a pair's row with its count and mark in place of pair and total
+    answers = told.join(rated, "pair").select(
+        "shard", F.lit(PAIR).alias("kind"), "place", F.col("links").alias("pair"), F.col("best").alias("total"))
+    met = shards.where(F.col("kind") != PAIR).unionByName(answers, allowMissingColumns=True)
+    dealt = met.repartition("shard").sortWithinPartitions(F.expr(f"shard * {KINDS} + kind"))
+    out = f"doc {kind}, {counted}, n_best bigint, count_sum bigint, groups_sha256 string"
+    return dealt.mapInArrow(_totalled(_arrow(spark, out)), out).withColumnRenamed("doc", doc)
 
 
 def _arrow(spark, shape: str) -> pa.Schema:

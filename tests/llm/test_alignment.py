@@ -100,3 +100,31 @@ def test_crowded_and_empty_tables(spark, odd, crowded, nothing):
     got = sorted(map(str, alignment.align(odd, *PATHS).collect()))
     assert len(got) == 14 and sorted(map(str, alignment.align(crowded, *PATHS).collect())) == got
     assert alignment.align(nothing, *PATHS).collect() == []
+
+
+def test_no_row_holds_a_shard(spark, own, monkeypatch):
+    """A shard of 40,000 distinct words leaves its task in rows of a document or a run of words each."""
+    kept, stored = [], alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1])
+    texts = [(d, " ".join(f"w{d}x{i}" for i in range(1000))) for d in range(40)]
+    check(own, texts, alignment.align(spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1), *PATHS).collect())
+    lists = [c for c, kind in kept[0].dtypes if kind.startswith("array")]
+    longest = kept[0].selectExpr(*[f"max(size({c})) AS {c}" for c in lists]).first()
+    assert lists and max(longest) <= 20_000
+
+
+@pytest.mark.parametrize("run, rows, most", [(1, 2, 3), (3, 5, 10_000), (500, 7, 1)])
+def test_pieces_of_a_shard(spark, own, monkeypatch, run, rows, most):
+    """Pairs, words and documents of a shard meet again however they were cut; batches that end inside them too."""
+    monkeypatch.setattr(alignment, "RUN", run)
+    monkeypatch.setattr(alignment, "ROWS", rows)
+    monkeypatch.setattr(alignment, "AT_ONCE", most)
+    monkeypatch.setattr(alignment, "SHARD", 300)
+    rng = random.Random(run)
+    texts = [(i, "".join(rng.choice(ODD) for _ in range(rng.randint(0, 9)))) for i in range(150)] + [(-1, None), (-2, "")]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        check(own, texts, alignment.align(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), *PATHS).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
