@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from harborline.operators import scoring
+
 
 def chunk(documents: DataFrame, size: int, overlap: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Whole documents cut into runs of ``size`` words, each sharing ``overlap`` words with the next.
@@ -27,51 +29,64 @@ def chunk(documents: DataFrame, size: int, overlap: int, id_col: str = "doc_id",
     return documents.select(id_col, words.alias("_w")).select(id_col, F.posexplode(cut).alias("chunk_no", "text"))
 
 
-def _blocks(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
-    """``vectors`` in blocks of about ``rows``, one row per block with ids and vectors as an array; their number."""
-    of = max(1, -(-vectors.count() // rows))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(of)).alias(name)
-    return vectors.groupBy(block).agg(F.collect_list(F.struct("vec_id", "embedding")).alias(f"{name}_rows")), of
-
+#: Queries that a task holds at most, and pairs of query and vector that it is given at most.
+HELD, PAIRS = 16_384, 2**30
 
-def _best(k: int):
-    def best_of(vec_ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keep = ~np.isnan(sims)
-        vec_ids, sims = vec_ids[keep], sims[keep]
-        order = np.lexsort((vec_ids, -sims))[:k]
-        return vec_ids[order], sims[order]
 
-    def unpacked(rows) -> tuple[np.ndarray, np.ndarray]:
-        return np.array([r["vec_id"] for r in rows]), np.stack([np.asarray(r["embedding"], float) for r in rows])
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ours, theirs in zip(batch["q_rows"], batch["v_rows"], strict=True):
-                (query_ids, queries), (ids, matrix) = unpacked(ours), unpacked(theirs)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    sims = (queries @ matrix.T) / np.outer(
-                        np.linalg.norm(queries, axis=1), np.linalg.norm(matrix, axis=1))
-                for query_id, row in zip(query_ids, sims, strict=True):
-                    found, values = best_of(ids, row)
-                    yield pd.DataFrame({"query_id": query_id, "vec_id": found, "similarity": values})
+def _best(
+    vectors: DataFrame, sizes: dict[int, int], queries: DataFrame, asked: int, k: int, block_rows: int, query_rows: int,
+) -> DataFrame:
+    """The best k vectors of each query (query_id, vec_id, similarity, rank) among the lists that it probes.
 
-    return best
+    ``vectors`` has a ``list`` (``sizes`` of them by number, from 0), ``queries`` an array ``lists``. Lists are laid end to end
+    and cut into even spans, a vector's place in its list being a hash of its id; queries are dealt into parts of up to
+    ``HELD``. A task holds one part, lets the vectors of one span pass, ``block_rows`` against ``query_rows`` at a time, and
+    leaves k rows per query: a query is sent once to each span that it probes, a vector once to each part.
+    """
+    spark = vectors.sparkSession
+    sizes = sizes or {0: 1}
+    n, parts = sum(sizes.values()), max(1, -(-asked // HELD))
+    spans = max(-(-4 * spark.sparkContext.defaultParallelism // parts), -(-n * -(-asked // parts) // PAIRS))
+    spans = max(1, min(spans, -(-n // block_rows)))
+    span = -(-n // spans)
+    counts = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], np.int64)
+    starts = np.concatenate(([0], np.cumsum(counts)))
+
+    def of_list(values) -> Callable[[Column], Column]:
+        told = F.array(*[F.lit(int(x)).cast("bigint") for x in values])
+        return lambda i: F.get(told, i)
+
+    size, start = of_list(counts), of_list(starts[:-1])
+    first, last = of_list(starts[:-1] // span), of_list((starts[1:] - 1) // span)
+    place = start(F.col("list")) + F.pmod(F.xxhash64("vec_id"), size(F.col("list")))
+    told = vectors.select(
+        F.floor(place / F.lit(span)).alias("span"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("own"),
+        "list", F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
+    sent = queries.select("vec_id", "embedding", F.filter("lists", lambda i: size(i) > 0).alias("lists"))
+    reached = F.array_distinct(F.flatten(F.transform("lists", lambda i: F.sequence(first(i), last(i)))))
+    sent = sent.select("vec_id", "embedding", "lists", F.explode(reached).alias("span"))
+    here = F.filter("lists", lambda i: (first(i) <= F.col("span")) & (last(i) >= F.col("span")))
+    sent = sent.select(
+        "span", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("own"), F.lit(scoring.QUERY).alias("list"),
+        F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", here.alias("lists"))
+    part = (F.col("span") * F.lit(parts) + F.col("own")).cast("int")
+    met = sent.unionByName(told, allowMissingColumns=True).select(part.alias("part"), "list", "vec_id", "embedding", "lists")
+    dealt = met.repartitionById(spans * parts, F.col("part")).sortWithinPartitions(F.shiftleft(F.col("part").cast("bigint"), 32) + F.col("list"))
+    shape = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("similarity", pa.float64())])
+    found = dealt.mapInArrow(scoring.searched(k, block_rows, query_rows, shape), "query_id long, vec_id long, similarity double")
+    return _ranked(found, k)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int = 1024, query_rows: int = 256) -> DataFrame:
     """The k vectors of largest cosine similarity per query vector, ties by the smaller id.
 
-    Vectors and queries are put into blocks. Each block of queries is sent to every block of vectors, which stays where
-    it was made, and leaves its k best per query: vectors are shuffled once, however many queries there are.
+    Every pair is scored, ``block_rows`` vectors against ``query_rows`` queries at a time; see ``_best`` for what goes where.
     NULL vectors, zero vectors and vectors with NULL or NaN in them have no neighbours and are nobody's neighbour.
     """
-    vectors, queries = (df.where(F.col("embedding").isNotNull()) for df in (vectors, queries))
-    held, n = _blocks(vectors, block_rows, "v")
-    asked, _ = _blocks(queries, query_rows, "q")
-    sent = asked.select("q_rows", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("v"))
-    met = held.join(sent, "v").select("q_rows", "v_rows")
-    found = met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double")
-    return _ranked(found, k)
+    vectors, queries = (df.where(F.col("embedding").isNotNull()).select("vec_id", "embedding") for df in (vectors, queries))
+    held, asked = vectors.count(), queries.count()
+    every = queries.withColumn("lists", F.array(F.lit(0)))
+    return _best(vectors.withColumn("list", F.lit(0)), {0: held} if held else {}, every, asked, k, block_rows, query_rows)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -83,11 +98,16 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 NOWHERE = -1
 
 
-def _direction(vector: Column) -> Column:
-    """A vector of length one; NULL for a NULL or zero vector, and for one with NULL or NaN in it."""
-    wide = vector.cast("array<double>")
-    length = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when((length > 0) & ~F.isnan(length), F.transform(wide, lambda x: x / length))
+def _directions(vectors: DataFrame) -> DataFrame:
+    """Vectors of length one, of those that have a direction."""
+
+    def directions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, units = scoring.directions(batch.column("embedding"))
+            at = pa.array(np.arange(len(units) + 1) * units.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(at, pa.array(units.ravel()))], ["direction"])
+
+    return vectors.select("embedding").mapInArrow(directions, "direction array<double>")
 
 
 def fit_centroids(vectors: DataFrame, lists: int, sample_rows: int = 100_000, seed: int = 7) -> np.ndarray:
@@ -95,32 +115,33 @@ def fit_centroids(vectors: DataFrame, lists: int, sample_rows: int = 100_000, se
 
     The result, ``lists`` times the dimension, is what the driver holds and tasks get; ``lists`` bounds it.
     """
-    real = vectors.select("vec_id", _direction(F.col("embedding")).alias("d")).where(F.col("d").isNotNull())
-    n = real.count()
+    n = _directions(vectors).count()
     if n > sample_rows:
-        real = real.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)) < sample_rows)
+        vectors = vectors.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)) < sample_rows)
     if n == 0:
         return np.zeros((0, 0))
-    points = real.select(array_to_vector("d").alias("features"))
+    points = _directions(vectors).select(array_to_vector("direction").alias("features"))
     model = KMeans(k=max(2, min(lists, n)), seed=seed, maxIter=10, initMode="random").fit(points)
     return np.array(model.clusterCenters())
 
 
-def _nearest_lists(centroids: np.ndarray, n: int):
-    """A column function: the ``n`` lists whose centroids are nearest to a direction, nearest first."""
+def _listed(vectors: DataFrame, centroids: np.ndarray, n: int) -> DataFrame:
+    """Ids and vectors with the ``n`` lists whose centroids are nearest, nearest first, NULL without a direction."""
     half = (centroids**2).sum(axis=1) / 2
 
-    @F.pandas_udf("array<int>")
-    def nearest(directions: pd.Series) -> pd.Series:
-        found: list[list[int] | None] = [None] * len(directions)
-        real = np.flatnonzero(directions.notna().to_numpy()) if len(centroids) else []
-        if len(real):
-            scores = np.stack([directions.iloc[i] for i in real]) @ centroids.T - half
-            for i, row in zip(real, np.argsort(-scores, axis=1, kind="stable")[:, :n].tolist(), strict=True):
-                found[i] = row
-        return pd.Series(found, dtype=object)
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            real, units = scoring.directions(batch.column("embedding"))
+            known, order = np.zeros(batch.num_rows, bool), np.zeros((0, 0), int)
+            if len(centroids) and len(real):
+                known[real], scores = True, units @ centroids.T - half
+                order = scores.argmax(axis=1)[:, None] if n == 1 else np.argsort(-scores, axis=1, kind="stable")[:, :n]
+            at = pa.array(np.concatenate(([0], np.cumsum(known * order.shape[1]))), pa.int32())
+            lists = pa.ListArray.from_arrays(at, pa.array(order.ravel(), pa.int32()), mask=pa.array(~known))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), lists], ["vec_id", "embedding", "lists"])
 
-    return nearest
+    given = vectors.select("vec_id", "embedding")
+    return given.mapInArrow(listed, "vec_id {0}, embedding {1}, lists array<int>".format(*[kind for _, kind in given.dtypes]))
 
 
 def build_index(
@@ -136,8 +157,8 @@ def build_index(
     centroids = fit_centroids(vectors, lists, sample_rows)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
     spark.createDataFrame(rows, "list int, centroid array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
-    nearest = F.get(_nearest_lists(centroids, 1)(_direction(F.col("embedding"))), F.lit(0))
-    placed = vectors.select("vec_id", "embedding", F.coalesce(nearest, F.lit(NOWHERE)).alias("list"))
+    nearest = F.coalesce(F.get("lists", F.lit(0)), F.lit(NOWHERE))
+    placed = _listed(vectors, centroids, 1).select("vec_id", "embedding", nearest.alias("list"))
     blocks = max(1, -(-vectors.count() // (block_rows * max(1, len(centroids)))))
     dealt = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     packed = dealt.groupBy("list", "block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("v_rows"))
@@ -150,19 +171,19 @@ def search_index(
     """The k nearest vectors per query (query_id, vec_id, similarity, rank) among the ``probes`` lists nearest to it.
 
     Similarities are exact; a neighbour in a list that was not probed is missed, so recall grows with ``probes`` and is
-    whole when every list is probed. Queries meet lists in blocks; queries without a direction find nothing. The columns of
-    ``queries`` have the types that the indexed vectors had.
+    whole when every list is probed. Only lists that some query probes are read, ``query_rows`` queries are scored at a time;
+    queries without a direction find nothing. The columns of ``queries`` have the types that the indexed vectors had.
     """
     saved = sorted(spark.read.parquet(f"{path}/centroids").collect(), key=lambda r: r["list"])  # bounded by build_index
     centroids = np.array([r["centroid"] for r in saved]) if saved else np.zeros((0, 0))
-    real = queries.where(F.col("embedding").isNotNull())
-    sent = real.select("vec_id", "embedding", F.explode(_nearest_lists(centroids, probes)(_direction(F.col("embedding")))).alias("list"))
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-queries.count() // query_rows)))).alias("q")
-    asked = sent.groupBy("list", part).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q_rows"))
+    sent = _listed(queries, centroids, probes).where(F.col("lists").isNotNull())
+    probed = [r["list"] for r in sent.select(F.explode("lists").alias("list")).distinct().collect()]  # bounded by build_index
     vector = "struct<vec_id:{0},embedding:{1}>".format(*[queries.schema[c].dataType.simpleString() for c in ("vec_id", "embedding")])
     held = spark.read.schema(f"v_rows array<{vector}>, list int").parquet(f"{path}/lists")  # an empty index has no files
-    met = held.join(asked, "list").select("q_rows", "v_rows")
-    return _ranked(met.mapInPandas(_best(k), "query_id long, vec_id long, similarity double"), k)
+    held = held.where(F.col("list").isin(probed))
+    sizes = held.groupBy("list").agg(F.sum(F.size("v_rows.vec_id")).alias("n")).collect()
+    vectors = held.select("list", F.explode("v_rows").alias("v")).select("list", "v.vec_id", "v.embedding")
+    return _best(vectors, {r["list"]: r["n"] for r in sizes}, sent, queries.count(), k, 1024, query_rows)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

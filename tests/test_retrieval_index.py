@@ -1,11 +1,12 @@
 """Exact nearest vectors, the inverted file, and drifting schemas found by halves."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from harborline.operators import retrieval
+from harborline.operators import retrieval, scoring
 from harborline.sources import drift
 
 SHAPE = "vec_id bigint, embedding array<float>"
@@ -63,6 +64,60 @@ def test_index_on_a_bounded_sample_and_on_nothing(spark, clustered, tmp_path):
         assert retrieval.search_index(spark, path, asked(clustered), 5).count() == 0
 
 
+def test_a_search_leaves_k_rows_per_task_not_per_block(spark, clustered, monkeypatch, tmp_path):
+    monkeypatch.setattr(retrieval, "_ranked", lambda found, k: found)
+    queries, spans = asked(clustered), 4 * spark.sparkContext.defaultParallelism
+    assert retrieval.top_k(clustered, queries, 10, block_rows=8).count() <= 75 * spans * 10
+    path = str(tmp_path / "index")
+    retrieval.build_index(clustered, path, lists=24, block_rows=4)
+    assert retrieval.search_index(spark, path, queries, 10, probes=24).count() <= 75 * spans * 10
+
+
+def test_directions():
+    rows = [[3.0, 4.0], None, [0.0, 0.0], [], [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [0.0, -2.0]]
+    places, units = scoring.directions(pa.array(rows, pa.list_(pa.float32())))
+    assert places.tolist() == [0, 7] and units.tolist() == [[0.6, 0.8], [0.0, -1.0]]
+    for nobody in ([], [None], [None, []]):
+        places, units = scoring.directions(pa.array(nobody, pa.list_(pa.float32())))
+        assert len(places) == len(units) == 0
+
+
+@pytest.mark.parametrize("held, block_rows, query_rows", [(16_384, 1024, 256), (7, 16, 3), (20, 5, 64)])
+def test_exact_neighbours_by_brute_force(spark, monkeypatch, tmp_path, held, block_rows, query_rows):
+    """Copies and vectors that differ by less than single precision tells, however queries and vectors are dealt."""
+    monkeypatch.setattr(retrieval, "HELD", held)
+    rng = np.random.default_rng(held)
+    base = rng.normal(size=(40, 8))
+    vectors = np.concatenate([base, base, base + 1e-9 * rng.normal(size=base.shape), np.repeat(base[:1], 60, axis=0), 3 * base])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(900, None), (901, [0.0] * 8), (902, [])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    queries = frame.where("vec_id < 50 OR vec_id >= 900")
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    want = np.sort(unit[:50] @ unit.T, axis=1)[:, ::-1][:, :7]
+    path = str(tmp_path / "index")
+    retrieval.build_index(frame, path, lists=6, block_rows=block_rows)
+    for found in (
+        retrieval.top_k(frame, queries, 7, block_rows, query_rows),
+        retrieval.search_index(spark, path, queries, 7, probes=6, query_rows=query_rows),
+    ):
+        got = {}
+        for r in sorted(found.collect(), key=lambda r: r["rank"]):
+            assert abs(unit[r.query_id] @ unit[r.vec_id] - r.similarity) < 1e-14
+            got.setdefault(r.query_id, []).append((-r.similarity, r.vec_id))
+        assert set(got) == set(range(50)) and all(hits == sorted(hits) for hits in got.values())
+        assert np.abs(np.array([[-s for s, _ in got[q]] for q in range(50)]) - want).max() < 1e-14
+    hot = [v for _, v in got[0]]
+    assert len(set(hot)) == 7  # sixty copies of one vector: seven of them, none twice
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.1]), (2, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = retrieval.top_k(frame, frame.where("vec_id = 2 OR vec_id IS NULL"), 4).collect()
+    assert sorted((r.query_id or 0, r["rank"], r.vec_id) for r in got if r.query_id == 2) == [(2, 1, 2), (2, 2, None), (2, 3, 1), (2, 4, 1)]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id is None] == [None, 1, 1, 2]
+
+
 def test_schemas_cost_jobs_by_run_not_by_file(spark, tmp_path, monkeypatch):
     base = str(tmp_path / "t")
     for i in range(40):
